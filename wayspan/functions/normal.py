@@ -38,6 +38,7 @@ CODY_FAR_DEN = [2.33520497626869185e-3, 0.0605183413124413191, 0.527905102951428
                 1.87295284992346047, 2.56852019228982242, 1.0]
 INV_SQRT_PI = 0.56418958354775628695
 SQRT_HALF = 0.70710678118654752440
+LOG_SQRT_2PI = 0.91893853320467274178
 
 
 def _poly(x: Column, coefs: Sequence[float]) -> Column:
@@ -84,3 +85,11 @@ def cdf(x: Column | str) -> Column:
 def sf(x: Column | str) -> Column:
     """Upper tail ``1 - cdf`` without cancellation."""
     return cdf(-as_column(x))
+
+
+def log_cdf(x: Column | str) -> Column:
+    """Logarithm of the distribution function; far in the lower tail by its asymptotic series."""
+    x = as_column(x)
+    inv = F.lit(1.0) / (x * x)
+    far = -x * x / 2.0 - F.log(-x) - F.lit(LOG_SQRT_2PI) + F.log1p(-inv * (1.0 - inv * (3.0 - inv * 15.0)))
+    return F.when(x < -30.0, far).otherwise(F.log(cdf(F.greatest(x, F.lit(-30.0)))))
