@@ -196,4 +196,6 @@ def reading_detail(label="route_label", ts="timestamp", speed="avg_speed", durat
 
 
 def half_even(c: Column | str, digits: int) -> Column:
-    return F.bround(as_column(c), digits)
+    """Round on the scaled double, halves to even."""
+    scale = F.lit(10.0**digits)
+    return F.rint(as_column(c) * scale) / scale

@@ -22,6 +22,7 @@ ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 4096
 OVERSAMPLE = 16
 FANOUT = 64
+SALTS = 32
 
 
 def oversized(df: DataFrame, keys: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> bool:
@@ -48,7 +49,7 @@ def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: s
     hot = sizes.filter("_blocks > 1").select(*keys, "_rows", "_blocks")
     picked = _uniform(*[F.col(k) for k in keys], F.col("_ord")) < F.col("_blocks") * F.lit(OVERSAMPLE) / F.col("_rows")
     if keys:
-        sample = df.select(*keys, "_ord").join(hot, keys).filter(picked)
+        sample = attach(df.select(*keys, "_ord"), hot, keys, salts=SALTS).filter(picked)
     else:
         pair = hot.select(F.struct("_rows", "_blocks").alias("p")).scalar()
         sample = (
@@ -61,7 +62,7 @@ def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: s
     splits = splits.withColumn("_coarse", F.filter("_splits", lambda x, i: i % FANOUT == FANOUT - 1))
     if keys:
         plan = sizes.select(*keys, "_total").join(splits, keys, "left")
-        out = df.join(plan, keys)
+        out = attach(df, plan, keys, salts=SALTS)
     else:
         out = df.withColumn("_total", sizes.select("_total").scalar())
         for name in ("_splits", "_coarse"):

@@ -89,12 +89,12 @@ def autocorrelation(
     """Autocorrelation at row lags 0..max in time order; NULL for routes with too few rows."""
     rows = df.select("route_code", F.col(value).alias("x"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).dropna(subset=["x"])
     keys = ["route_code"]
-    means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
+    means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"))
     placed = with_positions(rows, keys, [f"_o{i}" for i in range(len(order))], large=large)
-    framed = with_frames(placed.filter(F.col("n") > max_lags), keys, max_lags, 0, block_rows=block_rows)
-    centred = attach(framed, means, keys).withColumn("c", F.col("x") - F.col("_mu")).repartition(*keys, "_frame")
+    centred = attach(placed.filter(F.col("n") > max_lags), means, keys).withColumn("c", F.col("x") - F.col("_mu"))
+    framed = with_frames(centred, keys, max_lags, 0, block_rows=block_rows)
     w = frame_window(keys)
-    lagged = centred.select(*keys, "_frame", "_core", "pos", "c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, max_lags + 1)])
+    lagged = framed.select(*keys, "_frame", "_core", "pos", "c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, max_lags + 1)])
     core = core_rows(lagged)
     sums = core.groupBy(*keys).agg(F.sum(F.col("c") * F.col("c")).alias("s0"), *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, max_lags + 1)])
     cells = [F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"s{k}"), F.col("s0")).alias("acf")) for k in range(max_lags + 1)]
@@ -144,7 +144,7 @@ def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: st
     own, off = F.floor(F.col("pos") / size), F.col("pos") % size
     copies = F.array_compact(F.array(own, F.when(off >= size - F.col("lags") - 1, own + 1)))
     framed = centred.withColumn("_own", own).withColumn("block", F.explode(copies))
-    framed = framed.filter((F.col("block") * size < F.col("n"))).drop("_own")
+    framed = framed.filter(F.col("block") * size < F.col("n")).drop("_own").repartition("route_code", "block")
 
     def moments(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
