@@ -3,4 +3,4 @@
 
 def load_all() -> None:
     """Import every query module, which fills the registry."""
-    from wayspan.plans import cleaning, scoring  # noqa: F401
+    from wayspan.plans import charts, cleaning, quality, scoring  # noqa: F401

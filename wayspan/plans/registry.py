@@ -45,6 +45,25 @@ PRELUDES = {
 }
 
 
+def even_sql(sql: str) -> str:
+    """Write ``round_even(x, n)`` as rounding of the scaled double, which is what the library does.
+
+    DuckDB casts doubles to integers with halves to even.
+    """
+    at = sql.find("round_even(")
+    if at < 0:
+        return sql
+    start = at + len("round_even(")
+    depth, end, comma = 1, start, 0
+    while depth:
+        depth += {"(": 1, ")": -1}.get(sql[end], 0)
+        if sql[end] == "," and depth == 1:
+            comma = end
+        end += 1
+    inner, digits = sql[start:comma], int(sql[comma + 1 : end - 1])
+    return sql[:at] + f"(CAST(({inner}) * 1e{digits} AS BIGINT) / 1e{digits})" + even_sql(sql[end:])
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -66,9 +85,9 @@ def query(name: str, sql: str | None = None, doubles: str = "", needs: str = "r"
         text = None
         if sql is not None:
             views = "".join(f"{PRELUDES[n].strip()}, " for n in needs.split())
-            final = ", ".join(f"round({c}, {digits}) + 0e0 AS {c}" for c in names)
+            final = ", ".join(f"floor({c} * 1e{digits} + 0.5e0) / 1e{digits} AS {c}" for c in names)
             pick = f"* REPLACE ({final})" if names else "*"
-            text = f"WITH {views}q AS (\n{sql.strip()}\n)\nSELECT {pick} FROM q"
+            text = f"WITH {views}q AS (\n{even_sql(sql.strip())}\n)\nSELECT {pick} FROM q"
         QUERIES[name] = Query(name, build, text, names, digits)
         return build
 
@@ -78,7 +97,9 @@ def query(name: str, sql: str | None = None, doubles: str = "", needs: str = "r"
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     q = QUERIES[name]
     df = q.build(spark, sf_dir)
-    changed = {c: F.round(c, q.digits) + F.lit(0.0) for c in q.doubles}
+    scale = F.lit(10.0**q.digits)
+    # the same double arithmetic as in the SQL text, so both engines round alike
+    changed = {c: F.floor(F.col(c) * scale + F.lit(0.5)).cast("double") / scale for c in q.doubles}
     for c, kind in df.dtypes:
         if kind in ("timestamp", "timestamp_ntz", "date"):
             changed[c] = F.col(c).cast("string")
