@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wayspan.functions import columns as C
 from wayspan.operators.clean import ensure_calendar
 from wayspan.operators.enrich import with_labels
-from wayspan.operators.ordering import attach, core_rows, frame_window, with_frames, with_positions
+from wayspan.operators.ordering import attach, core_rows, oversized, row_frames
 from wayspan.operators.patterns import SALTS, only_routes
 
 CONTEXT = ["route_code", "hour", "day_of_week"]
@@ -75,23 +75,28 @@ def deviation_timeline(
     rows of a route uniquely. Frames run over numbered row blocks with copied edges, so a
     busy route is not one task.
     """
-    expected = with_expected(only_routes(df, route), spread=True)
-    placed = with_positions(expected, ["route_code"], list(order), large=large)
+    df = only_routes(ensure_calendar(df), route)
+    if large is None:
+        large = oversized(df, ["route_code"])
     ahead = (window - 1) // 2
     behind = window - 1 - ahead
-    framed = with_frames(placed.filter(F.col("n") >= window), ["route_code"], behind, ahead, block_rows=block_rows)
-    frame = frame_window(["route_code"]).rowsBetween(-behind, ahead)
-    long = core_rows(framed.withColumn("deviation_ma", F.avg("deviation").over(frame)))
-    # fewer than ``window`` rows per route: the whole route is a small array
-    whole = Window.partitionBy("route_code").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    few = placed.filter(F.col("n") < window).withColumn("_all", F.collect_list(F.struct("pos", "deviation")).over(whole))
+    rows, order_window = row_frames(
+        with_expected(df, spread=True), ["route_code"], list(order), behind, ahead, large=large, block_rows=block_rows
+    )
+    # a route below ``window`` rows lies in one frame; its few deviations travel as an array
+    few = F.col("n") < window
+    whole = order_window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({
+        "_long": F.avg("deviation").over(order_window.rowsBetween(-behind, ahead)),
+        "_all": F.collect_list(F.when(few, F.struct("pos", "deviation"))).over(whole),
+    })
     half = F.floor((F.col("n") - 1) / 2)
     inside = F.filter("_all", lambda x: (x["pos"] >= F.col("pos") - (F.col("n") - 1 - half)) & (x["pos"] <= F.col("pos") + half) & x["deviation"].isNotNull())
-    mean = F.try_divide(F.aggregate(inside, F.lit(0.0), lambda acc, x: acc + x["deviation"]), F.size(inside))
-    short = few.withColumn("deviation_ma", mean).drop("_all")
+    short = F.try_divide(F.aggregate(inside, F.lit(0.0), lambda acc, x: acc + x["deviation"]), F.size(inside))
+    out = core_rows(rows.withColumn("deviation_ma", F.when(few, short).otherwise(F.col("_long"))))
     limit = 3 * F.col("residual_std")
-    return long.unionByName(short).withColumn("is_anomaly", F.coalesce(F.abs("deviation") > limit, F.lit(False))).drop(
-        "context_std", "context_n", "route_rows"
+    return out.withColumn("is_anomaly", F.coalesce(F.abs("deviation") > limit, F.lit(False))).drop(
+        "_long", "_all", "context_std", "context_n", "route_rows"
     )
 
 

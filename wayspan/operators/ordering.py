@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 1_000_000
@@ -188,29 +188,36 @@ def group_quantiles(
     if large is None:
         large = oversized(df, keys, rows_per_block)
     if not large:
-        cols = [F.percentile(value, F.lit(float(q))).alias(n) for n, q in qs.items()]
-        return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(*cols)
+        shares = F.array(*[F.lit(float(q)) for q in qs.values()])
+        out = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.percentile(value, shares).alias("_q"))
+        return out.select(*keys, *[F.get("_q", i).alias(n) for i, n in enumerate(qs)])
     return quantiles_of(running_counts(df, keys, value, large=True, rows_per_block=rows_per_block), keys, value, qs)
 
 
-def with_frames(df: DataFrame, keys: Sequence[str], before: int, after: int, *, pos: str = "pos", block_rows: int = 100_000) -> DataFrame:
-    """Prepare row frames over ``pos``: every block also receives copies of its neighbours' edge rows.
+def row_frames(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int, after: int, *,
+    large: bool | None = None, block_rows: int = 100_000, rows_per_block: int = ROWS_PER_BLOCK,
+) -> tuple[DataFrame, WindowSpec]:
+    """Rows with ``pos`` and ``n``, and a window in row order that sees ``before`` rows back and ``after`` ahead.
 
-    Use with ``frame_window`` and keep only ``_core`` rows afterwards.
+    Where no group is oversized this is a plain window per group. Otherwise the numbered
+    rows are cut into blocks of ``block_rows``, and each block also receives copies of its
+    neighbours' edge rows. Call :func:`core_rows` afterwards to drop the copies.
     """
+    keys = list(keys)
+    if large is None:
+        large = oversized(df, keys, rows_per_block)
+    placed = with_positions(df, keys, order, large=large, rows_per_block=rows_per_block)
+    if not large:
+        return placed.withColumn("_core", F.lit(True)), Window.partitionBy(*keys).orderBy(*order)
     size = max(block_rows, before, after, 1)
-    blk, off = F.floor(F.col(pos) / F.lit(size)), F.col(pos) % F.lit(size)
+    blk, off = F.floor(F.col("pos") / F.lit(size)), F.col("pos") % F.lit(size)
     copies = F.array_compact(F.array(blk, F.when(off >= size - before, blk + 1), F.when(off < after, blk - 1)))
-    return (
-        df.withColumn("_own", blk).withColumn("_frame", F.explode(copies))
-        .withColumn("_core", F.col("_frame") == F.col("_own")).drop("_own")
-        .repartition(*keys, "_frame")
+    framed = (
+        placed.withColumn("_own", blk).withColumn("_frame", F.explode(copies))
+        .withColumn("_core", F.col("_frame") == F.col("_own")).drop("_own").repartition(*keys, "_frame")
     )
-
-
-def frame_window(keys: Sequence[str], pos: str = "pos"):
-    """The window that goes with :func:`with_frames`."""
-    return Window.partitionBy(*keys, "_frame").orderBy(pos)
+    return framed, Window.partitionBy(*keys, "_frame").orderBy("pos")
 
 
 def core_rows(df: DataFrame) -> DataFrame:

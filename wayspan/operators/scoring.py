@@ -98,12 +98,13 @@ def rolling_score(df: DataFrame, ref_date: str | None = None, days: int = 10) ->
     The date range is applied before the aggregation, so only those days are read.
     """
     df = ensure_calendar(df)
-    ref = F.lit(ref_date).cast("date") if ref_date else _last_day(df)
     day = F.col("timestamp").cast("date")
+    # one pass gives both the routes and the last day
+    routes = df.groupBy("route_code").agg(F.max(day).alias("last_day")).filter(F.col("last_day").isNotNull())
+    ref = F.lit(ref_date).cast("date") if ref_date else routes.agg(F.max("last_day")).scalar()
     window = df.filter((day >= F.date_sub(ref, days)) & (day < ref))
     total = daily_points(window).groupBy("route_code").agg(F.sum("points").alias("points"))
-    routes = df.select("route_code").dropna().distinct()
-    return routes.join(total, "route_code", "left").select(
+    return routes.filter(F.col("route_code").isNotNull()).join(total, "route_code", "left").select(
         "route_code", F.coalesce("points", F.lit(0.0)).alias("raw_points")
     ).select("route_code", half_even("raw_points", 1).alias("points"), F.round("raw_points", TIE_DIGITS).alias("raw_points")).orderBy(
         F.desc("raw_points"), "route_code"

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from wayspan.functions import normal, tails
 from wayspan.operators.anomaly import with_expected
 from wayspan.operators.forecast import decomposition
-from wayspan.operators.ordering import attach, core_rows, expand_counts, frame_window, group_quantiles, running_counts, with_frames, with_positions
-from wayspan.operators.patterns import SALTS, histogram, only_routes
+from wayspan.operators.ordering import SALTS, attach, core_rows, expand_counts, group_quantiles, oversized, row_frames, running_counts, with_positions
+from wayspan.operators.patterns import histogram, only_routes
 
 NORMALITY = T.StructType([T.StructField(n, T.DoubleType()) for n in ("shapiro_statistic", "shapiro_pvalue", "anderson_pvalue")])
 SHAPIRO_SUMS = ["n", "sum_m2", "m_last", "m_next", "x_first", "x_second", "x_next", "x_last", "inner_mx", "ssx"]
@@ -87,20 +87,18 @@ def autocorrelation(
     block_rows: int = 100_000, large: bool | None = None,
 ) -> DataFrame:
     """Autocorrelation at row lags 0..max in time order; NULL for routes with too few rows."""
-    rows = df.select("route_code", F.col(value).alias("x"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).dropna(subset=["x"])
-    keys = ["route_code"]
-    means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"))
-    placed = with_positions(rows, keys, [f"_o{i}" for i in range(len(order))], large=large)
-    centred = attach(placed.filter(F.col("n") > max_lags), means, keys).withColumn("c", F.col("x") - F.col("_mu"))
-    framed = with_frames(centred, keys, max_lags, 0, block_rows=block_rows)
-    w = frame_window(keys)
-    lagged = framed.select(*keys, "_frame", "_core", "pos", "c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, max_lags + 1)])
-    core = core_rows(lagged)
-    sums = core.groupBy(*keys).agg(F.sum(F.col("c") * F.col("c")).alias("s0"), *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, max_lags + 1)])
+    keys, names = ["route_code"], [f"_o{i}" for i in range(len(order))]
+    rows = df.select(*keys, F.col(value).alias("x"), *[F.col(c).alias(n) for c, n in zip(order, names)]).dropna(subset=["x"])
+    means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
+    if large is None:
+        large = oversized(rows, keys)
+    centred = attach(rows, means.filter(F.col("_n") > max_lags), keys).withColumn("c", F.col("x") - F.col("_mu"))
+    framed, w = row_frames(centred, keys, names, max_lags, 0, large=large, block_rows=block_rows)
+    lagged = core_rows(framed.withColumns({f"l{k}": F.lag("c", k).over(w) for k in range(1, max_lags + 1)}))
+    sums = lagged.groupBy(*keys).agg(F.sum(F.col("c") * F.col("c")).alias("s0"), *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, max_lags + 1)])
+    grid = means.select(*keys).join(sums, keys, "left")
     cells = [F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"s{k}"), F.col("s0")).alias("acf")) for k in range(max_lags + 1)]
-    known = sums.select(*keys, F.inline(F.array(*cells)))
-    grid = means.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(max_lags))).alias("lag"))
-    return grid.join(known, [*keys, "lag"], "left")
+    return grid.select(*keys, F.inline(F.array(*cells)))
 
 
 # --- unit root ---------------------------------------------------------------------------------------
@@ -150,29 +148,28 @@ def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: st
         pdf = pdf.sort_values("pos")
         p, block, start = int(pdf["lags"].iloc[0]), int(pdf["block"].iloc[0]), int(pdf["block"].iloc[0]) * block_rows
         x, pos = pdf["x"].to_numpy(), pdf["pos"].to_numpy()
-        gram = np.zeros((p + 3, p + 3))
-        nobs = 0
+        gram, nobs, head = np.zeros((p + 3, p + 3)), 0, np.zeros(p + 1)
         if len(x) >= p + 2:
             z = _design(x, p)[pos[p + 1:] >= start]
             gram, nobs = z.T @ z, len(z)
-        head = x[: 2 * p + 3] if block == 0 else x[:0]
-        return pd.DataFrame({"route_code": [pdf["route_code"].iloc[0]], "lags": [p], "n": [int(pdf["n"].iloc[0])], "nobs": [nobs],
-                             "gram": [gram.ravel().tolist()], "head": [head.tolist()]})
-
-    parts = framed.groupBy("route_code", "block").applyInPandas(
-        moments, "route_code string, lags int, n long, nobs long, gram array<double>, head array<double>"
+        if block == 0:
+            head = x[: p + 1]
+        sums = np.concatenate([gram.ravel(), [nobs], head])
+        return pd.DataFrame({"route_code": [pdf["route_code"].iloc[0]], "lags": [p], "sums": [sums.tolist()]})
+
+    # cross products, row count and head of a route as one vector, added up over its blocks
+    parts = framed.groupBy("route_code", "block").applyInPandas(moments, "route_code string, lags int, sums array<double>")
+    cells = parts.select("route_code", "lags", F.posexplode("sums").alias("cell", "v")).groupBy("route_code", "lags", "cell").agg(F.sum("v").alias("v"))
+    ready = cells.groupBy("route_code", "lags").agg(F.sort_array(F.collect_list(F.struct("cell", "v"))).alias("g")).select(
+        "route_code", "lags", F.transform("g", lambda s: s["v"]).alias("sums")
     )
-    cells = parts.select("route_code", "lags", "n", F.posexplode("gram").alias("cell", "v")).groupBy("route_code", "lags", "n", "cell").agg(F.sum("v").alias("v"))
-    grams = cells.groupBy("route_code", "lags", "n").agg(F.sort_array(F.collect_list(F.struct("cell", "v"))).alias("g"))
-    heads = parts.groupBy("route_code").agg(F.sum("nobs").alias("nobs"), F.max("head").alias("head"))
-    ready = grams.join(heads, "route_code").select("route_code", "lags", "n", "nobs", F.transform("g", lambda s: s["v"]).alias("gram"), "head")
 
     def finish(batches):
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
                 try:
-                    out.append((r.route_code, *_solve_adf(np.array(r.gram), np.array(r.head), int(r.lags), int(r.n), int(r.nobs))))
+                    out.append((r.route_code, *_solve_adf(np.array(r.sums), int(r.lags))))
                 except (np.linalg.LinAlgError, ValueError, FloatingPointError):
                     out.append((r.route_code, None, None, None, None, None))
             yield pd.DataFrame(out, columns=["route_code", "adf_statistic", "adf_pvalue", "critical_value_5pct", "used_lag", "n_obs"])
@@ -182,8 +179,9 @@ def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: st
     return routes.join(solved, "route_code", "left").withColumn("is_stationary", F.col("adf_pvalue") < 0.05)
 
 
-def _solve_adf(flat: np.ndarray, head: np.ndarray, p: int, n: int, nobs: int):
-    gram = flat.reshape(p + 3, p + 3)
+def _solve_adf(sums: np.ndarray, p: int):
+    cells = (p + 3) ** 2
+    gram, nobs, head = sums[:cells].reshape(p + 3, p + 3), int(sums[cells]), sums[cells + 1 :]
     with np.errstate(all="raise"):
         tries = [_fit(gram, 2 + k, nobs)[0] for k in range(p + 1)]
         best = int(np.argmin(tries))
@@ -191,7 +189,7 @@ def _solve_adf(flat: np.ndarray, head: np.ndarray, p: int, n: int, nobs: int):
         final = gram[np.ix_(keep, keep)]
         total = nobs
         if best < p:  # rows between the chosen and the longest lag
-            extra = _design(head[: p + 1], best)
+            extra = _design(head, best)
             final = final + extra.T @ extra
             total += len(extra)
         stat = _fit(final, 2 + best, total)[1]

@@ -15,6 +15,8 @@ def build_session(app: str = "wayspan", master: str | None = None, shuffle_parti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # no call-site capture per column expression: it dominates the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
