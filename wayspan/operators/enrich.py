@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayspan.functions import columns as C
 from wayspan.operators.clean import ensure_calendar
+from wayspan.operators.ordering import with_positions
 from wayspan.sources.feed import WEATHER_FIELDS
 
 # Dimension tables are joined without a forced broadcast: Spark broadcasts them when
@@ -85,15 +86,14 @@ def route_colors(routes: DataFrame, readings: DataFrame | None = None, palette:
 
     Routes that only occur in ``readings`` get palette colours of their own.
     """
-    by_code = Window.orderBy("route_code")  # one row per route
     known = routes.select("route_code", *(["color_hex"] if "color_hex" in routes.columns else [])).dropDuplicates(["route_code"]).dropna(subset=["route_code"])
     if "color_hex" in routes.columns:
         out = known.select("route_code", F.coalesce("color_hex", F.lit(C.NO_COLOR)).alias("color_hex"))
     else:
-        out = known.select("route_code", C.palette_color(F.row_number().over(by_code) - 1, palette).alias("color_hex"))
+        out = with_positions(known, [], ["route_code"]).select("route_code", C.palette_color("pos", palette).alias("color_hex"))
     if readings is not None:
         extra = readings.select("route_code").dropna().distinct().join(known.select("route_code"), "route_code", "left_anti")
-        out = out.unionByName(extra.select("route_code", C.palette_color(F.row_number().over(by_code) - 1, palette).alias("color_hex")))
+        out = out.unionByName(with_positions(extra, [], ["route_code"]).select("route_code", C.palette_color("pos", palette).alias("color_hex")))
     return out
 
 

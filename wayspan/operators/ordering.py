@@ -25,12 +25,17 @@ FANOUT = 64
 SALTS = 32
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the largest group, number of groups), from one count over the key columns."""
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c"), F.count(F.lit(1))).first()
+    return row[0] or 0, row[1]
+
+
 def oversized(df: DataFrame, keys: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> bool:
     """Whether some group is too large for one task (one count over the key columns)."""
     if not keys:
-        return df.limit(rows_per_block + 1).count() > rows_per_block
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c"))
-    return (sizes.first()[0] or 0) > rows_per_block
+        return df.count() > rows_per_block
+    return group_sizes(df, keys)[0] > rows_per_block
 
 
 def _uniform(*cols: Column) -> Column:
@@ -238,11 +243,13 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
 
     Spark broadcasts ``stats`` only if its measured size allows; otherwise the join
     shuffles.  ``salts`` > 1 spreads each key over that many tasks, for plans that
-    aggregate on the same keys next (where adaptive skew splitting cannot help).
+    aggregate on the same keys next (where adaptive skew splitting cannot help).  The salt
+    of a row is its input partition: copies of one row are spread as well, and a task that
+    runs again gives the same salts.
     """
     keys = list(keys)
     if salts <= 1:
         return df.join(stats, keys, how)
-    tag = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
+    tag = F.spark_partition_id() % F.lit(salts)
     copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return df.withColumn("_salt", tag).join(copies, [*keys, "_salt"], how).drop("_salt")

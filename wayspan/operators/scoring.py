@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wayspan.functions.columns import half_even, hour_number
 from wayspan.functions.tails import correlation_p
 from wayspan.operators.clean import ensure_calendar
-from wayspan.operators.ordering import ROWS_PER_BLOCK, group_quantiles, oversized, value_counts, with_positions
+from wayspan.operators.ordering import ROWS_PER_BLOCK, group_quantiles, group_sizes, oversized, value_counts, with_positions
 from wayspan.operators.outliers import poisson_weight, uniform
 
 WINDOW_SIZES = (5, 10, 15, 20, 30)
@@ -38,9 +38,14 @@ def unregister_score(name: str) -> None:
     _CUSTOM.pop(name, None)
 
 
+def _day(df: DataFrame) -> Column:
+    """The date column where there is one, so that a table partitioned by date is pruned."""
+    return F.col("date") if ("date", "date") in df.dtypes else F.col("timestamp").cast("date")
+
+
 def _dated(df: DataFrame) -> DataFrame:
     df = ensure_calendar(df)
-    return df.withColumn("date", F.col("timestamp").cast("date"))
+    return df.withColumn("date", _day(df))
 
 
 # --- daily points ---------------------------------------------------------------------
@@ -89,7 +94,7 @@ def daily_points(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 # --- rolling score ----------------------------------------------------------------------
 
 def _last_day(df: DataFrame) -> Column:
-    return df.agg(F.max(F.col("timestamp").cast("date"))).scalar()
+    return df.agg(F.max(_day(df))).scalar()
 
 
 def rolling_score(df: DataFrame, ref_date: str | None = None, days: int = 10) -> DataFrame:
@@ -98,7 +103,7 @@ def rolling_score(df: DataFrame, ref_date: str | None = None, days: int = 10) ->
     The date range is applied before the aggregation, so only those days are read.
     """
     df = ensure_calendar(df)
-    day = F.col("timestamp").cast("date")
+    day = _day(df)
     # one pass gives both the routes and the last day
     routes = df.groupBy("route_code").agg(F.max(day).alias("last_day")).filter(F.col("last_day").isNotNull())
     ref = F.lit(ref_date).cast("date") if ref_date else routes.agg(F.max("last_day")).scalar()
@@ -115,7 +120,7 @@ def window_scores(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES) -> DataF
     """Score per route for several window lengths from one pass: (route_code, label, score)."""
     df = ensure_calendar(df)
     ref = _last_day(df)
-    day = F.col("timestamp").cast("date")
+    day = _day(df)
     points = daily_points(df.filter((day >= F.date_sub(ref, max(windows))) & (day < ref)))
     age = F.datediff(ref, F.col("date"))
     sums = points.groupBy("route_code").agg(*[F.sum(F.when(age <= w, F.col("points"))).alias(f"w{w}") for w in windows])
@@ -290,23 +295,42 @@ def _as_score(df: DataFrame, label: str, value: str) -> DataFrame:
     return df.select("route_code", F.lit(label).alias("label"), F.col(value).alias("score"))
 
 
-def method_scores(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
-    """All methods in long form (route_code, label, score), custom ones included."""
-    large = many_routes(df) if large is None else large
-    out = _as_score(rolling_score(df, days=days), "rrs", "points")
-    out = out.unionByName(_as_score(percentile_score(df, large=large), "percentile", "percentile_score"))
-    out = out.unionByName(_as_score(zscore_score(df), "zscore", "zscore"))
-    out = out.unionByName(_as_score(median_score(df), "median", "median_speed"))
+def static_scores(df: DataFrame, large: bool | None = None, large_groups: bool | None = None) -> DataFrame:
+    """The methods that do not depend on a day window, custom ones included, in long form.
+
+    ``large``: more routes than one task takes; ``large_groups``: a route with too many rows.
+    Both are measured together when not given.
+    """
+    if large is None or large_groups is None:
+        rows, routes = group_sizes(df.filter(F.col("route_code").isNotNull()), ["route_code"])
+        large, large_groups = routes > ROWS_PER_BLOCK, rows > ROWS_PER_BLOCK
+    means = route_means(df.filter(F.col("route_code").isNotNull()))
+    medians = group_quantiles(df, ["route_code"], "avg_speed", {"median_speed": 0.5}, large=large_groups)
+    s = means.agg(F.avg("mean_speed").alias("mu"), F.stddev("mean_speed").alias("sd")).select(F.struct("mu", "sd").alias("s")).scalar()
+    wide = average_ranks(means, [], "mean_speed", large).join(medians, "route_code", "left")
+    scores = {
+        "percentile": F.col("avg_rank") / F.col("n_ranked") * 100,
+        "zscore": F.try_divide(F.col("mean_speed") - s.getField("mu"), s.getField("sd")),
+        "median": F.col("median_speed"),
+    }
+    out = wide.select("route_code", F.inline(F.array(*[F.struct(F.lit(k).alias("label"), v.alias("score")) for k, v in scores.items()])))
     for name, fn in _CUSTOM.items():
         out = out.unionByName(_as_score(fn(df), name, "score"))
     return out.withColumn("score", F.round("score", TIE_DIGITS))
 
 
+def method_scores(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
+    """All methods in long form (route_code, label, score)."""
+    return static_scores(df, large).unionByName(_as_score(rolling_score(df, days=days), "rrs", "points"))
+
+
 def method_agreement(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
     """Spearman matrix of the scoring methods."""
-    large = many_routes(df) if large is None else large
+    rows, routes = group_sizes(df.filter(F.col("route_code").isNotNull()), ["route_code"])
+    large = routes > ROWS_PER_BLOCK if large is None else large
     labels = [*METHODS, *_CUSTOM]
-    return rank_matrix(method_scores(df, days, large), labels, large=large).drop("raw_value")
+    scores = static_scores(df, large, rows > ROWS_PER_BLOCK).unionByName(_as_score(rolling_score(df, days=days), "rrs", "points"))
+    return rank_matrix(scores, labels, large=large).drop("raw_value")
 
 
 def transitivity(scores: DataFrame) -> DataFrame:
@@ -342,7 +366,7 @@ def score_intervals(
     """
     df = ensure_calendar(df)
     ref = F.lit(ref_date).cast("date") if ref_date else _last_day(df)
-    day = F.col("timestamp").cast("date")
+    day = _day(df)
     rows = df.filter((day >= F.date_sub(ref, days)) & (day < ref)).select(
         day.alias("date"), "route_code", "avg_speed", F.xxhash64(*[F.col(c) for c in row_key]).alias("_row")
     )
@@ -377,7 +401,7 @@ def stability_by_method(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES, la
     )
     rolling = pairs.select(F.lit("rrs").alias("method"), "value")
     others = [m for m in (*METHODS, *_CUSTOM) if m != "rrs"]
-    fixed = rank_matrix(method_scores(df, large=large).filter(F.col("label") != "rrs"), others, large=large).filter("row_key = col_key")
+    fixed = rank_matrix(static_scores(df, large), others, large=large).filter("row_key = col_key")
     fixed = fixed.select(F.col("row_key").alias("method"), F.col("raw_value").alias("value"))
     return _correlation_summary(rolling.unionByName(fixed), "max")
 

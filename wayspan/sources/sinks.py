@@ -30,8 +30,11 @@ def feed_rows(df: DataFrame) -> DataFrame:
 
 
 def append_feed(df: DataFrame, path: str) -> None:
-    """Append typed readings, one folder per date so that later scans can prune."""
-    feed_rows(df).repartition("date", F.pmod(F.xxhash64("route_code", "time"), F.lit(16))).write.mode("append").partitionBy("date").parquet(path)
+    """Append typed readings, one folder per date so that later scans can prune.
+
+    The rebalance hint lets adaptive execution merge small dates and split a busy one.
+    """
+    feed_rows(df).hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
 
 
 def rewrite_feed(cleaned: DataFrame, path: str, apply: bool = False) -> str | None:
