@@ -47,11 +47,11 @@ def test_week_bucket_ends_on_sunday(spark):
 def test_normal_distribution(spark):
     nd = NormalDist()
     df = spark.range(1, 2000).select((F.col("id") / 2000.0).alias("p"), ((F.col("id") - 1000) / 40.0).alias("x"))
-    rows = df.select("p", "x", normal.quantile("p").alias("q"), normal.cdf("x").alias("c"), normal.log_cdf("x").alias("l")).collect()
+    rows = normal.add_log_cdf(normal.add_cdf(normal.add_quantile(df, F.col("p"), "q"), F.col("x"), "c"), F.col("x"), "l").collect()
     assert max(abs(r.q - nd.inv_cdf(r.p)) for r in rows) < 1e-13
     assert max(abs(r.c - 0.5 * math.erfc(-r.x / math.sqrt(2))) for r in rows) < 1e-15
     assert max(abs(r.l - math.log(0.5 * math.erfc(-r.x / math.sqrt(2)))) for r in rows) < 1e-10
-    far = spark.range(1).select(normal.log_cdf(F.lit(-40.0)).alias("l"), normal.quantile(F.lit(0.0)).alias("q")).first()
+    far = normal.add_quantile(normal.add_log_cdf(spark.range(1), F.lit(-40.0), "l"), F.lit(0.0), "q").first()
     assert far.l == pytest.approx(-804.6084420137539, rel=1e-9) and far.q is None
 
 

@@ -1,18 +1,16 @@
-"""Standard normal distribution as Spark column expressions (stays inside codegen).
+"""Standard normal distribution as Spark columns (stays inside codegen).
 
-``cdf`` uses the W. J. Cody (1969) rational approximations of erf/erfc and
-``quantile`` the M. J. Wichura (1988, AS 241) ones; both are good to about 1e-15.
+The distribution function uses the W. J. Cody (1969) rational approximations of erf/erfc and
+its inverse the M. J. Wichura (1988, AS 241) ones; both are good to about 1e-15.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayspan.functions.columns import as_column
-
 # Published coefficients, lowest power first.
 AS241_CENTRE_NUM = [3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125,
                     45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727]
@@ -52,44 +50,43 @@ def _ratio(x: Column, num: Sequence[float], den: Sequence[float]) -> Column:
     return _poly(x, num) / _poly(x, den)
 
 
-def quantile(p: Column | str) -> Column:
-    """Inverse of the normal distribution function; NULL outside (0, 1)."""
-    p = as_column(p)
-    q = p - F.lit(0.5)
-    r = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
-    outer = F.when(r <= 5.0, _ratio(r - F.lit(1.6), AS241_MIDDLE_NUM, AS241_MIDDLE_DEN)).otherwise(
-        _ratio(r - F.lit(5.0), AS241_TAIL_NUM, AS241_TAIL_DEN)
-    )
-    centre = q * _ratio(F.lit(0.180625) - q * q, AS241_CENTRE_NUM, AS241_CENTRE_DEN)
-    value = F.when(F.abs(q) <= 0.425, centre).when(q < 0, -outer).otherwise(outer)
-    return F.when((p > 0) & (p < 1), value)
-
-
-def _erfc_positive(y: Column) -> Column:
-    """erfc for y >= 0.46875."""
-    inv = F.lit(1.0) / (y * y)
-    near = F.exp(-y * y) * _ratio(y, CODY_ERFC_NUM, CODY_ERFC_DEN)
-    far = F.exp(-y * y) / y * (F.lit(INV_SQRT_PI) + inv * _ratio(inv, CODY_FAR_NUM, CODY_FAR_DEN))
-    return F.when(y <= 4.0, near).otherwise(far)
-
-
-def cdf(x: Column | str) -> Column:
-    """Normal distribution function."""
-    z = as_column(x) * F.lit(SQRT_HALF)
-    y = F.abs(z)
-    core = z * _ratio(z * z, CODY_ERF_NUM, CODY_ERF_DEN)
-    tail = F.lit(0.5) * _erfc_positive(F.greatest(y, F.lit(0.46875)))
-    return F.when(y < 0.46875, F.lit(0.5) * (F.lit(1.0) + core)).when(z < 0, tail).otherwise(F.lit(1.0) - tail)
-
-
-def sf(x: Column | str) -> Column:
-    """Upper tail ``1 - cdf`` without cancellation."""
-    return cdf(-as_column(x))
-
-
-def log_cdf(x: Column | str) -> Column:
-    """Logarithm of the distribution function; far in the lower tail by its asymptotic series."""
-    x = as_column(x)
-    inv = F.lit(1.0) / (x * x)
-    far = -x * x / 2.0 - F.log(-x) - F.lit(LOG_SQRT_2PI) + F.log1p(-inv * (1.0 - inv * (3.0 - inv * 15.0)))
-    return F.when(x < -30.0, far).otherwise(F.log(cdf(F.greatest(x, F.lit(-30.0)))))
+# The pieces of each formula are separate columns: a polynomial repeats its argument many
+# times, and a column is computed once per row while a nested expression is not.
+
+def add_quantile(df: DataFrame, p: Column, out: str) -> DataFrame:
+    """Add the inverse of the normal distribution function; NULL outside (0, 1)."""
+    df = df.withColumn("_p", p)
+    df = df.withColumns({"_q": F.col("_p") - F.lit(0.5), "_r": F.sqrt(-F.log(F.least("_p", F.lit(1.0) - F.col("_p"))))})
+    q = F.col("_q")
+    df = df.withColumns({"_c": F.lit(0.180625) - q * q, "_m": F.col("_r") - F.lit(1.6), "_t": F.col("_r") - F.lit(5.0)})
+    centre = q * _ratio(F.col("_c"), AS241_CENTRE_NUM, AS241_CENTRE_DEN)
+    middle = _ratio(F.col("_m"), AS241_MIDDLE_NUM, AS241_MIDDLE_DEN)
+    tail = _ratio(F.col("_t"), AS241_TAIL_NUM, AS241_TAIL_DEN)
+    outer = F.when(F.col("_r") <= 5.0, middle).otherwise(tail)
+    value = F.when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * outer)
+    inside = (F.col("_p") > 0) & (F.col("_p") < 1)
+    return df.withColumn(out, F.when(inside, value)).drop("_p", "_q", "_r", "_c", "_m", "_t")
+
+
+def add_cdf(df: DataFrame, x: Column, out: str) -> DataFrame:
+    """Add the normal distribution function."""
+    df = df.withColumn("_z", x * F.lit(SQRT_HALF)).withColumn("_y", F.abs("_z"))
+    y, z = F.col("_y"), F.col("_z")
+    df = df.withColumns({"_s": z * z, "_i": F.lit(1.0) / F.nullif(z * z, F.lit(0.0)), "_e": F.exp(-z * z)})
+    core = z * _ratio(F.col("_s"), CODY_ERF_NUM, CODY_ERF_DEN)
+    near = F.col("_e") * _ratio(y, CODY_ERFC_NUM, CODY_ERFC_DEN)
+    inv = F.col("_i")
+    far = F.col("_e") / F.nullif(y, F.lit(0.0)) * (F.lit(INV_SQRT_PI) + inv * _ratio(inv, CODY_FAR_NUM, CODY_FAR_DEN))
+    df = df.withColumn("_u", F.lit(0.5) * F.when(y <= 4.0, near).otherwise(far))
+    value = F.when(y < 0.46875, F.lit(0.5) * (F.lit(1.0) + core)).when(z < 0, F.col("_u")).otherwise(F.lit(1.0) - F.col("_u"))
+    return df.withColumn(out, value).drop("_z", "_y", "_s", "_i", "_e", "_u")
+
+
+def add_log_cdf(df: DataFrame, x: Column, out: str) -> DataFrame:
+    """Add the logarithm of the distribution function; far in the lower tail by its asymptotic series."""
+    df = add_cdf(df.withColumn("_x", x), F.greatest(F.col("_x"), F.lit(-30.0)), "_cdf")
+    v = F.col("_x")
+    df = df.withColumn("_iv", F.lit(1.0) / F.nullif(v * v, F.lit(0.0)))
+    inv = F.col("_iv")
+    far = -v * v / 2.0 - F.log(-v) - F.lit(LOG_SQRT_2PI) + F.log1p(-inv * (1.0 - inv * (3.0 - inv * 15.0)))
+    return df.withColumn(out, F.when(v < -30.0, far).otherwise(F.log("_cdf"))).drop("_x", "_cdf", "_iv")

@@ -40,9 +40,10 @@ def normality(df: DataFrame, value: str = "avg_speed", large: bool | None = None
     stats = rows.groupBy("route_code").agg(F.avg("x").alias("_mu"), F.stddev("x").alias("_sd"))
     steps = attach(running_counts(rows, ["route_code"], "x", large=large), stats, ["route_code"], salts=SALTS)
     each = expand_counts(steps).withColumn("i", F.col("pos") + 1)
-    each = each.withColumn("m", normal.quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)))
+    each = normal.add_quantile(each, (F.col("i") - 0.375) / (F.col("n") + 0.25), "m")
     z = F.try_divide(F.col("x") - F.col("_mu"), F.col("_sd"))
-    each = each.withColumn("_ad", (2 * F.col("i") - 1) * normal.log_cdf(z) + (2 * (F.col("n") - F.col("i")) + 1) * normal.log_cdf(-z))
+    each = normal.add_log_cdf(normal.add_log_cdf(each, z, "_low"), -z, "_high")
+    each = each.withColumn("_ad", (2 * F.col("i") - 1) * F.col("_low") + (2 * (F.col("n") - F.col("i")) + 1) * F.col("_high"))
     i, n, x, m = F.col("i"), F.col("n"), F.col("x"), F.col("m")
     outer = F.when(n > 5, F.lit(2)).otherwise(F.lit(1))
     at = lambda cond, c: F.max(F.when(cond, c))
@@ -69,7 +70,7 @@ def qq_points(df: DataFrame, value: str = "avg_speed", large: bool | None = None
     i, n = F.col("pos") + 1, F.col("n")
     edge = F.pow(F.lit(0.5), F.lit(1.0) / n)
     median = F.when(i == n, edge).when(i == 1, 1.0 - edge).otherwise((i - 0.3175) / (n + 0.365))
-    return each.select("route_code", normal.quantile(median).alias("theoretical"), "ordered")
+    return normal.add_quantile(each, median, "theoretical").select("route_code", "theoretical", "ordered")
 
 
 def qq_lines(points: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wayspan.functions import columns as C
 from wayspan.operators import anomaly, enrich, forecast, patterns, stats
 from wayspan.plans.cleaning import WEATHER_SQL, scratch
-from wayspan.plans.registry import query
+from wayspan.plans.registry import normal_quantile_sql, query
 from wayspan.plans.tables import readings, route_table, shipments, weather_table
 from wayspan.streaming import feed as streams
 
@@ -257,7 +257,16 @@ def _(spark, d):
     return stats.residual_analysis(readings(spark, d))["acf"]
 
 
-@query("h17_residual_qq")
+@query("h17_residual_spread", f"WITH {DECOMP_SQL} SELECT route_code, avg(resid) AS mean, stddev(resid) AS std, count(*) AS n FROM dec GROUP BY 1", doubles="mean std", digits=5)
+def _(spark, d):
+    # the test on the residuals has no SQL counterpart; h17_residual_summary runs it
+    return stats.residual_analysis(readings(spark, d))["summary"].select("route_code", "mean", "std", "n")
+
+
+@query("h17_residual_qq", f"""WITH {DECOMP_SQL},
+o AS (SELECT route_code, resid AS x, row_number() OVER (PARTITION BY route_code ORDER BY resid) AS i, count(*) OVER (PARTITION BY route_code) AS n FROM dec),
+p AS (SELECT *, CASE WHEN i = n THEN pow(0.5e0, 1e0 / n) WHEN i = 1 THEN 1 - pow(0.5e0, 1e0 / n) ELSE (i - 0.3175e0) / (n + 0.365e0) END AS p FROM o)
+SELECT route_code, {normal_quantile_sql('p')} AS theoretical, x AS ordered FROM p""", doubles="theoretical ordered", digits=5)
 def _(spark, d):
     return stats.residual_analysis(readings(spark, d))["qq"]
 

@@ -218,14 +218,29 @@ def _(spark, d):
     return _codes(spark, d).select("p_partkey", C.is_plus_code("code").alias("is_plus_code"))
 
 
-@query("b8_route_points")
+def _place_sql(end: str, digits: list[int]) -> str:
+    """Centre of the cell nearest to the reference point, for digits after the prefix 7J4V."""
+    full = [5, 12, 2, 17, *[f"(p_partkey * {n} % 20)" for n in digits]]
+    lat = " + ".join(f"{full[i]} * {20.0 ** (1 - i // 2):.12g}e0" for i in range(0, 10, 2))
+    lon = " + ".join(f"{full[i]} * {20.0 ** (1 - i // 2):.12g}e0" for i in range(1, 10, 2))
+    if len(full) == 11:  # one grid digit: five rows, four columns
+        lat, lon = f"{lat} + ({full[10]} // 4) * 0.000025e0", f"{lon} + ({full[10]} % 4) * 0.00003125e0"
+        high, wide = "0.0000125e0", "0.000015625e0"
+    else:
+        high = wide = "0.0000625e0"
+    near = lambda c, ref: f"CASE WHEN {ref}e0 + 0.5e0 < {c} THEN {c} - 1 WHEN {ref}e0 - 0.5e0 > {c} THEN {c} + 1 ELSE {c} END"
+    return f"{near(f'({lat} - 90 + {high})', '12.9514242')} AS {end}_lat, {near(f'({lon} - 180 + {wide})', '77.6590212')} AS {end}_lon"
+
+
+@query("b8_route_points", f"SELECT p_partkey, {_place_sql('origin', [1, 3, 7, 9, 11, 13])}, {_place_sql('destination', [9, 7, 3, 1, 13, 17, 19])} FROM part",
+       needs="", doubles="origin_lat origin_lon destination_lat destination_lon", digits=8)
 def _(spark, d):
     alphabet = F.lit("23456789CFGHJMPQRVWX")
     digit = lambda n: F.substring(alphabet, (F.col("p_partkey") * n % 20 + 1).cast("int"), F.lit(1))
     short = F.concat(digit(1), digit(3), digit(7), digit(9), F.lit("+"), digit(11), digit(13))
     other = F.concat(digit(9), digit(7), digit(3), digit(1), F.lit("+"), digit(13), digit(17), digit(19))
     routes = table(spark, d, "part").select("p_partkey", F.concat(short, F.lit("|"), other).alias("route_code"))
-    return route_points(routes, 12.9514242, 77.6590212)
+    return route_points(routes, 12.9514242, 77.6590212).select("p_partkey", "origin_lat", "origin_lon", "destination_lat", "destination_lon")
 
 
 @query("b9_report_view", f"""WITH {PLACES_SQL}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wayspan.functions import tails
 from wayspan.operators import quality, stats
-from wayspan.plans.registry import query
+from wayspan.plans.registry import normal_quantile_sql, poly_sql, query
 from wayspan.plans.scoring import METHODS_SQL
 from wayspan.plans.tables import readings, shipments
 
@@ -139,17 +140,43 @@ def _(spark, d):
     return stats.route_variances(readings(spark, d))
 
 
+@query("g1_shapiro_statistic", f"""
+WITH o AS (SELECT route_code, avg_speed AS x, row_number() OVER (PARTITION BY route_code ORDER BY avg_speed) AS i, count(*) OVER (PARTITION BY route_code) AS n FROM r),
+p AS (SELECT *, (i - 0.375e0) / (n + 0.25e0) AS p FROM o WHERE n > 5), m AS (SELECT *, {normal_quantile_sql('p')} AS m FROM p),
+g AS (SELECT route_code, max(n) AS n, sum(m * m) AS s2, max(CASE WHEN i = n THEN m END) AS m1, max(CASE WHEN i = n - 1 THEN m END) AS m2, 1 / sqrt(max(n)) AS u, var_pop(x) * count(*) AS ssx FROM m GROUP BY 1),
+a AS (SELECT *, {poly_sql('u', tails.ROYSTON_LAST)} + m1 / sqrt(s2) AS a1, {poly_sql('u', tails.ROYSTON_NEXT)} + m2 / sqrt(s2) AS a2 FROM g),
+f AS (SELECT *, sqrt((s2 - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)) AS sc FROM a),
+t AS (SELECT m.route_code, sum(CASE WHEN i = f.n THEN a1 * x WHEN i = f.n - 1 THEN a2 * x WHEN i = 1 THEN -a1 * x WHEN i = 2 THEN -a2 * x ELSE m * x / sc END) AS top, any_value(ssx) AS ssx
+      FROM m JOIN f USING (route_code) GROUP BY 1)
+SELECT route_code, top * top / ssx AS shapiro_statistic FROM t""", doubles="shapiro_statistic")
+def _(spark, d):
+    return stats.normality(readings(spark, d)).select("route_code", "shapiro_statistic")
+
+
 @query("g6_power_analysis")
 def _(spark, d):
     return stats.power_analysis(readings(spark, d, "user_id"))
 
 
-@query("g7_qq_points")
+@query("g6_power_sufficient", "SELECT route_code, count(*) AS sample_size, 63.765610e0 AS required_sample_size, CASE WHEN count(*) >= 2 THEN count(*) >= 64 END AS is_sufficient FROM r GROUP BY route_code",
+       needs="u", doubles="required_sample_size", digits=4)
+def _(spark, d):
+    # the achieved power has no SQL counterpart; the tests check it
+    return stats.power_analysis(readings(spark, d, "user_id")).drop("actual_power")
+
+
+QQ_SQL = f"""o AS (SELECT route_code, avg_speed AS x, row_number() OVER (PARTITION BY route_code ORDER BY avg_speed) AS i, count(*) OVER (PARTITION BY route_code) AS n FROM r),
+p AS (SELECT *, CASE WHEN i = n THEN pow(0.5e0, 1e0 / n) WHEN i = 1 THEN 1 - pow(0.5e0, 1e0 / n) ELSE (i - 0.3175e0) / (n + 0.365e0) END AS p FROM o WHERE n >= 3),
+qq AS (SELECT route_code, {normal_quantile_sql('p')} AS theoretical, x AS ordered FROM p)"""
+
+
+@query("g7_qq_points", f"WITH {QQ_SQL} SELECT * FROM qq", doubles="theoretical ordered")
 def _(spark, d):
     return stats.qq_points(readings(spark, d))
 
 
-@query("g7_qq_lines")
+@query("g7_qq_lines", f"WITH {QQ_SQL} SELECT route_code, regr_slope(ordered, theoretical) AS slope, regr_intercept(ordered, theoretical) AS intercept, corr(ordered, theoretical) AS r, count(*) AS n FROM qq GROUP BY 1",
+       doubles="slope intercept r")
 def _(spark, d):
     return stats.qq_lines(stats.qq_points(readings(spark, d)))
 

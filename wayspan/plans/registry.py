@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayspan.functions import normal
+
 Build = Callable[[SparkSession, str], DataFrame]
 
 # Events as readings, in SQL; the counterpart of plans.tables.readings.
@@ -45,6 +48,23 @@ PRELUDES = {
 }
 
 
+def poly_sql(x: str, coefs) -> str:
+    """Polynomial in Horner form, lowest power first."""
+    out = repr(float(coefs[-1]))
+    for c in reversed(coefs[:-1]):
+        out = f"({out} * {x} + {float(c)!r})"
+    return re.sub(r"(\d\.\d+)(?![\de.])", r"\1e0", out)
+
+
+def normal_quantile_sql(p: str) -> str:
+    """Inverse normal distribution function of a column in (0, 1)."""
+    ratio = lambda x, a, b: f"({poly_sql(x, a)} / {poly_sql(x, b)})"
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    outer = f"(CASE WHEN {r} <= 5 THEN {ratio(f'({r} - 1.6e0)', normal.AS241_MIDDLE_NUM, normal.AS241_MIDDLE_DEN)} ELSE {ratio(f'({r} - 5)', normal.AS241_TAIL_NUM, normal.AS241_TAIL_DEN)} END)"
+    centre = f"(({p} - 0.5e0) * {ratio(f'(0.180625e0 - ({p} - 0.5e0) * ({p} - 0.5e0))', normal.AS241_CENTRE_NUM, normal.AS241_CENTRE_DEN)})"
+    return f"CASE WHEN abs({p} - 0.5e0) <= 0.425e0 THEN {centre} WHEN {p} < 0.5e0 THEN -{outer} ELSE {outer} END"
+
+
 def even_sql(sql: str) -> str:
     """Write ``round_even(x, n)`` as rounding of the scaled double, which is what the library does.
 
