@@ -74,7 +74,7 @@ def test_other_scores_and_agreement(grid, grid_pd):
     z = {r.route_code: r.zscore for r in scoring.zscore_score(grid).collect()}
     assert z == pytest.approx(((means - means.mean()) / means.std()).to_dict())
     matrix = {(r.row_key, r.col_key): r.value for r in scoring.method_agreement(grid).collect()}
-    assert len(matrix) == 16 and all(-1 <= v <= 1 for v in matrix.values()) and matrix["rrs", "rrs"] == 1
+    assert len(matrix) == 16 and all(-1 <= v <= 1 for v in matrix.values()) and matrix["rolling", "rolling"] == 1
     stab = {(r.row_key, r.col_key): r.value for r in scoring.window_stability(grid).collect()}
     assert len(stab) == 25 and stab["5d", "5d"] == 1
 
@@ -88,14 +88,14 @@ def test_reports_and_custom_score(spark, grid):
     scoring.register_score("slowest", lambda df: df.groupBy("route_code").agg(F.min("avg_speed").alias("score")))
     try:
         report = scoring.method_report(grid).toPandas()
-        timed = scoring.method_report(grid, spark.createDataFrame([("rrs", 2.0), ("median", 0.0)], "method string, mean_time double")).toPandas().set_index("method")
+        timed = scoring.method_report(grid, spark.createDataFrame([("rolling", 2.0), ("median", 0.0)], "method string, mean_time double")).toPandas().set_index("method")
         with pytest.raises(ValueError):
-            scoring.register_score("rrs", lambda df: df)
+            scoring.register_score("rolling", lambda df: df)
     finally:
         scoring.unregister_score("slowest")
-    assert set(report["method"]) == {"rrs", "percentile", "zscore", "median", "slowest"} and sorted(report["rank"]) == [1, 2, 3, 4, 5]
+    assert set(report["method"]) == {"rolling", "percentile", "zscore", "median", "slowest"} and sorted(report["rank"]) == [1, 2, 3, 4, 5]
     assert report["efficiency"].isna().all()
-    r = timed.loc["rrs"]
+    r = timed.loc["rolling"]
     assert r["overall_score"] == pytest.approx(0.4 * r["stability"] + 0.4 * r["robustness"] + 0.2 * 0.5, abs=1e-4)
     assert timed.loc["median", "efficiency"] == 0.0
 

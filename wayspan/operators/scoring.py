@@ -20,7 +20,7 @@ from wayspan.operators.outliers import poisson_weight, uniform
 
 WINDOW_SIZES = (5, 10, 15, 20, 30)
 THRESHOLDS = (2.0, 2.5, 3.0)
-METHODS = ("rrs", "percentile", "zscore", "median")
+METHODS = ("rolling", "percentile", "zscore", "median")
 CRITERIA_WEIGHTS = {"stability": 0.4, "robustness": 0.4, "efficiency": 0.2}
 TIE_DIGITS = 9  # sums that differ only by float noise count as equal
 
@@ -321,7 +321,7 @@ def static_scores(df: DataFrame, large: bool | None = None, large_groups: bool |
 
 def method_scores(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
     """All methods in long form (route_code, label, score)."""
-    return static_scores(df, large).unionByName(_as_score(rolling_score(df, days=days), "rrs", "points"))
+    return static_scores(df, large).unionByName(_as_score(rolling_score(df, days=days), "rolling", "points"))
 
 
 def method_agreement(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
@@ -329,7 +329,7 @@ def method_agreement(df: DataFrame, days: int = 10, large: bool | None = None) -
     rows, routes = group_sizes(df.filter(F.col("route_code").isNotNull()), ["route_code"])
     large = routes > ROWS_PER_BLOCK if large is None else large
     labels = [*METHODS, *_CUSTOM]
-    scores = static_scores(df, large, rows > ROWS_PER_BLOCK).unionByName(_as_score(rolling_score(df, days=days), "rrs", "points"))
+    scores = static_scores(df, large, rows > ROWS_PER_BLOCK).unionByName(_as_score(rolling_score(df, days=days), "rolling", "points"))
     return rank_matrix(scores, labels, large=large).drop("raw_value")
 
 
@@ -399,8 +399,8 @@ def stability_by_method(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES, la
     pairs = rank_matrix(window_scores(df, windows), labels, large=large).filter(
         F.array_position(position, F.col("row_key")) < F.array_position(position, F.col("col_key"))
     )
-    rolling = pairs.select(F.lit("rrs").alias("method"), "value")
-    others = [m for m in (*METHODS, *_CUSTOM) if m != "rrs"]
+    rolling = pairs.select(F.lit("rolling").alias("method"), "value")
+    others = [m for m in (*METHODS, *_CUSTOM) if m != "rolling"]
     fixed = rank_matrix(static_scores(df, large), others, large=large).filter("row_key = col_key")
     fixed = fixed.select(F.col("row_key").alias("method"), F.col("raw_value").alias("value"))
     return _correlation_summary(rolling.unionByName(fixed), "max")
@@ -419,7 +419,7 @@ def _variant_scores(df: DataFrame, thresholds: Sequence[float], days: int, large
     def tagged(part: DataFrame, method: str, value: str) -> DataFrame:
         return part.select("variant", F.lit(method).alias("method"), "route_code", F.round(value, TIE_DIGITS).alias("score"))
 
-    out = tagged(_labelled_rolling(rows, days), "rrs", "points")
+    out = tagged(_labelled_rolling(rows, days), "rolling", "points")
     out = out.unionByName(tagged(percentile_score(rows, ["variant"], large), "percentile", "percentile_score"))
     # the standard score keeps the order of the means, so the means give its ranks
     out = out.unionByName(tagged(route_means(rows, ["variant"]), "zscore", "mean_speed"))

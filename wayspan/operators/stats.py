@@ -93,7 +93,7 @@ def autocorrelation(
     means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
     if large is None:
         large = oversized(rows, keys)
-    centred = attach(rows, means.filter(F.col("_n") > max_lags), keys).withColumn("c", F.col("x") - F.col("_mu"))
+    centred = attach(rows, means.filter(F.col("_n") > max_lags), keys, salts=SALTS).withColumn("c", F.col("x") - F.col("_mu"))
     framed, w = row_frames(centred, keys, names, max_lags, 0, large=large, block_rows=block_rows)
     lagged = core_rows(framed.withColumns({f"l{k}": F.lag("c", k).over(w) for k in range(1, max_lags + 1)}))
     sums = lagged.groupBy(*keys).agg(F.sum(F.col("c") * F.col("c")).alias("s0"), *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, max_lags + 1)])
@@ -137,7 +137,7 @@ def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: st
     placed = with_positions(rows, ["route_code"], [f"_o{i}" for i in range(len(order))], large=large).select("route_code", "pos", "n", "x")
     means = rows.groupBy("route_code").agg(F.avg("x").alias("_mu"))
     lags = F.least(F.ceil(F.lit(12.0) * F.pow(F.col("n") / 100.0, F.lit(0.25))), F.floor(F.col("n") / 2) - 2).cast("int")
-    centred = attach(placed.filter("n >= 12"), means, ["route_code"]).withColumn("x", F.col("x") - F.col("_mu")).drop("_mu").withColumn("lags", lags)
+    centred = attach(placed.filter("n >= 12"), means, ["route_code"], salts=SALTS).withColumn("x", F.col("x") - F.col("_mu")).drop("_mu").withColumn("lags", lags)
     # row frames whose reach depends on the route: lags + 1 rows before each block
     size = F.lit(block_rows)
     own, off = F.floor(F.col("pos") / size), F.col("pos") % size

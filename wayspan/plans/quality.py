@@ -85,7 +85,7 @@ def _(spark, d):
 
 @query("f8_recommendation_rules", f"""WITH {QUALITY_SQL}, {COVER_SQL}, {METHODS_SQL},
 b AS (SELECT stddev(n) / avg(n) AS cv FROM (SELECT route_code, count(*) AS n FROM r GROUP BY 1)),
-a AS (SELECT corr(x.ar, y.ar) AS rho FROM mr x JOIN mr y USING (route_code) WHERE x.method = 'rrs' AND y.method = 'percentile'),
+a AS (SELECT corr(x.ar, y.ar) AS rho FROM mr x JOIN mr y USING (route_code) WHERE x.method = 'rolling' AND y.method = 'percentile'),
 dh AS (SELECT count(*) AS k FROM (SELECT hour FROM cov GROUP BY hour HAVING avg(completeness_pct) < 90)),
 f AS (
   SELECT 'missing_data_bias' AS type, CASE WHEN cv > 0.2e0 THEN 'high' ELSE 'medium' END AS severity FROM b WHERE cv > 0.1e0

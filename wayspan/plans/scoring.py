@@ -75,7 +75,7 @@ def _(spark, d):
 
 
 @query("e3_rolling_score_shipments", f"""
-WITH dates AS (SELECT * FROM s WHERE date < DATE '2001-10-01'), {points_sql('s')}
+WITH {points_sql('s')}
 SELECT a.route_code, round_even(coalesce(t.p, 0), 1) AS points FROM (SELECT DISTINCT route_code FROM s) a LEFT JOIN (
   SELECT route_code, sum(points) AS p FROM pts WHERE date >= DATE '2000-01-01' - 30 AND date < DATE '2000-01-01' GROUP BY route_code) t USING (route_code)
 """, needs="s", doubles="points", digits=1)
@@ -165,7 +165,7 @@ def _(spark, d):
 METHODS_SQL = f"""{score_sql('r')},
 means AS (SELECT route_code, avg(avg_speed) AS m, median(avg_speed) AS med FROM r GROUP BY route_code),
 ms AS (
-  SELECT route_code, 'rrs' AS method, points AS score FROM sc
+  SELECT route_code, 'rolling' AS method, points AS score FROM sc
   UNION ALL SELECT route_code, 'percentile', m FROM means
   UNION ALL SELECT route_code, 'zscore', m FROM means
   UNION ALL SELECT route_code, 'median', med FROM means),
@@ -181,7 +181,7 @@ def _(spark, d):
 
 @query("e13_score_intervals")
 def _(spark, d):
-    return scoring.score_intervals(readings(spark, d), ["event_id"], n_bootstrap=200)
+    return scoring.score_intervals(readings(spark, d), ["event_id"])
 
 
 @query("e14_transitivity", f"""WITH {score_sql('r')}, o AS (SELECT points, row_number() OVER (ORDER BY points DESC, route_code) AS pos FROM sc)
@@ -193,7 +193,7 @@ def _(spark, d):
 
 
 STABILITY_SQL = """stab AS (
-  SELECT 'rrs' AS method, avg(value) AS mean_correlation, stddev_pop(value) AS std_correlation, min(value) AS min_correlation, max(value) AS max_correlation
+  SELECT 'rolling' AS method, avg(value) AS mean_correlation, stddev_pop(value) AS std_correlation, min(value) AS min_correlation, max(value) AS max_correlation
   FROM wc WHERE w1 < w2
   UNION ALL SELECT unnest(['percentile', 'zscore', 'median']), 1e0, 0e0, 1e0, 1e0)"""
 
@@ -212,7 +212,7 @@ vpts AS (SELECT variant, date, route_code, CASE WHEN n = 1 THEN 0.5e0 ELSE n / 2
                 max(date) OVER (PARTITION BY variant) AS ref
          FROM (SELECT *, row_number() OVER (PARTITION BY variant, date ORDER BY m DESC, route_code) AS rk, count(*) OVER (PARTITION BY variant, date) AS n FROM vagg)),
 vs AS (
-  SELECT variant, 'rrs' AS method, route_code, round_even(coalesce(sum(points) FILTER (WHERE date < ref AND date >= ref - 10), 0), 1) AS score FROM vpts GROUP BY ALL
+  SELECT variant, 'rolling' AS method, route_code, round_even(coalesce(sum(points) FILTER (WHERE date < ref AND date >= ref - 10), 0), 1) AS score FROM vpts GROUP BY ALL
   UNION ALL SELECT variant, unnest(['percentile', 'zscore']), route_code, m FROM (SELECT variant, route_code, avg(avg_speed) AS m FROM v GROUP BY ALL)
   UNION ALL SELECT variant, 'median', route_code, median(avg_speed) FROM v GROUP BY ALL),
 vj AS (SELECT f.method, f.variant, b.score AS base, f.score FROM vs f JOIN vs b ON b.variant = 'all' AND b.method = f.method AND b.route_code = f.route_code WHERE f.variant <> 'all'),
