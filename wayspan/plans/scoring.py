@@ -169,7 +169,7 @@ ms AS (
   UNION ALL SELECT route_code, 'percentile', m FROM means
   UNION ALL SELECT route_code, 'zscore', m FROM means
   UNION ALL SELECT route_code, 'median', med FROM means),
-mr AS (SELECT method, route_code, {avg_rank_sql('score', 'method')} AS ar FROM ms)"""
+mr AS (SELECT method, route_code, {avg_rank_sql('score', 'method')} AS ar FROM (SELECT method, route_code, round(score, 9) AS score FROM ms))"""
 
 
 @query("e12_method_agreement", f"""WITH {METHODS_SQL}
@@ -215,7 +215,7 @@ vs AS (
   SELECT variant, 'rolling' AS method, route_code, round_even(coalesce(sum(points) FILTER (WHERE date < ref AND date >= ref - 10), 0), 1) AS score FROM vpts GROUP BY ALL
   UNION ALL SELECT variant, unnest(['percentile', 'zscore']), route_code, m FROM (SELECT variant, route_code, avg(avg_speed) AS m FROM v GROUP BY ALL)
   UNION ALL SELECT variant, 'median', route_code, median(avg_speed) FROM v GROUP BY ALL),
-vj AS (SELECT f.method, f.variant, b.score AS base, f.score FROM vs f JOIN vs b ON b.variant = 'all' AND b.method = f.method AND b.route_code = f.route_code WHERE f.variant <> 'all'),
+vj AS (SELECT f.method, f.variant, round(b.score, 9) AS base, round(f.score, 9) AS score FROM vs f JOIN vs b ON b.variant = 'all' AND b.method = f.method AND b.route_code = f.route_code WHERE f.variant <> 'all'),
 vr AS (SELECT method, variant, {avg_rank_sql('base', 'method, variant')} AS r1, {avg_rank_sql('score', 'method, variant')} AS r2 FROM vj),
 vc AS (SELECT method, variant, corr(r1, r2) AS value FROM vr GROUP BY ALL),
 rob AS (SELECT method, avg(value) AS mean_correlation, stddev_pop(value) AS std_correlation, min(value) AS min_correlation FROM vc GROUP BY method)"""
