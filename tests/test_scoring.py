@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayspan.operators import scoring
-from wayspan.operators.clean import with_calendar
 
 SCHEMA = "year int, month int, day int, hour int, route_code string, duration double, distance double, avg_speed double"
 

@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import patterned
 from wayspan.functions import tails
 from wayspan.operators import stats
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from wayspan.operators import clean, scoring
 from wayspan.plans.registry import query
