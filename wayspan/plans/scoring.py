@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from wayspan.operators import clean, scoring
 from wayspan.plans.registry import query
 from wayspan.plans.tables import raw_readings, readings, shipments
