@@ -5,16 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wayspan.llm import simhash_links
-from wayspan.llm.textops import table
+from wayspan.llm import fingerprints, simhash_links, stream_dedup
+from wayspan.llm.textops import settle, table, words
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prints of every text and of its edited form; ``n_within`` (ids divisible by 50): rows,
+    itself included, whose prints differ in three bits or fewer."""
+    near = fingerprints.with_next(table(spark, sf_dir, "documents")).withColumn("r", F.monotonically_increasing_id())
+    n = F.char_length("text")
+    moved = F.floor(n / 3).cast("int")
+    edited = F.concat(F.left("text", n - moved), F.left("next_text", moved))
+    both = near.select(
+        "r", "id", "key", "next_key", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
+        F.posexplode(F.array("text", edited)).alias("which", "body"),
+    )
+    keys = ["r", "id", "key", "next_key", "n_chars", "edited_sha256", "which"]
+    prints = fingerprints.votes(both.select(*keys, words(F.col("body")).alias("w")), keys)
+    own = F.col("which") == 0
+    rows = settle(prints.groupBy(*keys[:-1]).agg(
+        F.max(F.when(own, F.col("high"))).alias("a_high"), F.max(F.when(own, F.col("low"))).alias("a_low"),
+        F.max(F.when(~own, F.col("high"))).alias("e_high"), F.max(F.when(~own, F.col("low"))).alias("e_low"),
+    ))
+    follows = rows.groupBy(F.col("key").alias("next_key")).agg(F.max(F.struct("a_high", "a_low")).alias("x")).select("next_key", F.col("x.a_high").alias("n_high"), F.col("x.a_low").alias("n_low"))
+    distinct = rows.groupBy(F.col("a_high").alias("high"), F.col("a_low").alias("low")).agg(F.count("*").alias("n"))
+    asked = rows.filter("id % 50 = 0").select(F.col("a_high").alias("high"), F.col("a_low").alias("low")).distinct()
+    sizes = distinct.select(F.col("high").alias("p_high"), F.col("low").alias("p_low"), "n")
+    found = fingerprints.within(asked, distinct).join(sizes, ["p_high", "p_low"]).groupBy(F.col("q_high").alias("a_high"), F.col("q_low").alias("a_low")).agg(F.sum("n").alias("n_within"))
+    likeness = lambda a, b: 1.0 - fingerprints.differing(a, b) / fingerprints.BITS
+    return rows.join(follows, "next_key", "left").join(found, ["a_high", "a_low"], "left").select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
+        fingerprints.as_hex("a_high", "a_low").alias("fingerprint"), fingerprints.as_hex("e_high", "e_low").alias("edited_fingerprint"),
+        likeness("a", "e").alias("near_edited"), likeness("a", "n").alias("near_next"),
+        F.when(F.col("id") % 50 == 0, F.col("n_within")).alias("n_within"),
+    )
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_links.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stream_dedup.classes(spark, f"{sf_dir}/documents.parquet")
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_exact_dedup": op8_exact_dedup,
+}
+SQL: dict[str, str] = {
+    "op8_exact_dedup": """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM d JOIN g USING (body)""",
 }
-SQL: dict[str, str] = {}
