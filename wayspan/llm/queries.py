@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import fingerprints, simhash_links, stream_dedup
+from wayspan.llm import fingerprints, secrets, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found, _ = secrets.update(docs, path_col="doc_id")
+    rows = secrets.at_paths(docs, secrets.summary(found), path_col="doc_id")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"].isin([r.kind for r in secrets.BASE]))
+    return rows.select(
+        "doc_id", *[count(r.kind).alias(f"n_{r.kind}") for r in secrets.BASE],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prints of every text and of its edited form; ``n_within`` (ids divisible by 50): rows,
     itself included, whose prints differ in three bits or fewer."""
@@ -53,11 +65,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_secret_scans": op5_secret_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
 }
 SQL: dict[str, str] = {
+    "op5_secret_scans": secrets.oracle(),
     "op8_exact_dedup": """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
 g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
