@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import fingerprints, secrets, simhash_links, stream_dedup
+from wayspan.llm import debruijn, fingerprints, secrets, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 
@@ -64,11 +64,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = debruijn.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scans": op5_secret_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
     "op5_secret_scans": secrets.oracle(),
