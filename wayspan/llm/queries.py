@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import debruijn, fingerprints, secrets, simhash_links, stream_dedup
+from wayspan.llm import bloom_lm, debruijn, fingerprints, secrets, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found, _ = secrets.update(docs, path_col="doc_id")
@@ -70,6 +74,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op5_secret_scans": op5_secret_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
