@@ -80,7 +80,7 @@ def classes(spark: SparkSession, path: str, state: str | None = None, id_col: st
     held = settle(held.select("digest", "n", F.col("id").alias("keep_id"), F.col("at").alias("keep_at")))
     docs = _located(spark.read.parquet(path), id_col, text_col, digest)
     rows = docs.join(held, "digest").select(
-        "digest", "id", "at", "n", "keep_id", (F.col("at") == F.col("keep_at")).alias("kept"),
+        "digest", "id", "at", "n", "keep_id", ((F.col("at") == F.col("keep_at")) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
         F.when(F.col("n") > 1, F.col("body")).alias("body"),
         F.floor(F.col("n") / PER_SALT).alias("salts"),
     ).withColumn("salt", F.pmod(F.xxhash64("at"), F.col("salts") + 1))
