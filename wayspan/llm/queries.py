@@ -7,9 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import bloom_lm, debruijn, fingerprints, secrets, simhash_links, stream_dedup
+from wayspan.llm import bloom_lm, debruijn, fingerprints, secrets, sentencepieces, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text, and whether decoding them gives the text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepieces.encode_column(docs, PIECE_MODEL)
+    return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")
+
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
@@ -74,6 +83,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_lm_scoring": op2_lm_scoring,
     "op5_secret_scans": op5_secret_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
