@@ -6,7 +6,7 @@ path that is kept as one row; its first and last window overlap, so their hashes
 that occurs once cannot hold a repeated window and leave. Of the rest, equal paths are compacted
 by a count: all windows of a path that occurs twice are repeated. Only paths that occur once but
 share their mark with others are read again from their source coordinates and compared window by
-window. Two independent 64-bit hashes stand for the words of a window.
+window. A window is told by its mark and a 64-bit hash of its words.
 """
 
 from __future__ import annotations
@@ -19,37 +19,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayspan.llm import wordhash
-from wayspan.llm.textops import settle
+from wayspan.llm.textops import store
 
 WIDTH = 35
 MARK = 6
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-STEP = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+BASE = 0x9E3779B97F4A7C15
+STEP = 0xA0761D6478BD642F
 REF = "id long, th long"
 
 
-def _window_hashes(words: list[np.ndarray], width: int) -> list[np.ndarray]:
-    return [wordhash.rolling(h, width, step) for h, step in zip(words, STEP, strict=True)]
-
-
-def _paths(words: list[np.ndarray], limits: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first window, windows, mark, hash 1, hash 2) of the paths in a flat run of words; ``limits``
-    holds the number of words before each row, so that no window crosses two rows."""
-    total = len(words[0])
-    for lo in range(0, max(0, total - width + 1), wordhash.WORDS_AT_ONCE):
-        part = [h[lo : lo + wordhash.WORDS_AT_ONCE + width - 1] for h in words]
-        one, two = _window_hashes(part, width)
-        n = len(one)
+def _marks(words: np.ndarray, width: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest hash of MARK words in each of ``n`` windows, and the first place in the window that has it."""
+    span = min(MARK, width)
+    short = wordhash.rolling(words, span, STEP)
+    marks = wordhash.sliding_min(short, width - span + 1)[:n]
+    spot = np.zeros(n, np.int64)
+    for k in range(width - span, -1, -1):
+        spot[short[k : k + n] == marks] = k
+    return marks, spot
+
+
+def _paths(words: np.ndarray, limits: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first window, windows, mark, hash) of the paths in a flat run of words; ``limits`` holds the
+    number of words before each row, so that no window crosses two rows."""
+    for lo in range(0, max(0, len(words) - width + 1), wordhash.WORDS_AT_ONCE):
+        part = words[lo : lo + wordhash.WORDS_AT_ONCE + width - 1]
+        hashes = wordhash.rolling(part, width, STEP)
+        n = len(hashes)
         at = np.arange(lo, lo + n)
         row = np.searchsorted(limits, at, "right") - 1
         inside = at + width <= limits[row + 1]
-        span = min(MARK, width)
-        short = wordhash.rolling(part[0], span, STEP[0])
-        marks = wordhash.sliding_min(short, width - span + 1)[:n]
-        spot = np.zeros(n, np.int64)  # of the first place of the mark: equal windows of one text have different places
-        for k in range(width - span, -1, -1):
-            spot[short[k : k + n] == marks] = k
-        spot += at
+        marks, spot = _marks(part, width, n)
+        spot += at  # equal windows of one text have their marks at different places
         fresh = np.ones(n, bool)
         fresh[1:] = (spot[1:] != spot[:-1]) | (row[1:] != row[:-1])
         first = np.flatnonzero(fresh & inside)
@@ -57,13 +58,13 @@ def _paths(words: list[np.ndarray], limits: np.ndarray, width: int) -> Iterator[
             continue
         stops = np.append(np.flatnonzero(fresh | ~inside), n)
         last = stops[np.searchsorted(stops, first, "right")] - 1
-        count = (last - first + 1).astype(np.uint64)
-        whole = [wordhash._mix(h[first] * np.uint64(step) + h[last] + count) for h, step in zip((one, two), STEP, strict=True)]
-        yield first + lo, count.astype(np.int64), marks[first], *whole
+        count = last - first + 1
+        whole = wordhash._mix(hashes[first] * np.uint64(STEP) + hashes[last] + count.astype(np.uint64))
+        yield first + lo, count, marks[first], whole
 
 
 def _read_paths(width: int):
-    """Rows (id, th, text) to the paths of the texts: mark, s1, s2, id, th, at, n."""
+    """Rows (id, th, text) to the paths of the texts: mark, s, id, th, at, n."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,38 +73,38 @@ def _read_paths(width: int):
                 begins, ends, before = wordhash.word_limits(raw, limits)
                 if len(begins) < width:
                     continue
-                words = wordhash.word_hashes(raw, begins, ends, BASES)
-                for first, count, mark, s1, s2 in _paths(words, before, width):
+                words = wordhash.word_hashes(raw, begins, ends, (BASE,))[0]
+                for first, count, mark, whole in _paths(words, before, width):
                     row = np.searchsorted(before, first, "right") - 1
                     take = pa.array(row + start)
                     yield pa.record_batch(
-                        [pa.array(mark.view(np.int64)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), ids.take(take), ths.take(take), pa.array(first - before[row]), pa.array(count)],
-                        names=["mark", "s1", "s2", "id", "th", "at", "n"],
+                        [pa.array(mark.view(np.int64)), pa.array(whole.view(np.int64)), ids.take(take), ths.take(take), pa.array(first - before[row]), pa.array(count)],
+                        names=["mark", "s", "id", "th", "at", "n"],
                     )
 
     return read
 
 
 def _read_windows(width: int):
-    """Rows (id, th, text, paths) to the windows of the listed paths: h1, h2, id, th, at, weight, lone."""
+    """Rows (id, th, text, paths) to the windows of the listed paths: mark, h, id, th, at, lone."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, ths, listed = batch.column(0), batch.column(1), batch.column(3)
             for start, _, raw, limits in wordhash.text_chunks(batch.column(2)):
                 begins, ends, before = wordhash.word_limits(raw, limits)
-                words = wordhash.word_hashes(raw, begins, ends, BASES)
+                words = wordhash.word_hashes(raw, begins, ends, (BASE,))[0]
                 for r in range(len(limits) - 1):
-                    own = [h[before[r] : before[r + 1]] for h in words]
-                    one, two = _window_hashes(own, width)
+                    own = words[before[r] : before[r + 1]]
+                    hashes = wordhash.rolling(own, width, STEP)
+                    marks, _ = _marks(own, width, len(hashes))
                     paths = listed[start + r].values
-                    at, n, weight = (paths.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                    at, n, lone = (paths.field(k).to_numpy(zero_copy_only=False) for k in range(3))
                     spot = np.repeat(at, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                    weight = np.repeat(weight, n)
                     take = pa.array(np.full(len(spot), start + r))
                     yield pa.record_batch(
-                        [pa.array(one[spot].view(np.int64)), pa.array(two[spot].view(np.int64)), ids.take(take), ths.take(take), pa.array(spot), pa.array(weight)],
-                        names=["h1", "h2", "id", "th", "at", "weight"],
+                        [pa.array(marks[spot].view(np.int64)), pa.array(hashes[spot].view(np.int64)), ids.take(take), ths.take(take), pa.array(spot), pa.array(np.repeat(lone, n))],
+                        names=["mark", "h", "id", "th", "at", "lone"],
                     )
 
     return read
@@ -122,24 +123,22 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
 def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, at, n): runs of ``n`` windows from word ``at`` whose words start elsewhere too."""
     keyed = _keyed(docs, id_col, text_col)
-    paths = keyed.mapInArrow(_read_paths(width), f"mark long, s1 long, s2 long, {REF}, at long, n long")
+    paths = keyed.mapInArrow(_read_paths(width), f"mark long, s long, {REF}, at long, n long")
     shared = paths.groupBy("mark").agg(F.count("*").alias("seen")).filter("seen > 1").select("mark")
-    kept = settle(paths.join(shared, "mark"))
-    one = kept.groupBy("mark", "s1", "s2").agg(F.count("*").alias("c"), F.min("n").alias("n"))
-    kinds = settle(one)
+    kept = store(paths.join(shared, "mark"), "paths")
+    kinds = kept.groupBy("mark", "s").agg(F.count("*").alias("c"), F.min(F.struct("id", "th", "at", "n")).alias("source"))
+    kinds = store(kinds, "kinds")
+    whole = kept.join(kinds.filter("c > 1").select("mark", "s"), ["mark", "s"]).select("id", "th", "at", "n")
+    # of a mark with several kinds of paths each kind is read again at one source; a kind with
+    # copies is settled by ``whole`` and only there to be met by others
     mixed = kinds.groupBy("mark").agg(F.count("*").alias("kinds"), F.min("c").alias("least")).filter("kinds > 1 and least = 1").select("mark")
-    whole = kept.join(kinds.filter("c > 1").select("mark", "s1", "s2"), ["mark", "s1", "s2"]).select("id", "th", "at", "n")
-    # one source of each kind of path with a mixed mark; the others of its copies are in ``whole``
-    open_kinds = kinds.join(mixed, "mark").select("mark", "s1", "s2", "c")
-    source = kept.join(open_kinds, ["mark", "s1", "s2"]).groupBy("mark", "s1", "s2", "c").agg(F.min(F.struct("id", "th", "at", "n")).alias("x"))
-    lists = source.select("x.id", "x.th", F.struct("x.at", "x.n", F.least("c", F.lit(2)).alias("weight")).alias("path"))
-    lists = lists.groupBy("id", "th").agg(F.collect_list("path").alias("paths"))  # no more than the words of one text
+    again = kinds.join(mixed, "mark").select("source.id", "source.th", F.struct("source.at", "source.n", (F.col("c") == 1).alias("lone")).alias("path"))
+    lists = again.groupBy("id", "th").agg(F.collect_list("path").alias("paths"))  # no more than the words of one text
     texts = keyed.join(lists, _same_row(keyed, lists)).select(lists["id"], lists["th"], keyed["text"], "paths")
-    windows = settle(texts.mapInArrow(_read_windows(width), f"h1 long, h2 long, {REF}, at long, weight long"))
-    # copies of one row give the same coordinates again; they count once here and twice in their weight
-    windows = windows.groupBy("h1", "h2", "id", "th", "at").agg(F.max("weight").alias("weight"))
-    twice = windows.groupBy("h1", "h2").agg(F.sum("weight").alias("c")).filter("c > 1").select("h1", "h2")
-    lone = windows.filter("weight = 1").join(twice, ["h1", "h2"]).select("id", "th", "at", F.lit(1).cast("long").alias("n"))
+    windows = store(texts.mapInArrow(_read_windows(width), f"mark long, h long, {REF}, at long, lone boolean"), "windows")
+    weight = F.when(F.col("lone"), 1).otherwise(2)
+    twice = windows.groupBy("mark", "h").agg(F.sum(weight).alias("c")).filter("c > 1").select("mark", "h")
+    lone = windows.filter("lone").join(twice, ["mark", "h"]).select("id", "th", "at", F.lit(1).cast("long").alias("n"))
     return whole.union(lone)
 
 
@@ -174,7 +173,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     words; a text below ``width`` words loses none. Repeated rows count as copies of each
     other. An empty table gives an empty result; other columns are left alone.
     """
-    runs = repeated_windows(docs, width, id_col, text_col).groupBy("id", "th").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    found = repeated_windows(docs, width, id_col, text_col)
+    runs = store(found.groupBy("id", "th").agg(F.collect_list(F.struct("at", "n")).alias("runs")), "runs")
     keyed = _keyed(docs, id_col, text_col)
     rows = keyed.join(runs, _same_row(keyed, runs), "left").select(keyed["id"], keyed["text"], "runs")
     return rows.mapInArrow(_strip(width), "id long, n_words long, n_removed long, kept string")

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -315,7 +316,7 @@ def decode(v: Pieces, ids: np.ndarray, limits: np.ndarray) -> list[str]:
 def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Rows that together have about TEXT_AT_ONCE bytes."""
     row = 0
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     limits = np.concatenate([[0], np.cumsum(sizes)])
     while row < len(texts):
         end = max(row + 1, int(np.searchsorted(limits, limits[row] + TEXT_AT_ONCE, "right")) - 1)
