@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import bloom_lm, debruijn, fingerprints, secrets, sentencepieces, simhash_links, stream_dedup
+from wayspan.llm import bloom_lm, debruijn, fingerprints, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -24,6 +24,16 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (declared: lang, host: source) and pages in one table; ``doc_id`` is null for pages."""
+    docs = table(spark, sf_dir, "documents")
+    nothing = F.lit(None)
+    own = docs.select("doc_id", nothing.cast("long").alias("page_id"), "text", F.col("lang").alias("declared"), nothing.cast("string").alias("suffix"), F.col("source").alias("host"))
+    pages = language_id.page_evidence(table(spark, sf_dir, "pages")).select(nothing.cast("long").alias("doc_id"), "page_id", "text", "declared", "suffix", "host")
+    model = language_id.train(docs, "doc_id", "text", "lang")
+    return language_id.identify(own.unionByName(pages), model).drop("text")
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found, _ = secrets.update(docs, path_col="doc_id")
@@ -77,6 +87,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", mixing.register(F.col("text")).alias("topic"), mixing.token_count(F.col("text")).alias("tokens"))
+    return mixing.mix(docs)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = debruijn.without_repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -85,10 +100,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_lm_scoring": op2_lm_scoring,
+    "op4_language_id": op4_language_id,
     "op5_secret_scans": op5_secret_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_source_mixing": op9_source_mixing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
