@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import bloom_lm, debruijn, fingerprints, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
+from wayspan.llm import bloom_lm, debruijn, edit_counts, fingerprints, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# fixed value: the pre-token pattern that belongs to these ranks
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +27,20 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text before and after three edits: its middle 20 characters are replaced by
+    its first 40, ten are cut a third in, and its source is put in front."""
+    docs = table(spark, sf_dir, "documents")
+    n = F.char_length(F.coalesce("text", F.lit("")))
+    change = lambda at, size, new: F.struct(at.cast("int").alias("start"), F.lit(size).alias("length"), new.alias("insert"))
+    edits = F.array(
+        change(F.floor(n / 2), 20, F.left(F.coalesce("text", F.lit("")), F.lit(40))),
+        change(F.floor(n / 3), 10, F.lit("")),
+        change(F.lit(0), 0, F.concat(F.coalesce("source", F.lit("")), F.lit("\n"))),
+    )
+    return edit_counts.recount(docs.select("doc_id", "text", edits.alias("edits")), RANKS, PATTERN)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents (declared: lang, host: source) and pages in one table; ``doc_id`` is null for pages."""
     docs = table(spark, sf_dir, "documents")
@@ -100,6 +117,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_secret_scans": op5_secret_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
