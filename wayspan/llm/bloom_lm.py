@@ -233,7 +233,7 @@ def _scores(model):
     return read
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 64, head_words: int = 500_000) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 48, head_words: int = 500_000) -> DataFrame:
     """One row for every row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score
     and score, log10 of the probability of the whole text.
 

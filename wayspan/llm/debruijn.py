@@ -124,20 +124,21 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id"
     """(id, th, at, n): runs of ``n`` windows from word ``at`` whose words start elsewhere too."""
     keyed = _keyed(docs, id_col, text_col)
     paths = keyed.mapInArrow(_read_paths(width), f"mark long, s long, {REF}, at long, n long")
-    shared = paths.groupBy("mark").agg(F.count("*").alias("seen")).filter("seen > 1").select("mark")
+    # stored, so that the join can split a mark that very many paths share
+    shared = store(paths.groupBy("mark").agg(F.count("*").alias("seen")).filter("seen > 1").select("mark"), "marks")
     kept = store(paths.join(shared, "mark"), "paths")
     kinds = kept.groupBy("mark", "s").agg(F.count("*").alias("c"), F.min(F.struct("id", "th", "at", "n")).alias("source"))
     kinds = store(kinds, "kinds")
     whole = kept.join(kinds.filter("c > 1").select("mark", "s"), ["mark", "s"]).select("id", "th", "at", "n")
     # of a mark with several kinds of paths each kind is read again at one source; a kind with
     # copies is settled by ``whole`` and only there to be met by others
-    mixed = kinds.groupBy("mark").agg(F.count("*").alias("kinds"), F.min("c").alias("least")).filter("kinds > 1 and least = 1").select("mark")
+    mixed = store(kinds.groupBy("mark").agg(F.count("*").alias("kinds"), F.min("c").alias("least")).filter("kinds > 1 and least = 1").select("mark"), "mixed")
     again = kinds.join(mixed, "mark").select("source.id", "source.th", F.struct("source.at", "source.n", (F.col("c") == 1).alias("lone")).alias("path"))
     lists = again.groupBy("id", "th").agg(F.collect_list("path").alias("paths"))  # no more than the words of one text
     texts = keyed.join(lists, _same_row(keyed, lists)).select(lists["id"], lists["th"], keyed["text"], "paths")
     windows = store(texts.mapInArrow(_read_windows(width), f"mark long, h long, {REF}, at long, lone boolean"), "windows")
     weight = F.when(F.col("lone"), 1).otherwise(2)
-    twice = windows.groupBy("mark", "h").agg(F.sum(weight).alias("c")).filter("c > 1").select("mark", "h")
+    twice = store(windows.groupBy("mark", "h").agg(F.sum(weight).alias("c")).filter("c > 1").select("mark", "h"), "twice")
     lone = windows.filter("lone").join(twice, ["mark", "h"]).select("id", "th", "at", F.lit(1).cast("long").alias("n"))
     return whole.union(lone)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
-CHUNK = 4 << 20  # bytes of text handled at once; a longer text is a chunk of its own
+CHUNK = 2 << 20  # bytes of text handled at once; a longer text is a chunk of its own
 WORDS_AT_ONCE = 1 << 18
 
 
