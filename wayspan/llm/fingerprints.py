@@ -102,8 +102,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     inner = rows.select("*", F.lag("text").over(order).alias("next_text"), F.lag("key").over(order).alias("next_key"))
     tops = rows.groupBy("part").agg(F.max(F.struct("key", "text")).alias("top"))
     before = _earlier(tops.select(F.col("part").alias("key")), LEVELS - 1)
-    last = tops.agg(F.max("part").alias("last"))
-    source = before.join(F.broadcast(last)).select(F.col("key").alias("part"), F.coalesce("before", "last").alias("from_part"))  # one row
+    last = tops.agg(F.max("part")).scalar()
+    source = before.select(F.col("key").alias("part"), F.coalesce(F.col("before"), last).alias("from_part"))
     heads = source.join(tops.select(F.col("part").alias("from_part"), "top"), "from_part").select("part", "top")
     return inner.join(heads, "part").select(
         "id", "key", "text", F.coalesce("next_text", "top.text").alias("next_text"), F.coalesce("next_key", "top.key").alias("next_key")

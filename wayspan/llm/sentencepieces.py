@@ -24,7 +24,7 @@ from wayspan.llm import wordhash
 BLANK = "▁"
 REACH = 16  # characters of a suffix that are sorted, four to a key
 SLOTS = 1 << 21  # remembered pairs
-TEXT_AT_ONCE = 8 << 20
+TEXT_AT_ONCE = 4 << 20
 
 
 def _order(x: np.ndarray) -> np.ndarray:
