@@ -90,7 +90,7 @@ def test_histogram_matches_numpy(spark, grid_pd, grid):
 
 
 def test_cdf(grid, grid_pd):
-    steps = patterns.cdf_points(grid, large=True)
+    steps = patterns.cdf_points(grid)
     assert steps.groupBy("route_code").agg(F.max("cdf").alias("m")).filter("m <> 1").count() == 0
     marks = {(r.route_code, r.share): r.avg_speed for r in patterns.cdf_markers(grid).collect()}
     x = np.sort(grid_pd[grid_pd.route_code == "ROUTE_B"]["avg_speed"].to_numpy())
@@ -105,12 +105,11 @@ def timeline_direct(pdf, window=168):
     return out
 
 
-@pytest.mark.parametrize("large", [False, True])
 @pytest.mark.parametrize("keep", [720, 101, 100])
-def test_deviation_timeline(spark, grid_pd, large, keep):
+def test_deviation_timeline(spark, grid_pd, keep):
     pdf = grid_pd.sort_values("timestamp").groupby("route_code").head(keep)
     df = with_calendar(spark.createDataFrame(pdf.drop(columns=["timestamp", "day_of_week"])))
-    got = anomaly.deviation_timeline(df, large=large, block_rows=200).toPandas().sort_values("timestamp")
+    got = anomaly.deviation_timeline(df, block_rows=200).toPandas().sort_values("timestamp")
     for route, want in timeline_direct(pdf).items():
         assert np.allclose(got[got.route_code == route]["deviation_ma"], want, atol=1e-9)
 

@@ -68,8 +68,6 @@ def test_other_scores_and_agreement(grid, grid_pd):
     means = grid_pd.groupby("route_code")["avg_speed"].mean()
     pct = {r.route_code: r.percentile_score for r in scoring.percentile_score(grid).collect()}
     assert pct == pytest.approx((means.rank(pct=True) * 100).to_dict())
-    large = {r.route_code: r.percentile_score for r in scoring.percentile_score(grid, large=True).collect()}
-    assert large == pytest.approx(pct)
     z = {r.route_code: r.zscore for r in scoring.zscore_score(grid).collect()}
     assert z == pytest.approx(((means - means.mean()) / means.std()).to_dict())
     matrix = {(r.row_key, r.col_key): r.value for r in scoring.method_agreement(grid).collect()}
@@ -110,3 +108,9 @@ def test_intervals_bracket_the_score(grid):
 def test_transitivity(spark):
     scores = spark.createDataFrame([("A", 3.0), ("B", 1.0), ("C", 1.0), ("D", -2.0)], "route_code string, points double")
     assert list(scoring.transitivity(scores).first()) == [4, 0, True]
+
+
+def test_percentile_leaves_out_routes_without_speed(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0), ("d", None)], "route_code string, avg_speed double")
+    got = {r.route_code: r.percentile_score for r in scoring.percentile_score(df).collect()}
+    assert got == {"a": pytest.approx(100 / 3), "b": pytest.approx(200 / 3), "c": 100.0, "d": None}

@@ -24,10 +24,9 @@ def series(spark):
     return spark.createDataFrame(pdf).cache(), pdf
 
 
-@pytest.mark.parametrize("large", [False, True])
-def test_normality(series, large):
+def test_normality(series):
     df, pdf = series
-    got = stats.normality(df, large=large).toPandas().set_index("route_code")
+    got = stats.normality(df).toPandas().set_index("route_code")
     for route in ("ar", "white"):
         x = np.sort(pdf[pdf.route_code == route]["avg_speed"].to_numpy())
         n, i = len(x), np.arange(1, len(x) + 1)
@@ -61,10 +60,10 @@ def adf_direct(x):
     return stat, best, n
 
 
-@pytest.mark.parametrize("large,block", [(False, 50_000), (True, 60)])
-def test_stationarity(series, large, block):
+@pytest.mark.parametrize("block", [50_000, 60])
+def test_stationarity(series, block):
     df, pdf = series
-    got = stats.stationarity(df, block_rows=block, large=large).toPandas().set_index("route_code")
+    got = stats.stationarity(df, block_rows=block).toPandas().set_index("route_code")
     for route in ("ar", "white"):
         stat, lag, n = adf_direct(pdf[pdf.route_code == route]["avg_speed"].to_numpy())
         assert got.loc[route, "adf_statistic"] == pytest.approx(stat, rel=1e-7)
@@ -73,10 +72,9 @@ def test_stationarity(series, large, block):
     assert pd.isna(got.loc["flat", "adf_statistic"]) and pd.isna(got.loc["short", "adf_statistic"])
 
 
-@pytest.mark.parametrize("large", [False, True])
-def test_autocorrelation(series, large):
+def test_autocorrelation(series):
     df, pdf = series
-    got = stats.autocorrelation(df, 24, large=large, block_rows=50).toPandas().pivot(index="route_code", columns="lag", values="acf")
+    got = stats.autocorrelation(df, 24, block_rows=50).toPandas().pivot(index="route_code", columns="lag", values="acf")
     x = pdf[pdf.route_code == "ar"]["avg_speed"].to_numpy()
     c = x - x.mean()
     want = [(c[: len(c) - k] * c[k:]).sum() / (c * c).sum() for k in range(25)]

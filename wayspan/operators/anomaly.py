@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wayspan.functions import columns as C
 from wayspan.operators.clean import ensure_calendar
 from wayspan.operators.enrich import with_labels
-from wayspan.operators.ordering import attach, core_rows, oversized, row_frames
+from wayspan.operators.ordering import attach, core_rows, row_frames
 from wayspan.operators.patterns import SALTS, only_routes
 
 CONTEXT = ["route_code", "hour", "day_of_week"]
@@ -18,8 +18,9 @@ WEEK_ROWS = 168
 
 
 def context_stats(df: DataFrame) -> DataFrame:
-    """Mean, deviation and rows per route, hour and weekday (at most 168 rows per route)."""
-    return df.groupBy(*CONTEXT).agg(
+    """Mean, deviation and rows per route, hour and weekday (at most 168 rows per route); readings
+    of unknown hour or day belong to no context."""
+    return df.filter(F.col("hour").isNotNull() & F.col("day_of_week").isNotNull()).groupBy(*CONTEXT).agg(
         F.avg("avg_speed").alias("expected_speed"), F.stddev("avg_speed").alias("context_std"),
         F.count("avg_speed").alias("context_n"), F.var_pop("avg_speed").alias("context_var"),
     )
@@ -35,12 +36,13 @@ def route_residual_spread(cells: DataFrame) -> DataFrame:
 def with_expected(df: DataFrame, spread: bool = False) -> DataFrame:
     """Add the context mean and the deviation from it; optionally the route's residual spread.
 
-    The facts meet one small table of context cells.
+    The facts meet one small table of context cells. A reading without a context is kept, its
+    expectation is NULL.
     """
     df = ensure_calendar(df)
     cells = context_stats(df)
-    small = cells.join(route_residual_spread(cells), "route_code") if spread else cells
-    out = attach(df, small.drop("context_var"), CONTEXT)
+    small = attach(cells, route_residual_spread(cells), ["route_code"]) if spread else cells
+    out = attach(df, small.drop("context_var"), CONTEXT, "left")
     return out.withColumn("deviation", F.col("avg_speed") - F.col("expected_speed"))
 
 
@@ -67,22 +69,19 @@ def control_summary(df: DataFrame, route: str | None = None) -> DataFrame:
 
 def deviation_timeline(
     df: DataFrame, route: str | None = None, order: Sequence[str] = ("timestamp",), window: int = WEEK_ROWS,
-    block_rows: int = 100_000, large: bool | None = None,
+    block_rows: int = 100_000,
 ) -> DataFrame:
     """Deviation from the context mean with its centred moving mean over ``window`` rows.
 
-    A route with fewer rows uses a window as long as the route. ``order`` must order the
-    rows of a route uniquely. Frames run over numbered row blocks with copied edges, so a
+    A route with fewer rows uses a window as long as the route. Rows of equal ``order`` follow
+    the hash of their columns. Frames run over numbered row blocks with copied edges, so a
     busy route is not one task.
     """
     df = only_routes(ensure_calendar(df), route)
-    if large is None:
-        large = oversized(df, ["route_code"])
     ahead = (window - 1) // 2
     behind = window - 1 - ahead
-    rows, order_window = row_frames(
-        with_expected(df, spread=True), ["route_code"], list(order), behind, ahead, large=large, block_rows=block_rows
-    )
+    tied = with_expected(df, spread=True).withColumn("_tie", F.xxhash64(*df.columns))
+    rows, order_window = row_frames(tied, ["route_code"], [*order, "_tie"], behind, ahead, block_rows=block_rows)
     # a route below ``window`` rows lies in one frame; its few deviations travel as an array
     few = F.col("n") < window
     whole = order_window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -96,7 +95,7 @@ def deviation_timeline(
     out = core_rows(rows.withColumn("deviation_ma", F.when(few, short).otherwise(F.col("_long"))))
     limit = 3 * F.col("residual_std")
     return out.withColumn("is_anomaly", F.coalesce(F.abs("deviation") > limit, F.lit(False))).drop(
-        "_long", "_all", "context_std", "context_n", "route_rows"
+        "_long", "_all", "_tie", "context_std", "context_n", "route_rows"
     )
 
 

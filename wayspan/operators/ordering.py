@@ -1,14 +1,15 @@
 """Exact positions, quantiles and sliding frames for groups of any size.
 
-A window over ``partitionBy(route)`` puts a whole route into one task.  That is
-used here only when a count shows that no group exceeds ``rows_per_block``.
-Otherwise the same numbers come from groups cut into ordered blocks, each handled
-by its own task:
-
-1. count the rows of every group;
-2. for large groups only, take a hash sample of the order keys (the same rows on
-   every run) and keep every n-th as a split point - bounded by ``MAX_BLOCKS``;
+A window over ``partitionBy(route)`` puts a whole route into one task. Here every group is cut
+into ordered blocks, each handled by its own task; a group that fits one block simply has one:
+
+1. count the rows of every group, and from that its number of blocks;
+2. take a hash sample of the order keys of groups with more than one block (the same rows on
+   every run) and keep every n-th as a split point;
 3. number the rows inside (group, block) and add the rows of earlier blocks.
+
+Split points are looked up on two levels, so that no row meets more than about the square root
+of them. NULL is a group key like any other. Nothing runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -19,25 +20,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 1_000_000
-MAX_BLOCKS = 4096
 OVERSAMPLE = 16
-FANOUT = 64
+FANOUT = 256
 SALTS = 32
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, number of groups), from one count over the key columns."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c"), F.count(F.lit(1))).first()
-    return row[0] or 0, row[1]
-
-
-def oversized(df: DataFrame, keys: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK) -> bool:
-    """Whether some group is too large for one task (one count over the key columns)."""
-    if not keys:
-        return df.count() > rows_per_block
-    return group_sizes(df, keys)[0] > rows_per_block
-
-
 def _uniform(*cols: Column) -> Column:
     """A repeatable number in [0, 1) made from the given columns."""
     return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 52) - 1)).cast("double") / F.lit(float(1 << 52))
@@ -49,7 +36,7 @@ def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: s
     df = df.withColumn("_ord", F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]))
     total = F.count(F.lit(1)) if weight is None else F.sum(weight)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), total.alias("_total")).withColumn(
-        "_blocks", F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("_rows") / F.lit(rows_per_block)))
+        "_blocks", F.ceil(F.col("_rows") / F.lit(rows_per_block))
     )
     hot = sizes.filter("_blocks > 1").select(*keys, "_rows", "_blocks")
     picked = _uniform(*[F.col(k) for k in keys], F.col("_ord")) < F.col("_blocks") * F.lit(OVERSAMPLE) / F.col("_rows")
@@ -61,22 +48,21 @@ def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: s
             df.select("_ord").withColumn("_p", pair)
             .withColumn("_rows", F.col("_p._rows")).withColumn("_blocks", F.col("_p._blocks")).filter(picked)
         )
-    splits = sample.groupBy(*keys).agg(F.sort_array(F.collect_set("_ord")).alias("_all")).select(
-        *keys, F.filter("_all", lambda x, i: i % OVERSAMPLE == OVERSAMPLE - 1).alias("_splits")
-    )
-    splits = splits.withColumn("_coarse", F.filter("_splits", lambda x, i: i % FANOUT == FANOUT - 1))
+    # OVERSAMPLE rows a block: a small table, ordered group by group
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy("_ord"))
+    splits = sample.select(*keys, "_ord").distinct().withColumn("_at", at).filter(F.col("_at") % OVERSAMPLE == 0)
+    splits = splits.withColumn("_at", (F.col("_at") / OVERSAMPLE).cast("long") - 1)
+    last = F.col("_at") % FANOUT == FANOUT - 1
+    coarse = splits.filter(last).groupBy(*keys).agg(F.sort_array(F.collect_list("_ord")).alias("_coarse"))
+    fine = splits.filter(~last).groupBy(*keys, F.floor(F.col("_at") / FANOUT).cast("int").alias("_c")).agg(F.sort_array(F.collect_list("_ord")).alias("_fine"))
     if keys:
-        plan = sizes.select(*keys, "_total").join(splits, keys, "left")
-        out = attach(df, plan, keys, salts=SALTS)
+        out = attach(df, attach(sizes.select(*keys, "_total"), coarse, keys, "left"), keys, salts=SALTS)
     else:
-        out = df.withColumn("_total", sizes.select("_total").scalar())
-        for name in ("_splits", "_coarse"):
-            out = out.withColumn(name, splits.select(name).scalar())
-    coarse = F.size(F.filter("_coarse", lambda s: s <= F.col("_ord")))
-    out = out.withColumn("_c", F.when(F.col("_coarse").isNull(), F.lit(0)).otherwise(coarse))
-    fine = F.size(F.filter(F.slice("_splits", F.col("_c") * FANOUT + 1, F.lit(FANOUT)), lambda s: s <= F.col("_ord")))
-    block = F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(F.col("_c") * FANOUT + fine)
-    return out.withColumn("_block", block).drop("_splits", "_coarse", "_c")
+        out = df.withColumn("_total", sizes.select("_total").scalar()).withColumn("_coarse", coarse.select("_coarse").scalar())
+    passed = lambda name: F.coalesce(F.size(F.filter(name, lambda s: s <= F.col("_ord"))), F.lit(0))
+    counted = lambda name: F.when(F.col(name).isNull(), F.lit(0)).otherwise(passed(name))
+    out = attach(out.withColumn("_c", counted("_coarse")), fine, [*keys, "_c"], "left", salts=SALTS)
+    return out.withColumn("_block", F.col("_c") * FANOUT + counted("_fine")).drop("_coarse", "_fine", "_c")
 
 
 def with_positions(
@@ -88,26 +74,13 @@ def with_positions(
     pos: str = "pos",
     total: str = "n",
     rows_per_block: int = ROWS_PER_BLOCK,
-    large: bool | None = None,
 ) -> DataFrame:
     """0-based position of each row in its group and the group size.
 
     With ``weight``, ``pos`` is the weight of all earlier rows and ``total`` the
     weight of the group.  ``order`` must be unique inside a group for a fixed result.
-    ``large`` states whether some group is oversized; by default it is measured.
     """
     keys = list(keys)
-    if large is None:
-        large = oversized(df, keys, rows_per_block)
-    if not large:
-        group = Window.partitionBy(*keys)
-        ordered = group.orderBy(*order)
-        if weight is None:
-            at, size = F.row_number().over(ordered) - 1, F.count(F.lit(1)).over(group)
-        else:
-            earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-            at, size = F.coalesce(F.sum(weight).over(earlier), F.lit(0)), F.sum(weight).over(group)
-        return df.withColumn(pos, at.cast("bigint")).withColumn(total, size.cast("bigint"))
     rows = _blocked(df, keys, order, weight, rows_per_block)
     amount = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
     blocks = rows.groupBy(*keys, "_block").agg(F.sum(amount).alias("_in"))
@@ -123,7 +96,7 @@ def with_positions(
         local = F.coalesce(F.sum(amount).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = spread.withColumn("_local", local)
     return (
-        numbered.join(offsets, [*keys, "_block"])
+        attach(numbered, offsets, [*keys, "_block"])
         .withColumn(pos, F.col("_local") + F.col("_off"))
         .withColumn(total, F.col("_total").cast("bigint"))
         .drop("_local", "_off", "_block", "_ord", "_total")
@@ -136,12 +109,12 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def running_counts(
-    df: DataFrame, keys: Sequence[str], value: str, *, rows_per_block: int = ROWS_PER_BLOCK, large: bool | None = None
+    df: DataFrame, keys: Sequence[str], value: str, *, rows_per_block: int = ROWS_PER_BLOCK
 ) -> DataFrame:
     """Per (group, value): ``cnt``, rows below it (``below``) and group rows ``n``."""
     return with_positions(
         value_counts(df, keys, value), keys, [value], weight="cnt", pos="below", total="n",
-        rows_per_block=rows_per_block, large=large,
+        rows_per_block=rows_per_block,
     )
 
 
@@ -180,41 +153,26 @@ def group_quantiles(
     *,
     rows_per_block: int = ROWS_PER_BLOCK,
     accuracy: int | None = None,
-    large: bool | None = None,
 ) -> DataFrame:
-    """Exact quantiles per group; ``accuracy`` switches to the bounded-memory approximation.
-
-    ``percentile`` keeps every distinct value of a group in one task, so it serves only
-    groups of checked size; larger ones go through :func:`running_counts`.
-    """
+    """Exact quantiles per group from running counts of its values; ``accuracy`` asks for the
+    approximation in one pass instead."""
     if accuracy:
         cols = [F.percentile_approx(value, F.lit(float(q)), F.lit(accuracy)).alias(n) for n, q in qs.items()]
         return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(*cols)
-    if large is None:
-        large = oversized(df, keys, rows_per_block)
-    if not large:
-        shares = F.array(*[F.lit(float(q)) for q in qs.values()])
-        out = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.percentile(value, shares).alias("_q"))
-        return out.select(*keys, *[F.get("_q", i).alias(n) for i, n in enumerate(qs)])
-    return quantiles_of(running_counts(df, keys, value, large=True, rows_per_block=rows_per_block), keys, value, qs)
+    return quantiles_of(running_counts(df, keys, value, rows_per_block=rows_per_block), keys, value, qs)
 
 
 def row_frames(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int, after: int, *,
-    large: bool | None = None, block_rows: int = 100_000, rows_per_block: int = ROWS_PER_BLOCK,
+    block_rows: int = 100_000, rows_per_block: int = ROWS_PER_BLOCK,
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows with ``pos`` and ``n``, and a window in row order that sees ``before`` rows back and ``after`` ahead.
 
-    Where no group is oversized this is a plain window per group. Otherwise the numbered
-    rows are cut into blocks of ``block_rows``, and each block also receives copies of its
-    neighbours' edge rows. Call :func:`core_rows` afterwards to drop the copies.
+    The numbered rows are cut into blocks of ``block_rows``, and each block also receives copies
+    of its neighbours' edge rows. Call :func:`core_rows` afterwards to drop the copies.
     """
     keys = list(keys)
-    if large is None:
-        large = oversized(df, keys, rows_per_block)
-    placed = with_positions(df, keys, order, large=large, rows_per_block=rows_per_block)
-    if not large:
-        return placed.withColumn("_core", F.lit(True)), Window.partitionBy(*keys).orderBy(*order)
+    placed = with_positions(df, keys, order, rows_per_block=rows_per_block)
     size = max(block_rows, before, after, 1)
     blk, off = F.floor(F.col("pos") / F.lit(size)), F.col("pos") % F.lit(size)
     copies = F.array_compact(F.array(blk, F.when(off >= size - before, blk + 1), F.when(off < after, blk - 1)))
@@ -239,7 +197,7 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 1) -> DataFrame:
-    """Join per-group figures back to the rows.
+    """Join per-group figures back to the rows; NULL keys meet NULL keys.
 
     Spark broadcasts ``stats`` only if its measured size allows; otherwise the join
     shuffles.  ``salts`` > 1 spreads each key over that many tasks, for plans that
@@ -248,8 +206,13 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "inn
     runs again gives the same salts.
     """
     keys = list(keys)
+    names = [f"_key{i}" for i in range(len(keys))]
+    figures = stats.withColumnsRenamed(dict(zip(keys, names, strict=True)))
+    same = F.lit(True)
+    for k, name in zip(keys, names, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(name))
     if salts <= 1:
-        return df.join(stats, keys, how)
+        return df.join(figures, same, how).drop(*names)
     tag = F.spark_partition_id() % F.lit(salts)
-    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn("_salt", tag).join(copies, [*keys, "_salt"], how).drop("_salt")
+    copies = figures.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return df.withColumn("_salt", tag).join(copies, same & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy", *names)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wayspan.functions.columns import half_even, hour_number
 from wayspan.functions.tails import correlation_p
 from wayspan.operators.clean import ensure_calendar
-from wayspan.operators.ordering import ROWS_PER_BLOCK, group_quantiles, group_sizes, oversized, value_counts, with_positions
+from wayspan.operators.ordering import attach, group_quantiles, value_counts, with_positions
 from wayspan.operators.outliers import poisson_weight, uniform
 
 WINDOW_SIZES = (5, 10, 15, 20, 30)
@@ -165,29 +165,18 @@ def route_means(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, "route_code").agg(F.avg("avg_speed").alias("mean_speed"))
 
 
-def many_routes(df: DataFrame) -> bool:
-    """Whether the route table itself is too large for one task."""
-    return oversized(df.select("route_code").distinct(), [])
-
-
-def average_ranks(df: DataFrame, by: Sequence[str], value: str, large: bool = False) -> DataFrame:
-    """Add ``avg_rank`` (ties share their mean rank) and ``n_ranked`` inside ``by``."""
+def average_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Add ``avg_rank`` (ties share their mean rank) and ``n_ranked`` inside ``by``; a NULL value
+    has neither and does not count."""
     by = list(by)
-    if not large:
-        group = Window.partitionBy(*by)
-        tie = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
-        return df.withColumn("avg_rank", F.rank().over(group.orderBy(value)) + (tie - 1) / F.lit(2.0)).withColumn(
-            "n_ranked", F.count(value).over(group)
-        )
-    counted = with_positions(value_counts(df, by, value), by, [value], weight="cnt", pos="_below", total="n_ranked", large=True)
+    counted = with_positions(value_counts(df, by, value), by, [value], weight="cnt", pos="_below", total="n_ranked")
     ranks = counted.select(*by, value, (F.col("_below") + (F.col("cnt") + 1) / F.lit(2.0)).alias("avg_rank"), "n_ranked")
-    return df.join(ranks, [*by, value])
+    return attach(df, ranks, [*by, value], "left")
 
 
-def percentile_score(df: DataFrame, by: Sequence[str] = (), large: bool | None = None) -> DataFrame:
+def percentile_score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Average rank of the route mean as a share of the routes, in percent."""
-    large = many_routes(df) if large is None else large
-    ranked = average_ranks(route_means(df, by), by, "mean_speed", large)
+    ranked = average_ranks(route_means(df, by), by, "mean_speed")
     return ranked.select(*by, "route_code", (F.col("avg_rank") / F.col("n_ranked") * 100).alias("percentile_score"))
 
 
@@ -208,12 +197,12 @@ def _clean_nan(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def rank_matrix(scores: DataFrame, labels: Sequence[str], by: Sequence[str] = (), large: bool = False) -> DataFrame:
+def rank_matrix(scores: DataFrame, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Spearman matrix of (route_code, label, score) in long form, aligned on the route.
 
     The few labels become columns, so every pair is one ``corr`` in a single aggregate.
     """
-    ranked = average_ranks(scores, [*by, "label"], "score", large)
+    ranked = average_ranks(scores, [*by, "label"], "score")
     wide = ranked.groupBy(*by, "route_code").agg(*[F.max(F.when(F.col("label") == l, F.col("avg_rank"))).alias(f"r{i}") for i, l in enumerate(labels)])
     pairs = [(i, j) for i in range(len(labels)) for j in range(i, len(labels))]
     corr = wide.groupBy(*by).agg(*[_clean_nan(F.corr(f"r{i}", f"r{j}")).alias(f"c{i}_{j}") for i, j in pairs])
@@ -228,12 +217,11 @@ def rank_matrix(scores: DataFrame, labels: Sequence[str], by: Sequence[str] = ()
     return corr.select(*by, F.inline(F.array(*cells)))
 
 
-def score_vs_speed(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
+def score_vs_speed(df: DataFrame, days: int = 10) -> DataFrame:
     """Pearson and Spearman correlation of the score with the raw mean speed, with p-values."""
-    large = many_routes(df) if large is None else large
     joined = rolling_score(df, days=days).select("route_code", "points").join(route_means(df), "route_code")
-    ranked = average_ranks(joined, [], "points", large).withColumnRenamed("avg_rank", "r1").drop("n_ranked")
-    ranked = average_ranks(ranked, [], "mean_speed", large).withColumnRenamed("avg_rank", "r2")
+    ranked = average_ranks(joined, [], "points").withColumnRenamed("avg_rank", "r1").drop("n_ranked")
+    ranked = average_ranks(ranked, [], "mean_speed").withColumnRenamed("avg_rank", "r2")
     out = ranked.agg(_clean_nan(F.corr("points", "mean_speed")).alias("pearson_correlation"),
                      _clean_nan(F.corr("r1", "r2")).alias("spearman_correlation"), F.count(F.lit(1)).alias("n_routes"))
     return out.select(
@@ -271,12 +259,11 @@ def outlier_scores(df: DataFrame, threshold: float = 3.0, days: int = 10) -> Dat
     )
 
 
-def outlier_sensitivity(df: DataFrame, threshold: float = 3.0, days: int = 10, large: bool | None = None) -> DataFrame:
+def outlier_sensitivity(df: DataFrame, threshold: float = 3.0, days: int = 10) -> DataFrame:
     """Spearman correlation between both scorings and the number of removed rows."""
-    large = many_routes(df) if large is None else large
     both = outlier_scores(df, threshold, days).dropna()
-    ranked = average_ranks(both, [], "baseline_points", large).withColumnRenamed("avg_rank", "r1").drop("n_ranked")
-    ranked = average_ranks(ranked, [], "filtered_points", large).withColumnRenamed("avg_rank", "r2")
+    ranked = average_ranks(both, [], "baseline_points").withColumnRenamed("avg_rank", "r1").drop("n_ranked")
+    ranked = average_ranks(ranked, [], "filtered_points").withColumnRenamed("avg_rank", "r2")
     s = df.agg(F.avg("avg_speed").alias("mu"), F.stddev("avg_speed").alias("sd")).select(F.struct("mu", "sd").alias("s")).scalar()
     z = F.abs(F.try_divide(F.col("avg_speed") - s.getField("mu"), s.getField("sd")))
     removed = df.agg(F.count_if(F.coalesce(z > threshold, F.lit(False)))).scalar()
@@ -285,29 +272,22 @@ def outlier_sensitivity(df: DataFrame, threshold: float = 3.0, days: int = 10, l
                       removed.alias("n_outliers_removed"))
 
 
-def window_stability(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES, large: bool | None = None) -> DataFrame:
+def window_stability(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES) -> DataFrame:
     """Spearman matrix of the rolling scores over window lengths."""
-    large = many_routes(df) if large is None else large
-    return rank_matrix(window_scores(df, windows), [f"{w}d" for w in windows], large=large).drop("raw_value")
+    return rank_matrix(window_scores(df, windows), [f"{w}d" for w in windows]).drop("raw_value")
 
 
 def _as_score(df: DataFrame, label: str, value: str) -> DataFrame:
     return df.select("route_code", F.lit(label).alias("label"), F.col(value).alias("score"))
 
 
-def static_scores(df: DataFrame, large: bool | None = None, large_groups: bool | None = None) -> DataFrame:
+def static_scores(df: DataFrame) -> DataFrame:
     """The methods that do not depend on a day window, custom ones included, in long form.
-
-    ``large``: more routes than one task takes; ``large_groups``: a route with too many rows.
-    Both are measured together when not given.
-    """
-    if large is None or large_groups is None:
-        rows, routes = group_sizes(df.filter(F.col("route_code").isNotNull()), ["route_code"])
-        large, large_groups = routes > ROWS_PER_BLOCK, rows > ROWS_PER_BLOCK
+"""
     means = route_means(df.filter(F.col("route_code").isNotNull()))
-    medians = group_quantiles(df, ["route_code"], "avg_speed", {"median_speed": 0.5}, large=large_groups)
+    medians = group_quantiles(df, ["route_code"], "avg_speed", {"median_speed": 0.5})
     s = means.agg(F.avg("mean_speed").alias("mu"), F.stddev("mean_speed").alias("sd")).select(F.struct("mu", "sd").alias("s")).scalar()
-    wide = average_ranks(means, [], "mean_speed", large).join(medians, "route_code", "left")
+    wide = average_ranks(means, [], "mean_speed").join(medians, "route_code", "left")
     scores = {
         "percentile": F.col("avg_rank") / F.col("n_ranked") * 100,
         "zscore": F.try_divide(F.col("mean_speed") - s.getField("mu"), s.getField("sd")),
@@ -319,18 +299,16 @@ def static_scores(df: DataFrame, large: bool | None = None, large_groups: bool |
     return out.withColumn("score", F.round("score", TIE_DIGITS))
 
 
-def method_scores(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
+def method_scores(df: DataFrame, days: int = 10) -> DataFrame:
     """All methods in long form (route_code, label, score)."""
-    return static_scores(df, large).unionByName(_as_score(rolling_score(df, days=days), "rolling", "points"))
+    return static_scores(df).unionByName(_as_score(rolling_score(df, days=days), "rolling", "points"))
 
 
-def method_agreement(df: DataFrame, days: int = 10, large: bool | None = None) -> DataFrame:
+def method_agreement(df: DataFrame, days: int = 10) -> DataFrame:
     """Spearman matrix of the scoring methods."""
-    rows, routes = group_sizes(df.filter(F.col("route_code").isNotNull()), ["route_code"])
-    large = routes > ROWS_PER_BLOCK if large is None else large
     labels = [*METHODS, *_CUSTOM]
-    scores = static_scores(df, large, rows > ROWS_PER_BLOCK).unionByName(_as_score(rolling_score(df, days=days), "rolling", "points"))
-    return rank_matrix(scores, labels, large=large).drop("raw_value")
+    scores = static_scores(df).unionByName(_as_score(rolling_score(df, days=days), "rolling", "points"))
+    return rank_matrix(scores, labels).drop("raw_value")
 
 
 def transitivity(scores: DataFrame) -> DataFrame:
@@ -345,7 +323,7 @@ def transitivity(scores: DataFrame) -> DataFrame:
     third = numbered.select((F.col("pos") - 2).alias("pos"), F.col("points").alias("p3"))
     near = numbered.join(right, "pos", "left").join(third, "pos", "left")
     broken = (F.col("points") > F.col("p2")) & (F.col("p2") > F.col("p3")) & ~(F.col("points") > F.col("p3"))
-    n = F.count(F.lit(1))
+    n = F.count(F.lit(1)).cast("decimal(12,0)")
     return near.agg(
         F.floor(n * (n - 1) * (n - 2) / 6).cast("bigint").alias("n_triples"),
         F.count_if(F.coalesce(broken, F.lit(False))).alias("n_violations"),
@@ -368,12 +346,18 @@ def score_intervals(
     ref = F.lit(ref_date).cast("date") if ref_date else _last_day(df)
     day = _day(df)
     rows = df.filter((day >= F.date_sub(ref, days)) & (day < ref)).select(
-        day.alias("date"), "route_code", "avg_speed", F.xxhash64(*[F.col(c) for c in row_key]).alias("_row")
+        day.alias("date"), "route_code", "avg_speed", F.try_divide(F.lit(60.0) * F.col("distance"), F.col("duration")).alias("_again"),
+        F.xxhash64(*[F.col(c) for c in row_key]).alias("_row"),
     )
     rounds = rows.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
-    weighted = rounds.withColumn("w", poisson_weight(uniform(F.lit(seed), F.col("iter"), F.col("_row"))))
-    per = weighted.groupBy("iter", "date", "route_code").agg(F.sum(F.col("w") * F.col("avg_speed")).alias("s"), F.sum("w").alias("w"))
-    per = per.filter("w > 0").withColumn("avg_speed_mean", F.col("s") / F.col("w"))
+    weighted = rounds.withColumn("w", poisson_weight(uniform(F.lit(seed), F.col("iter"), F.col("_row")))).filter("w > 0")
+    mean = lambda c: F.try_divide(F.sum(F.col("w") * F.col(c)), F.sum(F.when(F.col(c).isNotNull(), F.col("w"))))
+    per = weighted.groupBy("iter", "date", "route_code").agg(
+        mean("avg_speed").alias("avg_speed_mean"), mean("_again").alias("_again"), F.max(F.col("avg_speed").isNull()).alias("_gap")
+    )
+    # as in daily_points: a day with a missing speed takes its means from distance and duration
+    gap = F.max("_gap").over(Window.partitionBy("iter", "date"))
+    per = per.withColumn("avg_speed_mean", F.when(gap, F.col("_again")).otherwise(F.col("avg_speed_mean")))
     scores = _points(per, ["iter"]).groupBy("route_code", "iter").agg(half_even(F.sum("points"), 1).alias("points"))
     routes = df.select("route_code").dropna().distinct()
     grid = routes.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
@@ -388,20 +372,19 @@ def score_intervals(
 
 # --- method reports ---------------------------------------------------------------------------------
 
-def stability_by_method(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES, large: bool | None = None) -> DataFrame:
+def stability_by_method(df: DataFrame, windows: Sequence[int] = WINDOW_SIZES) -> DataFrame:
     """Mean, spread (population), min and max of the pairwise window correlations per method.
 
     Only the rolling score depends on the window; the other methods compare with themselves.
     """
-    large = many_routes(df) if large is None else large
     labels = [f"{w}d" for w in windows]
     position = F.array(*[F.lit(l) for l in labels])
-    pairs = rank_matrix(window_scores(df, windows), labels, large=large).filter(
+    pairs = rank_matrix(window_scores(df, windows), labels).filter(
         F.array_position(position, F.col("row_key")) < F.array_position(position, F.col("col_key"))
     )
     rolling = pairs.select(F.lit("rolling").alias("method"), "value")
     others = [m for m in (*METHODS, *_CUSTOM) if m != "rolling"]
-    fixed = rank_matrix(static_scores(df, large), others, large=large).filter("row_key = col_key")
+    fixed = rank_matrix(static_scores(df), others).filter("row_key = col_key")
     fixed = fixed.select(F.col("row_key").alias("method"), F.col("raw_value").alias("value"))
     return _correlation_summary(rolling.unionByName(fixed), "max")
 
@@ -413,14 +396,14 @@ def _correlation_summary(values: DataFrame, *extra: str) -> DataFrame:
     return values.groupBy("method").agg(*aggs).orderBy(F.desc_nulls_last("mean_correlation"), "method")
 
 
-def _variant_scores(df: DataFrame, thresholds: Sequence[float], days: int, large: bool) -> DataFrame:
+def _variant_scores(df: DataFrame, thresholds: Sequence[float], days: int) -> DataFrame:
     rows = _kept_labels(ensure_calendar(df), thresholds)
 
     def tagged(part: DataFrame, method: str, value: str) -> DataFrame:
         return part.select("variant", F.lit(method).alias("method"), "route_code", F.round(value, TIE_DIGITS).alias("score"))
 
     out = tagged(_labelled_rolling(rows, days), "rolling", "points")
-    out = out.unionByName(tagged(percentile_score(rows, ["variant"], large), "percentile", "percentile_score"))
+    out = out.unionByName(tagged(percentile_score(rows, ["variant"]), "percentile", "percentile_score"))
     # the standard score keeps the order of the means, so the means give its ranks
     out = out.unionByName(tagged(route_means(rows, ["variant"]), "zscore", "mean_speed"))
     out = out.unionByName(tagged(median_score(rows, ["variant"]), "median", "median_speed"))
@@ -431,28 +414,26 @@ def _variant_scores(df: DataFrame, thresholds: Sequence[float], days: int, large
     return out
 
 
-def robustness_by_method(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS, days: int = 10, large: bool | None = None) -> DataFrame:
+def robustness_by_method(df: DataFrame, thresholds: Sequence[float] = THRESHOLDS, days: int = 10) -> DataFrame:
     """Mean, spread (population) and minimum over thresholds of the correlation with the unfiltered score."""
-    large = many_routes(df) if large is None else large
-    scores = _variant_scores(df, thresholds, days, large)
+    scores = _variant_scores(df, thresholds, days)
     base = scores.filter("variant = 'all'").select("method", "route_code", F.col("score").alias("base"))
     both = scores.filter("variant <> 'all'").join(base, ["method", "route_code"])
     by = ["method", "variant"]
-    ranked = average_ranks(both, by, "base", large).withColumnRenamed("avg_rank", "r1").drop("n_ranked")
-    ranked = average_ranks(ranked, by, "score", large).withColumnRenamed("avg_rank", "r2")
+    ranked = average_ranks(both, by, "base").withColumnRenamed("avg_rank", "r1").drop("n_ranked")
+    ranked = average_ranks(ranked, by, "score").withColumnRenamed("avg_rank", "r2")
     values = ranked.groupBy(*by).agg(_clean_nan(F.corr("r1", "r2")).alias("value"))
     return _correlation_summary(values)
 
 
-def method_report(df: DataFrame, timings: DataFrame | None = None, days: int = 10, large: bool | None = None) -> DataFrame:
+def method_report(df: DataFrame, timings: DataFrame | None = None, days: int = 10) -> DataFrame:
     """Methods ranked by weighted stability, robustness and efficiency.
 
     ``timings`` (method, mean_time) is optional; a missing criterion leaves the mean and
     the other weights are rescaled.
     """
-    large = many_routes(df) if large is None else large
-    joined = stability_by_method(df, large=large).select("method", F.col("mean_correlation").alias("stability")).join(
-        robustness_by_method(df, days=days, large=large).select("method", F.col("mean_correlation").alias("robustness")), "method", "full_outer"
+    joined = stability_by_method(df).select("method", F.col("mean_correlation").alias("stability")).join(
+        robustness_by_method(df, days=days).select("method", F.col("mean_correlation").alias("robustness")), "method", "full_outer"
     )
     if timings is not None:
         speed = timings.select("method", F.when(F.col("mean_time") > 0, 1.0 / F.col("mean_time")).otherwise(F.lit(0.0)).alias("efficiency"))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from wayspan.functions import normal, tails
 from wayspan.operators.anomaly import with_expected
 from wayspan.operators.forecast import decomposition
-from wayspan.operators.ordering import SALTS, attach, core_rows, expand_counts, group_quantiles, oversized, row_frames, running_counts, with_positions
+from wayspan.operators.ordering import SALTS, attach, core_rows, expand_counts, group_quantiles, row_frames, running_counts, with_positions
 from wayspan.operators.patterns import histogram, only_routes
 
 NORMALITY = T.StructType([T.StructField(n, T.DoubleType()) for n in ("shapiro_statistic", "shapiro_pvalue", "anderson_pvalue")])
@@ -30,7 +30,7 @@ def _finish_normality(sums: pd.DataFrame, a2: pd.Series) -> pd.DataFrame:
     return frame.where(frame.notna(), None)
 
 
-def normality(df: DataFrame, value: str = "avg_speed", large: bool | None = None) -> DataFrame:
+def normality(df: DataFrame, value: str = "avg_speed") -> DataFrame:
     """Shapiro-Wilk (n >= 3) and Anderson-Darling (n >= 8) per route.
 
     Order positions come from value counts, so repeated speeds are counted before anything
@@ -38,7 +38,7 @@ def normality(df: DataFrame, value: str = "avg_speed", large: bool | None = None
     """
     rows = df.select("route_code", F.col(value).cast("double").alias("x")).dropna()
     stats = rows.groupBy("route_code").agg(F.avg("x").alias("_mu"), F.stddev("x").alias("_sd"))
-    steps = attach(running_counts(rows, ["route_code"], "x", large=large), stats, ["route_code"], salts=SALTS)
+    steps = attach(running_counts(rows, ["route_code"], "x"), stats, ["route_code"], salts=SALTS)
     each = expand_counts(steps).withColumn("i", F.col("pos") + 1)
     each = normal.add_quantile(each, (F.col("i") - 0.375) / (F.col("n") + 0.25), "m")
     z = F.try_divide(F.col("x") - F.col("_mu"), F.col("_sd"))
@@ -63,10 +63,10 @@ def normality(df: DataFrame, value: str = "avg_speed", large: bool | None = None
     ).withColumn("is_normal", F.col("shapiro_pvalue") > 0.05)
 
 
-def qq_points(df: DataFrame, value: str = "avg_speed", large: bool | None = None) -> DataFrame:
+def qq_points(df: DataFrame, value: str = "avg_speed") -> DataFrame:
     """Normal quantile against ordered value per route (three or more rows)."""
     rows = df.select("route_code", F.col(value).cast("double").alias("ordered")).dropna()
-    each = expand_counts(running_counts(rows, ["route_code"], "ordered", large=large)).filter(F.col("n") >= 3)
+    each = expand_counts(running_counts(rows, ["route_code"], "ordered")).filter(F.col("n") >= 3)
     i, n = F.col("pos") + 1, F.col("n")
     edge = F.pow(F.lit(0.5), F.lit(1.0) / n)
     median = F.when(i == n, edge).when(i == 1, 1.0 - edge).otherwise((i - 0.3175) / (n + 0.365))
@@ -85,16 +85,15 @@ def qq_lines(points: DataFrame) -> DataFrame:
 
 def autocorrelation(
     df: DataFrame, max_lags: int = 24, order: Sequence[str] = ("timestamp",), value: str = "avg_speed",
-    block_rows: int = 100_000, large: bool | None = None,
+    block_rows: int = 100_000,
 ) -> DataFrame:
-    """Autocorrelation at row lags 0..max in time order; NULL for routes with too few rows."""
+    """Autocorrelation at row lags 0..max in time order, equal times by value; NULL for routes with
+    too few rows."""
     keys, names = ["route_code"], [f"_o{i}" for i in range(len(order))]
     rows = df.select(*keys, F.col(value).alias("x"), *[F.col(c).alias(n) for c, n in zip(order, names)]).dropna(subset=["x"])
     means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
-    if large is None:
-        large = oversized(rows, keys)
     centred = attach(rows, means.filter(F.col("_n") > max_lags), keys, salts=SALTS).withColumn("c", F.col("x") - F.col("_mu"))
-    framed, w = row_frames(centred, keys, names, max_lags, 0, large=large, block_rows=block_rows)
+    framed, w = row_frames(centred, keys, [*names, "x"], max_lags, 0, block_rows=block_rows)
     lagged = core_rows(framed.withColumns({f"l{k}": F.lag("c", k).over(w) for k in range(1, max_lags + 1)}))
     sums = lagged.groupBy(*keys).agg(F.sum(F.col("c") * F.col("c")).alias("s0"), *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, max_lags + 1)])
     grid = means.select(*keys).join(sums, keys, "left")
@@ -126,7 +125,7 @@ def _design(x: np.ndarray, lags: int) -> np.ndarray:
     return np.column_stack(cols)
 
 
-def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: str = "avg_speed", block_rows: int = 50_000, large: bool | None = None) -> DataFrame:
+def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: str = "avg_speed", block_rows: int = 50_000) -> DataFrame:
     """Augmented Dickey-Fuller test per route with a constant; lag by AIC; NULL below 12 rows.
 
     Row blocks (with the rows before them) give their cross-product matrix; the matrices of
@@ -134,7 +133,7 @@ def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: st
     the final fit uses the rows that the longest lag had to leave out.
     """
     rows = df.select("route_code", F.col(value).cast("double").alias("x"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).dropna(subset=["x"])
-    placed = with_positions(rows, ["route_code"], [f"_o{i}" for i in range(len(order))], large=large).select("route_code", "pos", "n", "x")
+    placed = with_positions(rows, ["route_code"], [*[f"_o{i}" for i in range(len(order))], "x"]).select("route_code", "pos", "n", "x")
     means = rows.groupBy("route_code").agg(F.avg("x").alias("_mu"))
     lags = F.least(F.ceil(F.lit(12.0) * F.pow(F.col("n") / 100.0, F.lit(0.25))), F.floor(F.col("n") / 2) - 2).cast("int")
     centred = attach(placed.filter("n >= 12"), means, ["route_code"], salts=SALTS).withColumn("x", F.col("x") - F.col("_mu")).drop("_mu").withColumn("lags", lags)
@@ -247,18 +246,14 @@ def residual_diagnostics(df: DataFrame, route: str | None = None) -> DataFrame:
 
 
 def residual_analysis(df: DataFrame, route: str | None = None) -> dict[str, DataFrame]:
-    """Residuals of the decomposition: summary with Shapiro-Wilk on the first 5000, histogram,
-    Q-Q points and autocorrelation.
-
-    The series is hourly, so every route is bounded by the time span.
-    """
+    """Residuals of the decomposition: summary with Shapiro-Wilk, histogram, Q-Q points and
+    autocorrelation, each over all of them."""
     parts = decomposition(df, route).select("route_code", "timestamp", "idx", "resid")
-    # plan-time choice is safe: one row per route and hour
-    test = normality(parts.filter(F.col("idx") < 5000), "resid", large=False)
+    test = normality(parts, "resid")
     summary = parts.groupBy("route_code").agg(F.avg("resid").alias("mean"), F.stddev("resid").alias("std"), F.count("resid").alias("n")).join(
         test.select("route_code", "shapiro_pvalue", "is_normal"), "route_code", "left"
     )
     return {
-        "summary": summary, "histogram": histogram(parts, "resid"), "qq": qq_points(parts, "resid", large=False),
-        "acf": autocorrelation(parts, order=["idx"], value="resid", large=False),
+        "summary": summary, "histogram": histogram(parts, "resid"), "qq": qq_points(parts, "resid"),
+        "acf": autocorrelation(parts, order=["idx"], value="resid"),
     }

@@ -120,7 +120,7 @@ def _(spark, d):
 @query("h9_route_radar", f"""WITH m AS (SELECT route_code, avg(avg_speed) AS mean_speed, 1 / (1 + stddev(avg_speed) / avg(avg_speed)) AS consistency,
 avg(avg_speed) FILTER (WHERE hour IN (7, 8, 9, 17, 18, 19)) AS peak_speed, avg(avg_speed) FILTER (WHERE hour BETWEEN 10 AND 16) AS offpeak_speed,
 avg(avg_speed) FILTER (WHERE is_weekend) AS weekend_speed FROM r GROUP BY route_code)
-SELECT route_code, {scaled_sql(list(patterns.RADAR))} FROM m ORDER BY route_code LIMIT 6""", needs="u", doubles=" ".join(patterns.RADAR))
+SELECT route_code, {scaled_sql(list(patterns.RADAR))} FROM m""", needs="u", doubles=" ".join(patterns.RADAR))
 def _(spark, d):
     return patterns.route_radar(readings(spark, d, "user_id"))
 
@@ -344,21 +344,21 @@ def _(spark, d):
     return patterns.hourly_speeds(readings(spark, d, "user_id"))
 
 
-FIVE_SQL = "WITH k AS (SELECT DISTINCT route_code FROM r ORDER BY 1 LIMIT 5), p AS (SELECT r.* FROM r JOIN k USING (route_code))"
+LINKED_SQL = "WITH p AS (SELECT * FROM r WHERE route_code IS NOT NULL)"
 
 
-@query("h24_linked_series", f"{FIVE_SQL} SELECT route_code, CAST(timestamp AS VARCHAR) AS timestamp, avg_speed, duration, distance FROM p", needs="u", doubles="avg_speed")
+@query("h24_linked_series", f"{LINKED_SQL} SELECT route_code, CAST(timestamp AS VARCHAR) AS timestamp, avg_speed, duration, distance FROM p", needs="u", doubles="avg_speed")
 def _(spark, d):
     return patterns.linked_views(readings(spark, d, "user_id"))[0]
 
 
-@query("h24_linked_boxes", f"""{FIVE_SQL} SELECT route_code, min(avg_speed) AS min, quantile_cont(avg_speed, 0.25) AS p25, median(avg_speed) AS median, quantile_cont(avg_speed, 0.75) AS p75, max(avg_speed) AS max FROM p GROUP BY 1""",
+@query("h24_linked_boxes", f"""{LINKED_SQL} SELECT route_code, min(avg_speed) AS min, quantile_cont(avg_speed, 0.25) AS p25, median(avg_speed) AS median, quantile_cont(avg_speed, 0.75) AS p75, max(avg_speed) AS max FROM p GROUP BY 1""",
        needs="u", doubles="min p25 median p75 max")
 def _(spark, d):
     return patterns.linked_views(readings(spark, d, "user_id"))[1]
 
 
-@query("h24_linked_profile", f"{FIVE_SQL} SELECT route_code, hour, avg(avg_speed) AS mean, stddev(avg_speed) AS std FROM p GROUP BY ALL", needs="u", doubles="mean std")
+@query("h24_linked_profile", f"{LINKED_SQL} SELECT route_code, hour, avg(avg_speed) AS mean, stddev(avg_speed) AS std FROM p GROUP BY ALL", needs="u", doubles="mean std")
 def _(spark, d):
     return patterns.linked_views(readings(spark, d, "user_id"))[2]
 
@@ -425,7 +425,7 @@ def _(spark, d):
 def _stream(spark, d):
     """The events file of the folder, as a stream of readings."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
-    raw = streams.file_stream(spark, f"{d}/event[s].parquet", schema).filter("value > 0")
+    raw = streams.file_stream(spark, f"{d}/event[s].parquet", schema)
     k = F.get_json_object("props", "$.k").cast("int")
     return raw.select("event_id", "ts", F.col("event_type").alias("route_code"), C.speed_kmh("value", k + 10).alias("avg_speed"))
 

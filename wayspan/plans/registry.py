@@ -24,7 +24,7 @@ r AS (
               WHEN hour(ts) <= 14 THEN 'early_afternoon' WHEN hour(ts) <= 18 THEN 'late_afternoon'
               WHEN hour(ts) <= 21 THEN 'evening_rush' ELSE 'night' END AS time_category,
          CAST(10 + k AS DOUBLE) AS duration, value AS distance, value / (CAST(10 + k AS DOUBLE) / 60e0) AS avg_speed
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE value > 0)
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 )"""
 SHIPMENTS_SQL = """
 s AS (

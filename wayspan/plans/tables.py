@@ -18,7 +18,6 @@ def readings(spark: SparkSession, sf_dir: str, route: str = "event_type") -> Dat
     day = F.col("ts").cast("date")
     return (
         table(spark, sf_dir, "events")
-        .filter("value > 0")
         .select(
             "event_id", "ts", F.col(route).cast("string").alias("route_code"), day.alias("date"),
             F.date_format("ts", "HH:mm").alias("time"), F.year(day).alias("year"), F.month(day).alias("month"),
