@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wayspan.functions.columns import half_even, hour_number
 from wayspan.functions.tails import correlation_p
 from wayspan.operators.clean import ensure_calendar
-from wayspan.operators.ordering import attach, group_quantiles, value_counts, with_positions
+from wayspan.operators.ordering import group_quantiles, with_positions
 from wayspan.operators.outliers import poisson_weight, uniform
 
 WINDOW_SIZES = (5, 10, 15, 20, 30)
@@ -167,11 +167,12 @@ def route_means(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def average_ranks(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Add ``avg_rank`` (ties share their mean rank) and ``n_ranked`` inside ``by``; a NULL value
-    has neither and does not count."""
+    has no rank and does not count. The tables ranked here hold one row per route."""
     by = list(by)
-    counted = with_positions(value_counts(df, by, value), by, [value], weight="cnt", pos="_below", total="n_ranked")
-    ranks = counted.select(*by, value, (F.col("_below") + (F.col("cnt") + 1) / F.lit(2.0)).alias("avg_rank"), "n_ranked")
-    return attach(df, ranks, [*by, value], "left")
+    group = Window.partitionBy(*by)
+    tie = F.count(F.lit(1)).over(Window.partitionBy(*by, value))
+    rank = F.rank().over(group.orderBy(F.asc_nulls_last(value))) + (tie - 1) / F.lit(2.0)
+    return df.withColumn("avg_rank", F.when(F.col(value).isNotNull(), rank)).withColumn("n_ranked", F.count(value).over(group))
 
 
 def percentile_score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
