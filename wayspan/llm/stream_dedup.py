@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm.textops import lower_ascii, scratch_path, settle
+from wayspan.llm.textops import lower_ascii, scratch_path, store
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -77,18 +77,20 @@ def classes(spark: SparkSession, path: str, state: str | None = None, id_col: st
     repeated rows keep exactly one. An empty table gives an empty result.
     """
     held = absorb(spark, path, state or scratch_path(spark, "dedup"), id_col, text_col, digest, files_per_batch)
-    held = settle(held.select("digest", "n", F.col("id").alias("keep_id"), F.col("at").alias("keep_at")))
+    held = store(held.select("digest", "n", F.col("id").alias("keep_id"), F.col("at").alias("keep_at")), "dedup-state")
     docs = _located(spark.read.parquet(path), id_col, text_col, digest)
-    rows = docs.join(held, "digest").select(
-        "digest", "id", "at", "n", "keep_id", ((F.col("at") == F.col("keep_at")) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-        F.when(F.col("n") > 1, F.col("body")).alias("body"),
-        F.floor(F.col("n") / PER_SALT).alias("salts"),
-    ).withColumn("salt", F.pmod(F.xxhash64("at"), F.col("salts") + 1))
+    # texts are shuffled once; those of digests with one row end here
+    rows = store(docs.join(held, "digest").select(
+        "digest", "id", "at", "n", "keep_id", (F.col("at") == F.col("keep_at")).alias("kept"), F.when(F.col("n") > 1, F.col("body")).alias("body"),
+    ), "dedup-rows")
+    salts = F.floor(F.col("n") / PER_SALT)
     heads = rows.filter("kept and n > 1").select(
-        F.col("digest").alias("d"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts"))).alias("s"), F.col("body").alias("head")
+        F.col("digest").alias("d"), F.explode(F.sequence(F.lit(0).cast("long"), salts)).alias("s"), F.col("body").alias("head")
     )
-    checked = rows.join(heads, (F.col("digest") == F.col("d")) & (F.col("salt") == F.col("s")), "left")
-    thin = settle(checked.select("digest", "id", "at", "n", "keep_id", "kept", ((F.col("n") == 1) | (F.col("body") == F.col("head"))).alias("same")))
+    copies = rows.filter("n > 1").withColumn("salt", F.pmod(F.xxhash64("at"), salts + 1))
+    checked = copies.join(heads, (F.col("digest") == F.col("d")) & (F.col("salt") == F.col("s")))
+    thin = ["digest", "id", "at", "n", "keep_id", "kept"]
+    thin = store(rows.filter("n = 1").select(*thin, F.lit(True).alias("same")).union(checked.select(*thin, (F.col("body") == F.col("head")).alias("same"))), "dedup-thin")
     odd = thin.filter("not same")
     if odd.isEmpty():
         return thin.select("id", "at", "keep_id", F.col("n").alias("group_size"), "kept", "digest")
