@@ -77,6 +77,6 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, dims: tupl
     same = [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in dims]
     clear = docs.drop("weight", "probability", "sampled")
     drawn = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) / F.lit(float(1 << 53))
-    return clear.join(rated, same[0] & same[1] & same[2] if len(same) == 3 else same).drop(*[f"_{d}" for d in dims]).withColumn(
+    return clear.join(rated, same).drop(*[f"_{d}" for d in dims]).withColumn(
         "sampled", (drawn < F.col("probability")) & (F.col(tokens_col) > 0)
     )

@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wayspan.llm import wordhash
 
@@ -371,7 +370,3 @@ def decode_column(rows: DataFrame, model: str, ids_col: str = "piece_ids", text_
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text_col])
 
     return rows.select(*own).mapInArrow(read, f"{schema}, `{text_col}` string")
-
-
-def piece_count(ids_col: str = "piece_ids"):
-    return F.size(ids_col)
