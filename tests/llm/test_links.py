@@ -1,12 +1,14 @@
 """Fingerprints, near and exact copies against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import xxhash
 
-from llm_helpers import LOWER, words
-from wayspan.llm import fingerprints, simhash_links, stream_dedup
+from llm_helpers import DOCS, LOWER, words
+from wayspan.llm import fingerprints, near_copies, simhash_links, stream_dedup
 from wayspan.llm.components import components
 
 
@@ -58,12 +60,68 @@ def test_components_of_a_path(spark):
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def brute_survivors(rows, k=5, similarity=0.8):
+    """Ids that stay: one of each group that Jaccard links connect; blank texts and null ids stay."""
+    sets = []
+    for r in rows:
+        w = words(r[1], lower=True)
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    least = {}
+    for i, r in enumerate(rows):
+        if sets[i] and r[0] is not None:
+            least[find(i)] = min(r[0], least.get(find(i), r[0]))
+    return Counter(r[0] for i, r in enumerate(rows) if not sets[i] or r[0] is None or least[find(i)] == r[0])
+
+
 def test_survivors_of_near_copies(docs, rows):
-    kept = simhash_links.survivors(docs)
+    kept = near_copies.survivors(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert not set(range(101, 106)) & set(ids) and 300 in ids and 301 in ids and ids.count(None) == 2
-    assert ids.count(400) == 2  # the same id twice is one document here
+    ids = Counter(r.doc_id for r in kept.select("doc_id").collect())
+    assert ids == brute_survivors(rows)
+    assert not set(range(101, 106)) & set(ids) and 300 in ids and 301 in ids and ids[None] == 2
+    assert ids[400] == 2  # the same id twice is one document here
+
+
+def edited(text, rng, share):
+    return " ".join(f"e{rng.getrandbits(40)}" if rng.random() < share else w for w in text.split(" "))
+
+
+def test_near_copies_of_all_distances(spark):
+    """A crowd around one text, chains of small edits, and pairs on both sides of the similarity."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(f"w{rng.randint(0, 3000)}" for _ in range(n))
+    base, chain, rows = prose(300), prose(400), []
+    rows += [(i, edited(base, rng, 0.01), None, None, 1) for i in range(150)]
+    for i in range(200, 230):
+        chain = edited(chain, rng, 0.02)
+        rows.append((i, chain, None, None, 1))
+    for i in range(1000, 1200, 2):
+        text = prose(rng.randint(60, 500))
+        rows += [(i, text, None, None, 1), (i + 1, edited(text, rng, rng.choice([0.01, 0.02, 0.03, 0.06])), None, None, 1)]
+    got = Counter(r.doc_id for r in near_copies.survivors(spark.createDataFrame(rows, DOCS)).select("doc_id").collect())
+    want = brute_survivors(rows)
+    assert not want - got  # no document goes that should stay
+    assert sum((got - want).values()) <= 0.03 * (len(rows) - sum(want.values()))
+
+
+def test_wide_prints_do_not_depend_on_chunks(monkeypatch):
+    rng = np.random.default_rng(4)
+    words_, before = rng.integers(0, 1 << 62, 500).astype(np.uint64), np.array([0, 1, 1, 200, 500])
+    whole = near_copies._majorities(words_, before)
+    monkeypatch.setattr(near_copies, "BLOCK", 7)
+    assert (near_copies._majorities(words_, before) == whole).all()
 
 
 def test_exact_classes(spark, docs, rows, tmp_path):
@@ -115,8 +173,6 @@ def test_document_fingerprints(docs, rows):
 
 
 def test_search_within_radius(spark):
-    import random
-
     rng = random.Random(1)
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
     base = [rng.getrandbits(128) for _ in range(20)]
@@ -139,5 +195,6 @@ def test_next_document(spark, monkeypatch):
 
 def test_empty_tables(spark, empty):
     assert simhash_links.near_groups(empty).count() == 0
+    assert near_copies.survivors(empty).count() == 0
     assert stream_dedup.survivors(spark, empty).count() == 0
     assert fingerprints.fingerprints(empty).count() == 0

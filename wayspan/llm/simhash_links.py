@@ -112,15 +112,3 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return rows.join(labels, "fingerprint").select(F.col("id").alias(id_col), hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
-
-
-def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest id. Texts without
-    words are no copies of each other here and all stay, as do rows without an id.
-
-    Fingerprints link at two or fewer of 64 bits, which texts of a Jaccard similarity of 0.8 or
-    more do not always reach; it is the measure of this operator.
-    """
-    groups = near_groups(docs.filter(F.size(words(F.col(text_col))) > 0), id_col, text_col, shingle)
-    dropped = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(dropped, id_col, "left_anti").select(*docs.columns)
