@@ -26,8 +26,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, row limits in bytes) for runs of rows of about CHUNK bytes."""
+def text_chunks(texts: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, row limits in bytes) for runs of rows of about ``size`` or CHUNK bytes."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
@@ -36,7 +36,7 @@ def text_chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(limits, limits[row] + CHUNK, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(limits, limits[row] + (size or CHUNK), "right")) - 1)
         yield row, end, raw[limits[row] : limits[end]], limits[row : end + 1] - limits[row]
         row = end
 
