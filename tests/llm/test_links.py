@@ -116,6 +116,21 @@ def test_near_copies_of_all_distances(spark):
     assert sum((got - want).values()) <= 0.03 * (len(rows) - sum(want.values()))
 
 
+def test_near_copies_by_blocks(spark):
+    """Appended and replaced blocks, and texts of few different words: every pair is found."""
+    rng, rows = random.Random(12), []
+    for i in range(0, 600, 2):
+        words_ = rng.choice([12, 40, 3000])
+        prose = lambda n: [f"w{rng.randrange(words_)}" for _ in range(n)]  # noqa: E731, B023
+        text = prose(rng.randint(60, 300))
+        n = int(len(text) * rng.choice([0.12, 0.2, 0.24]))
+        other = text + prose(n) if i % 4 else text[:20] + prose(n // 2) + text[20 + n // 2 :]
+        rows += [(i, " ".join(text), None, None, 1), (i + 1, " ".join(other), None, None, 1)]
+    got = Counter(r.doc_id for r in near_copies.survivors(spark.createDataFrame(rows, DOCS)).select("doc_id").collect())
+    want = brute_survivors(rows)
+    assert got == want and sum(want.values()) < 500
+
+
 def test_wide_prints_do_not_depend_on_chunks(monkeypatch):
     rng = np.random.default_rng(4)
     words_, before = rng.integers(0, 1 << 62, 500).astype(np.uint64), np.array([0, 1, 1, 200, 500])
