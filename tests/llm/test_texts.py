@@ -53,6 +53,25 @@ def test_lm_base_and_levels(docs, rows):
         assert all(r.score < 0 for r in got)
 
 
+def test_bigrams_of_all_training_folds(spark):
+    ids = [i for i in range(4000) if crc_fold(i) not in (1, 2)][:200]
+    fit = [i for i in range(4000) if crc_fold(i) == 2][:200]
+    held = [i for i in range(4000) if crc_fold(i) == 1][:2]
+    rng = random.Random(6)
+    seen = ["a b c d"] * 100 + [" ".join(rng.choice("abcdxy") for _ in range(6)) for _ in range(100)]
+    rows = list(zip(ids, seen)) + list(zip(fit, ["a b c d"] * 150 + ["x y x y"] * 50)) + [(held[0], "y x y x"), (held[1], "x x y y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = []
+    kept = bloom_lm.build_filter
+    try:
+        bloom_lm.build_filter = lambda p, w, mb: pairs.append(p.agg({"n": "sum"}).first()[0]) or kept(p, w, mb)
+        assert bloom_lm.score(docs).filter("held_out").count() == 2
+    finally:
+        bloom_lm.build_filter = kept
+    words_ = lambda rows: sum(len(t.split()) + 1 for _, t in rows)
+    assert pairs[-1] == words_(r for r in rows if crc_fold(r[0]) != 1)  # what scores has learnt from every training row
+
+
 def test_filter_never_counts_too_low(spark):
     n = {k: 1 + k % 50 for k in range(-3000, 3000, 3)}
     pairs = spark.createDataFrame(list(n.items()), "key long, n long")

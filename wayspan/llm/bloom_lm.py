@@ -5,7 +5,8 @@ to (n-gram, q), so its count is read by probing levels until one is absent, and
 too high. The filter is built in shards by Spark, once for every lowest level worth keeping, and
 the fullest one within ``filter_mb`` is broadcast: its size is bounded at any input, and what it
 leaves out falls back to the unigram. Weights of the bigram, one for each level of the context,
-are fitted on documents whose bigrams are not in the filter.
+are fitted on documents whose bigrams are not in the filter; the filter that scores is then built
+anew from the documents of all training folds.
 
 Unigram counts are exact and never broadcast whole: the most frequent words, at most ``head_words``
 of them, are broadcast; the rare rest is joined, so no frequent word goes through that join.
@@ -35,7 +36,7 @@ BITS_PER_ITEM = 10
 SHARDS = 1024
 CUTS = 40
 GRID = np.round(np.arange(0, 20) * 0.05, 2)
-FOLDS, TEST, FIT_WEIGHTS = 5, 1, 2  # of crc32(id): scored only; weights only; all others count bigrams
+FOLDS, TEST, FIT_WEIGHTS = 5, 1, 2  # of crc32(id): scored only; fit the weights before their bigrams are counted too
 
 
 def fold(id_col: str) -> Column:
@@ -252,12 +253,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
     head = real.filter(F.col("n") >= least).toPandas() if least else None  # at most head_words rows
     keys = head["key"].to_numpy(np.int64).view(np.uint64) if head is not None else np.zeros(0, np.uint64)
     order = np.argsort(keys)
-    found = build_filter(
-        counts(rows.filter((F.col("fold") != TEST) & (F.col("fold") != FIT_WEIGHTS)), "text", True),
-        words.mapInArrow(_as_word_keys, "key long, n long"), filter_mb,
-    )
+    word_keys = words.mapInArrow(_as_word_keys, "key long, n long")
+    model_of = lambda folds: build_filter(counts(rows.filter(folds), "text", True), word_keys, filter_mb)
+    trained = F.col("fold") != TEST
+    found = model_of(trained & (F.col("fold") != FIT_WEIGHTS))
     model = Model(found, keys[order], head["n"].to_numpy(np.int64)[order] if head is not None else np.zeros(0, np.int64), int(total), int(distinct), np.zeros(80))
     model.weights = _fit_weights(rows.filter(F.col("fold") == FIT_WEIGHTS), model)
+    model.filter = model_of(trained)
     shared = spark.sparkContext.broadcast(model)
     out = scratch_path(spark, "scores")
     rows.select("id", "text").mapInArrow(_scores(shared), "id long, n_tokens long, n_known long, base_score double, score double, rare array<long>").withColumn("row", F.monotonically_increasing_id()).write.parquet(out)
