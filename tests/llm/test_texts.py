@@ -72,6 +72,15 @@ def test_bigrams_of_all_training_folds(spark):
     assert pairs[-1] == words_(r for r in rows if crc_fold(r[0]) != 1)  # what scores has learnt from every training row
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(docs):
+    score = lambda **k: {(r.doc_id, r.n_tokens): r.score for r in bloom_lm.score(docs, **k).collect()}
+    whole = score()
+    for limits in ({"head_words": 0}, {"filter_mb": 0}, {"filter_mb": 0, "head_words": 20}):
+        part = score(**limits)
+        assert part.keys() == whole.keys()
+        assert all(abs(part[k] - v) <= 1e-3 * abs(v) for k, v in whole.items()), limits
+
+
 def test_filter_never_counts_too_low(spark):
     n = {k: 1 + k % 50 for k in range(-3000, 3000, 3)}
     pairs = spark.createDataFrame(list(n.items()), "key long, n long")

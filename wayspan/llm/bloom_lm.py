@@ -3,8 +3,10 @@
 Counts are quantised on a logarithmic scale; an n-gram of level q is held as the items (n-gram, 1)
 to (n-gram, q), so its count is read by probing levels until one is absent, and can only come out
 too high. The filter is built in shards by Spark, once for every lowest level worth keeping, and
-the fullest one within ``filter_mb`` is broadcast: its size is bounded at any input, and what it
-leaves out falls back to the unigram. Weights of the bigram, one for each level of the context,
+the fullest one within ``filter_mb`` is broadcast: its size is bounded at any input. Tokens whose
+n-grams it leaves out, or whose word count is not broadcast, are open: they are written out with
+their row, their pairs are read from the stored shards of the full filter, each in the task that
+holds the shard, their word counts are joined, and the results are added back. Weights of the bigram, one for each level of the context,
 are fitted on documents whose bigrams are not in the filter; the filter that scores is then built
 anew from the documents of all training folds.
 
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayspan.llm import wordhash
-from wayspan.llm.textops import scratch_path
+from wayspan.llm.textops import scratch_path, store
 
 BASE = 0x9E3779B97F4A7C15
 STEP = np.uint64(0xA0761D6478BD642F)
@@ -132,6 +134,13 @@ class Filter:
     data: np.ndarray
     start: np.ndarray  # byte of each shard
     bits: np.ndarray  # of each shard, 0 where it is empty
+    cut: int = 1  # lowest level held
+    path: str = ""  # of the stored shards of all cuts
+
+    def answers(self, keys: np.ndarray) -> np.ndarray:
+        """As ``level``, but -1 where only the full filter knows."""
+        out = self.level(keys)
+        return np.where(out < self.cut, -1, out) if self.cut > 1 else out
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Quantised count of every key, 0 where it is absent."""
@@ -149,22 +158,47 @@ class Filter:
         return out
 
 
+def _shard(key: str) -> Column:
+    """Unsigned key modulo SHARDS."""
+    return F.pmod(F.pmod(F.col(key), F.lit(SHARDS)) + F.lit((1 << 64) % SHARDS), F.lit(SHARDS))
+
+
+def _probe(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """(key, level) of the asked keys of one shard, by the stored bits of that shard."""
+    keys = asked["key"].to_numpy().view(np.uint64)
+    found = np.zeros(len(keys), np.int64)
+    if len(keys) and held.num_rows:
+        data = np.frombuffer(held["bits"][0].as_py(), np.uint8)
+        sizes = np.zeros(SHARDS, np.uint64)
+        sizes[held["shard"][0].as_py()] = len(data) * 8
+        found = Filter(data, np.zeros(SHARDS, np.int64), sizes).level(keys)
+    return pa.table({"key": pa.array(keys.view(np.int64)), "level": pa.array(found)})
+
+
+def stored_levels(keys: DataFrame, path: str) -> DataFrame:
+    """(key, level) of the distinct keys, from the stored shards of the full filter. Distinct
+    hashed keys spread evenly over the shards."""
+    full = keys.sparkSession.read.parquet(path).filter(F.col("cut") == 1).select("shard", "bits")
+    asked = keys.distinct().select(_shard("key").alias("shard"), "key")
+    return asked.groupBy("shard").cogroup(full.groupBy("shard")).applyInArrow(_probe, "key long, level long")
+
+
 def build_filter(pairs: DataFrame, words: DataFrame, filter_mb: int) -> Filter:
     """The filter of the (key, n) tables; both are added up by shard, in one exchange."""
     spark = pairs.sparkSession
-    unsigned = F.pmod(F.pmod(F.col("key"), F.lit(SHARDS)) + F.lit((1 << 64) % SHARDS), F.lit(SHARDS))
-    summed = pairs.union(words).select(unsigned.alias("shard"), "key", "n").repartition("shard").groupBy("shard", "key").agg(F.sum("n").alias("n"))
+    summed = pairs.union(words).select(_shard("key").alias("shard"), "key", "n").repartition("shard").groupBy("shard", "key").agg(F.sum("n").alias("n"))
     path = scratch_path(spark, "filter")
     summed.mapInArrow(_shards, "cut long, shard long, items long, bits binary").write.parquet(path)
     stored = spark.read.parquet(path)
     sizes = stored.groupBy("cut").agg(F.sum(F.octet_length("bits")).alias("size")).orderBy("cut").collect()  # at most CUTS rows
-    cut = next((r["cut"] for r in sizes if r["size"] <= filter_mb << 20), None)
-    rows = [] if cut is None else stored.filter(F.col("cut") == cut).select("shard", "bits").collect()  # at most filter_mb
+    # an empty table has no rows and leaves nothing out
+    cut = next((r["cut"] for r in sizes if r["size"] <= filter_mb << 20), CUTS + 1 if sizes else 1)
+    rows = stored.filter(F.col("cut") == cut).select("shard", "bits").collect()  # at most filter_mb
     start, bits, at = np.zeros(SHARDS, np.int64), np.zeros(SHARDS, np.uint64), 0
     for r in rows:
         start[r["shard"]], bits[r["shard"]] = at, len(r["bits"]) * 8
         at += len(r["bits"])
-    return Filter(np.frombuffer(b"".join(bytes(r["bits"]) for r in rows) or b"\0", np.uint8), start, bits)
+    return Filter(np.frombuffer(b"".join(bytes(r["bits"]) for r in rows) or b"\0", np.uint8), start, bits, cut, path)
 
 
 @dataclass
@@ -174,28 +208,48 @@ class Model:
     head_n: np.ndarray
     total: int
     distinct: int
+    starts: int  # rows that were counted
     weights: np.ndarray  # of the bigram, by level of the context
 
     def base(self, n: np.ndarray) -> np.ndarray:
         return (n + 0.5) / (self.total + 0.5 * (self.distinct + 1))
 
     def parts(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of every token: exact count or -1, unigram and bigram estimate, level of its context."""
+        """Of every token: exact count, level of its pair and of its context, each -1 where it is
+        not broadcast, and the keys of pair and context."""
         kinds, which = np.unique(np.append(tokens, START), return_inverse=True)
-        level = self.filter.level(word_key(kinds))
+        level = self.filter.answers(word_key(kinds))
         spot = np.minimum(np.searchsorted(self.head, kinds), max(0, len(self.head) - 1))
         known = self.head[spot] == kinds if len(self.head) else np.zeros(len(kinds), bool)
         exact = np.where(known, self.head_n[spot], -1) if len(self.head) else np.full(len(kinds), -1)
-        guess = np.where(level > 0, np.floor(RATIO ** (level - 1.0)), 0)
-        one = self.base(np.where(known, exact, guess))
+        level = np.where(known, levels(np.maximum(exact, 1)), level)
+        level[which[-1]] = levels(np.array(self.starts)) if self.starts else 0
         context = _contexts(tokens, first)
         before = np.empty(len(tokens), np.int64)
         before[1:], before[first] = which[:-2], which[-1]
-        pairs, back = np.unique(pair_key(context, tokens), return_inverse=True)
-        both = self.filter.level(pairs)[back]
-        around = level[before]
+        keys = pair_key(context, tokens)
+        pairs, back = np.unique(keys, return_inverse=True)
+        return exact[which[:-1]], self.filter.answers(pairs)[back], level[before], keys, context
+
+    def estimates(self, exact: np.ndarray, both: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unigram and bigram estimate, and the level that picks the weight."""
         two = np.where(both > 0, RATIO ** (both - 1.0 - around), 0)  # at most the true share, bar false hits
-        return exact[which[:-1]], one[which[:-1]], np.minimum(two, 1.0), np.minimum(around, len(self.weights) - 1)
+        return self.base(np.maximum(exact, 0)), np.minimum(two, 1.0), np.clip(around, 0, len(self.weights) - 1)
+
+
+OPEN = "array<struct<key: long, n: long, pair: long, level: long, context: long, around: long>>"
+
+
+def _open(first: np.ndarray, at: np.ndarray, tokens: np.ndarray, exact: np.ndarray, both: np.ndarray, around: np.ndarray, keys: np.ndarray, context: np.ndarray) -> pa.Array:
+    """For each row the tokens at ``at`` with what is known of them; what is known has no key to ask for."""
+    row = np.searchsorted(first, at, "right") - 1
+    column = lambda x: pa.array(x[at].view(np.int64))
+    asks = lambda x, known: pa.array(x[at].view(np.int64), mask=known[at] >= 0)
+    fields = pa.StructArray.from_arrays(
+        [asks(tokens, exact), column(exact), asks(keys, both), column(both), asks(context, around), column(around)],
+        names=["key", "n", "pair", "level", "context", "around"],
+    )
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(first) + 1)), pa.int32()), fields)
 
 
 def _grid(model):
@@ -204,7 +258,9 @@ def _grid(model):
         sums = np.zeros((len(m.weights), len(GRID)))
         for batch in batches:
             for _, _, raw, limits in wordhash.text_chunks(batch.column(0)):
-                _, one, two, around = m.parts(*_tokens(raw, limits))
+                exact, both, around, _, _ = m.parts(*_tokens(raw, limits))
+                closed = (exact >= 0) & (both >= 0) & (around >= 0)
+                one, two, around = m.estimates(exact[closed], both[closed], around[closed])
                 for k, w in enumerate(GRID):
                     sums[:, k] += np.bincount(around, np.log10(w * two + (1 - w) * one), len(m.weights))
         used = np.flatnonzero(sums[:, 0])
@@ -213,27 +269,61 @@ def _grid(model):
     return read
 
 
+def _opens(model):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for batch in batches:
+            for _, _, raw, limits in wordhash.text_chunks(batch.column(0)):
+                tokens, first = _tokens(raw, limits)
+                exact, both, around, keys, context = m.parts(tokens, first)
+                at = np.flatnonzero((exact < 0) | (both < 0) | (around < 0))
+                yield pa.record_batch([_open(first, at, tokens, exact, both, around, keys, context)], names=["open"])
+
+    return read
+
+
 def _scores(model):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:
             for start, end, raw, limits in wordhash.text_chunks(batch.column(1)):
                 tokens, first = _tokens(raw, limits)
-                exact, one, two, around = m.parts(tokens, first)
-                weight = m.weights[around]
-                score = np.add.reduceat(np.log10(weight * two + (1 - weight) * one), first)
+                exact, both, around, keys, context = m.parts(tokens, first)
                 known = exact >= 0
-                base = np.add.reduceat(np.where(known, np.log10(m.base(np.maximum(exact, 0))), 0.0), first)
+                closed = known & (both >= 0) & (around >= 0)
+                one, two, level = m.estimates(exact, both, around)
+                weight = m.weights[level]
+                score = np.add.reduceat(np.where(closed, np.log10(weight * two + (1 - weight) * one), 0.0), first)
+                base = np.add.reduceat(np.where(known, np.log10(one), 0.0), first)
                 n_known = np.add.reduceat(known.astype(np.int64), first)
                 size = np.append(first[1:], len(tokens)) - first
-                rare = np.flatnonzero(~known)
-                row = np.searchsorted(first, rare, "right") - 1
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(first) + 1)), pa.int32()), pa.array(tokens[rare].view(np.int64)))
-                yield pa.record_batch([batch.column(0).slice(start, end - start), pa.array(size), pa.array(n_known), pa.array(base), pa.array(score), lists], names=["id", "n_tokens", "n_known", "base_score", "score", "rare"])
+                lists = _open(first, np.flatnonzero(~closed), tokens, exact, both, around, keys, context)
+                yield pa.record_batch([batch.column(0).slice(start, end - start), pa.array(size), pa.array(n_known), pa.array(base), pa.array(score), lists], names=["id", "n_tokens", "n_known", "base_score", "score", "open"])
 
     return read
 
 
+def _looked_up(rows: DataFrame, at: str, table: DataFrame, value: str) -> DataFrame:
+    """``rows`` with the value of the key ``at``, 0 where the table (key, found) lacks it; rows
+    without a key keep theirs and take no part in the join."""
+    joined = rows.filter(F.col(at).isNotNull()).join(table.withColumnRenamed("key", at), at, "left").withColumn(value, F.coalesce("found", F.lit(0)))
+    return joined.select(*rows.columns).unionByName(rows.filter(F.col(at).isNull()))
+
+
+def _closed(rows: DataFrame, model: Model, real: DataFrame, least: int | None) -> DataFrame:
+    """``rows`` (open tokens, ``m`` times each) with every count filled in, and one, two, weighted (the level)."""
+    rare = real.filter(F.col("n") < least) if least else real
+    if model.filter.cut > 1:
+        asked = rows.filter("pair IS NOT NULL").select(F.col("pair").alias("key"))
+        rows = store(_looked_up(rows, "pair", stored_levels(asked, model.filter.path).withColumnRenamed("level", "found"), "level"), "pairs")
+        level = (F.floor(F.log("n") / F.lit(float(np.log(RATIO))) + 1e-9) + 1).cast("long")
+        rows = store(_looked_up(rows, "context", rare.select("key", level.alias("found")), "around"), "contexts")
+    rows = _looked_up(rows.withColumn("joined", F.col("key").isNotNull()), "key", rare.select("key", F.col("n").alias("found")), "n")
+    one = (F.col("n") + 0.5) / F.lit(float(model.total) + 0.5 * (model.distinct + 1))
+    two = F.when(F.col("level") > 0, F.least(F.pow(F.lit(RATIO), F.col("level") - 1.0 - F.col("around")), F.lit(1.0))).otherwise(0.0)
+    return rows.select("*", one.alias("one"), two.alias("two"), F.least("around", F.lit(len(model.weights) - 1)).alias("weighted"))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 48, head_words: int = 500_000) -> DataFrame:
     """One row for every row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score
     and score, log10 of the probability of the whole text.
@@ -248,6 +338,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
     words = spark.read.parquet(path)
     start = int(START) - (1 << 64) if int(START) >= 1 << 63 else int(START)
     real = words.filter(F.col("key") != start)
+    starts = words.filter(F.col("key") == start).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     total, distinct = real.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     least = _head_limit(real, head_words)
     head = real.filter(F.col("n") >= least).toPandas() if least else None  # at most head_words rows
@@ -257,24 +348,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filte
     model_of = lambda folds: build_filter(counts(rows.filter(folds), "text", True), word_keys, filter_mb)
     trained = F.col("fold") != TEST
     found = model_of(trained & (F.col("fold") != FIT_WEIGHTS))
-    model = Model(found, keys[order], head["n"].to_numpy(np.int64)[order] if head is not None else np.zeros(0, np.int64), int(total), int(distinct), np.zeros(80))
-    model.weights = _fit_weights(rows.filter(F.col("fold") == FIT_WEIGHTS), model)
+    model = Model(found, keys[order], head["n"].to_numpy(np.int64)[order] if head is not None else np.zeros(0, np.int64), int(total), int(distinct), int(starts), np.zeros(80))
+    model.weights = _fit_weights(rows.filter(F.col("fold") == FIT_WEIGHTS), model, real, least)
     model.filter = model_of(trained)
     shared = spark.sparkContext.broadcast(model)
     out = scratch_path(spark, "scores")
-    rows.select("id", "text").mapInArrow(_scores(shared), "id long, n_tokens long, n_known long, base_score double, score double, rare array<long>").withColumn("row", F.monotonically_increasing_id()).write.parquet(out)
+    rows.select("id", "text").mapInArrow(_scores(shared), "id long, n_tokens long, n_known long, base_score double, score double, open " + OPEN).withColumn("row", F.monotonically_increasing_id()).write.parquet(out)
     stored = spark.read.parquet(out)
-    tail = stored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("m"))
-    rare_words = real.filter(F.col("n") < least) if least else real
-    n = F.coalesce("n", F.lit(0))
-    share = F.log10((n + 0.5) / F.lit(float(total) + 0.5 * (distinct + 1)))
-    added = tail.join(rare_words, "key", "left").groupBy("row").agg(
-        F.sum(F.col("m") * share).alias("more"), F.sum(F.when(n > 0, F.col("m")).otherwise(0)).alias("more_known")
+    tail = stored.select("row", F.inline("open"))
+    tail = tail.groupBy(*tail.columns).agg(F.count("*").alias("m"))
+    weight = F.get(F.array(*[F.lit(float(w)) for w in model.weights]), F.col("weighted").cast("int"))
+    added = _closed(tail, model, real, least).groupBy("row").agg(
+        F.sum(F.when(F.col("joined"), F.col("m") * F.log10("one")).otherwise(0.0)).alias("more"),
+        F.sum(F.when(F.col("joined") & (F.col("n") > 0), F.col("m")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("m") * F.log10(weight * F.col("two") + (1 - weight) * F.col("one"))).alias("more_score"),
     )
     return stored.join(added, "row", "left").select(
         F.col("id").alias(id_col), (fold("id") == TEST).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 
@@ -302,11 +394,15 @@ def _head_limit(words: DataFrame, head_words: int) -> int | None:
     return limit
 
 
-def _fit_weights(docs: DataFrame, model: Model) -> np.ndarray:
+def _fit_weights(docs: DataFrame, model: Model, real: DataFrame, least: int | None) -> np.ndarray:
     """For each level of the context the weight that gives these documents the highest score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"g{k}" for k in range(len(GRID))]
     sums = docs.select("text").mapInArrow(_grid(shared), "level long, " + ", ".join(f"{n} double" for n in names))
+    rows = store(docs.select("text").mapInArrow(_opens(shared), "open " + OPEN).select(F.inline("open")), "open")
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("m"))
+    grid = [F.sum(F.col("m") * F.log10(F.lit(float(w)) * F.col("two") + F.lit(float(1 - w)) * F.col("one"))).alias(n) for n, w in zip(names, GRID, strict=True)]
+    sums = sums.unionByName(_closed(rows, model, real, least).groupBy(F.col("weighted").alias("level")).agg(*grid))
     out = np.zeros(len(model.weights))
     for r in sums.groupBy("level").agg(*[F.sum(n).alias(n) for n in names]).collect():  # one row a level
         out[r["level"]] = GRID[int(np.argmax([r[n] for n in names]))]
