@@ -34,3 +34,17 @@ def test_stream_hourly_speed(spark, tmp_path):
     for r in got.head(50).itertuples():
         assert abs(want[r.route_code, pd.Timestamp(r.hour_start)] - r.avg_speed) < 1e-9
     assert 0 < len(got) <= len(want)
+
+
+def test_open_hours_complete_the_emitted(spark, tmp_path):
+    src, out, state = (str(tmp_path / x) for x in ("src", "out", "state"))
+    rows = readings(spark, SF).select("event_id", "ts", "route_code", "avg_speed")
+    rows.write.parquet(src)
+    feed.run_available(feed.hourly_speed(feed.file_stream(spark, src, spark.read.parquet(src).schema)), out, state)
+    got = spark.read.parquet(out).unionByName(feed.open_hours(spark, state)).toPandas()
+    pdf = rows.toPandas()
+    want = pdf.groupby(["route_code", pdf["ts"].dt.floor("h")])["avg_speed"].agg(["mean", "size"])
+    assert len(got) == len(want)
+    for r in got.itertuples():
+        mean, n = want.loc[(r.route_code, pd.Timestamp(r.hour_start))]
+        assert abs(mean - r.avg_speed) < 1e-9 and n == r.readings

@@ -445,6 +445,14 @@ def _(spark, d):
     return spark.read.parquet(path).withColumn("hour_start", F.col("hour_start").cast("string"))
 
 
+@query("k2_stream_hourly_speed_all", "SELECT route_code, CAST(timestamp AS VARCHAR) AS hour_start, avg(avg_speed) AS avg_speed, count(*) AS readings FROM r GROUP BY ALL", doubles="avg_speed")
+def _(spark, d):
+    path = scratch(spark, "hourly")
+    streams.run_available(streams.hourly_speed(_stream(spark, d)), path, path + "-state")
+    hours = spark.read.parquet(path).unionByName(streams.open_hours(spark, path + "-state"))
+    return hours.withColumn("hour_start", F.col("hour_start").cast("string"))
+
+
 @query("l1_weather_relation", f"""WITH {WEATHER_SQL}
 SELECT count(*) AS observations, corr(CAST(temp AS DOUBLE), avg_speed) AS temp_corr, corr(CAST(humidity AS DOUBLE), avg_speed) AS humidity_corr, corr(CAST(aqi AS DOUBLE), avg_speed) AS aqi_corr
 FROM r LEFT JOIN w USING (route_code)""", doubles="temp_corr humidity_corr aqi_corr")

@@ -35,6 +35,17 @@ def hourly_speed(stream: DataFrame, column: str = "ts", delay: str = "24 hours")
     ).select("route_code", F.col("w.start").alias("hour_start"), "avg_speed", "readings")
 
 
+def open_hours(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The hours that ``hourly_speed`` still holds in the state of its last run: those the watermark
+    has not closed. With what it has emitted they are all hours read so far."""
+    state = spark.read.format("statestore").load(checkpoint).select(
+        F.col("key").cast("struct<w: struct<start: timestamp, end: timestamp>, route_code: string>").alias("k"),
+        F.col("value").cast("struct<total: double, valued: bigint, readings: bigint>").alias("v"),
+    )
+    speed = F.when(F.col("v.valued") > 0, F.col("v.total") / F.col("v.valued"))
+    return state.select("k.route_code", F.col("k.w.start").alias("hour_start"), speed.alias("avg_speed"), "v.readings")
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Process what is there and stop; the checkpoint carries the state to the next run."""
     query = (
