@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import patterned
+from sample_readings import patterned
 from wayspan.operators import anomaly, forecast, patterns, quality
 from wayspan.operators.clean import with_calendar
 
