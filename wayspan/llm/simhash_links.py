@@ -112,3 +112,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return rows.join(labels, "fingerprint").select(F.col("id").alias(id_col), hex16(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, large: int = LARGE) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, all columns.
+
+    Rows are told apart by id and text, so different texts under one id are judged each by
+    itself; rows without an id come last, ties go by the hash of the text, and of rows equal in
+    both one stays. Blank texts are one group, like any other texts of one fingerprint.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
+    labels = near_groups(docs.select(key.alias("key"), F.col(text_col).alias("body")), "key", "body", shingle, large)
+    heads = settle(labels.filter(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count("*").alias("copies")))
+    same = docs[id_col].eqNullSafe(heads["key.id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == heads["key.hash"])
+    held = lambda which: docs.join(heads.filter(which), same, "left_semi")
+    again = held("copies > 1").withColumn("_body", F.coalesce(F.col(text_col), F.lit(""))).dropDuplicates([id_col, "_body"]).drop("_body")
+    return held("copies = 1").union(again)
