@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import language_id, mixing, near_copies, sentencepieces, stream_dedup
+from wayspan.llm import language_id, mixing, sentencepieces, simhash_links, stream_dedup
 from wayspan.llm.queries import PIECE_MODEL
 from wayspan.llm.textops import store
 
@@ -29,9 +29,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) the
-    document with the smallest id."""
-    return near_copies.survivors(docs)
+    """Of each group that fingerprints (three-word shingles, two of 64 bits) link, the document
+    with the smallest id."""
+    return simhash_links.survivors(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
