@@ -4,11 +4,11 @@ import hashlib
 import random
 from collections import Counter
 
-import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from llm_helpers import DOCS, LOWER, words
-from wayspan.llm import fingerprints, near_copies, simhash_links, stream_dedup
+from wayspan.llm import fingerprints, simhash_links, stream_dedup
 from wayspan.llm.components import components
 
 
@@ -19,7 +19,8 @@ def simhash(text, k):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def expected_groups(rows, k=3):
+def group_numbers(rows, k=3):
+    """For every row the number of the first row of its group, by all pairs."""
     prints = [simhash(r[1], k) for r in rows]
     root = list(range(len(rows)))
 
@@ -33,11 +34,15 @@ def expected_groups(rows, k=3):
             if (prints[i] ^ prints[j]).bit_count() <= 2:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
-    least = {}
-    for i, r in enumerate(rows):
+    return [find(i) for i in range(len(rows))]
+
+
+def expected_groups(rows, k=3):
+    group, least = group_numbers(rows, k), {}
+    for g, r in zip(group, rows):
         if r[0] is not None:
-            least[find(i)] = min(r[0], least.get(find(i), r[0]))
-    return Counter((r[0], f"{prints[i]:016x}", least.get(find(i))) for i, r in enumerate(rows))
+            least[g] = min(r[0], least.get(g, r[0]))
+    return Counter((r[0], f"{simhash(r[1], k):016x}", least.get(g)) for g, r in zip(group, rows))
 
 
 def test_near_groups(docs, rows):
@@ -60,83 +65,24 @@ def test_components_of_a_path(spark):
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
-def brute_survivors(rows, k=5, similarity=0.8):
-    """Ids that stay: one of each group that Jaccard links connect; blank texts and null ids stay."""
-    sets = []
-    for r in rows:
-        w = words(r[1], lower=True)
-        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
-    root = list(range(len(rows)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= similarity:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    least = {}
-    for i, r in enumerate(rows):
-        if sets[i] and r[0] is not None:
-            least[find(i)] = min(r[0], least.get(find(i), r[0]))
-    return Counter(r[0] for i, r in enumerate(rows) if not sets[i] or r[0] is None or least[find(i)] == r[0])
-
-
-def test_survivors_of_near_copies(docs, rows):
-    kept = near_copies.survivors(docs)
-    assert kept.columns == docs.columns
-    ids = Counter(r.doc_id for r in kept.select("doc_id").collect())
-    assert ids == brute_survivors(rows)
-    assert not set(range(101, 106)) & set(ids) and 300 in ids and 301 in ids and ids[None] == 2
-    assert ids[400] == 2  # the same id twice is one document here
-
-
-def edited(text, rng, share):
-    return " ".join(f"e{rng.getrandbits(40)}" if rng.random() < share else w for w in text.split(" "))
-
-
-def test_near_copies_of_all_distances(spark):
-    """A crowd around one text, chains of small edits, and pairs on both sides of the similarity."""
-    rng = random.Random(9)
-    prose = lambda n: " ".join(f"w{rng.randint(0, 3000)}" for _ in range(n))
-    base, chain, rows = prose(300), prose(400), []
-    rows += [(i, edited(base, rng, 0.01), None, None, 1) for i in range(150)]
-    for i in range(200, 230):
-        chain = edited(chain, rng, 0.02)
-        rows.append((i, chain, None, None, 1))
-    for i in range(1000, 1200, 2):
-        text = prose(rng.randint(60, 500))
-        rows += [(i, text, None, None, 1), (i + 1, edited(text, rng, rng.choice([0.01, 0.02, 0.03, 0.06])), None, None, 1)]
-    got = Counter(r.doc_id for r in near_copies.survivors(spark.createDataFrame(rows, DOCS)).select("doc_id").collect())
-    want = brute_survivors(rows)
-    assert not want - got  # no document goes that should stay
-    assert sum((got - want).values()) <= 0.03 * (len(rows) - sum(want.values()))
-
-
-def test_near_copies_by_blocks(spark):
-    """Appended and replaced blocks, and texts of few different words: every pair is found."""
-    rng, rows = random.Random(12), []
-    for i in range(0, 600, 2):
-        words_ = rng.choice([12, 40, 3000])
-        prose = lambda n: [f"w{rng.randrange(words_)}" for _ in range(n)]  # noqa: E731, B023
-        text = prose(rng.randint(60, 300))
-        n = int(len(text) * rng.choice([0.12, 0.2, 0.24]))
-        other = text + prose(n) if i % 4 else text[:20] + prose(n // 2) + text[20 + n // 2 :]
-        rows += [(i, " ".join(text), None, None, 1), (i + 1, " ".join(other), None, None, 1)]
-    got = Counter(r.doc_id for r in near_copies.survivors(spark.createDataFrame(rows, DOCS)).select("doc_id").collect())
-    want = brute_survivors(rows)
-    assert got == want and sum(want.values()) < 500
-
-
-def test_wide_prints_do_not_depend_on_chunks(monkeypatch):
-    rng = np.random.default_rng(4)
-    words_, before = rng.integers(0, 1 << 62, 500).astype(np.uint64), np.array([0, 1, 1, 200, 500])
-    whole = near_copies._majorities(words_, before)
-    monkeypatch.setattr(near_copies, "BLOCK", 7)
-    assert (near_copies._majorities(words_, before) == whole).all()
+def test_survivors(spark, docs, rows):
+    """Of every group of the brute-force grouping the smallest id stays, once; different texts under
+    one id are judged apart."""
+    extra = [(700, rows[3][1], "en", "s0", 1), (700, "another text under the same id as the copy before it", "en", "s0", 1), (701, None, "x", None, 1), (300, "", "en", "s1", 0)]
+    table = docs.select(DOCS.names).union(spark.createDataFrame(extra, DOCS)).withColumn("key", F.lit("k"))
+    kept = simhash_links.survivors(table)
+    assert kept.columns == table.columns
+    every = [*rows, *extra]
+    members = {}
+    for r, g in zip(every, group_numbers(every)):
+        members.setdefault(g, []).append(r)
+    want = Counter()
+    for group in members.values():
+        ids = [r[0] for r in group if r[0] is not None]
+        want[min(ids) if ids else None] += 1
+    assert Counter(r.doc_id for r in kept.collect()) == want
+    texts = [r.text for r in kept.collect() if r.doc_id == 700]
+    assert texts == ["another text under the same id as the copy before it"]
 
 
 def test_exact_classes(spark, docs, rows, tmp_path):
@@ -210,6 +156,6 @@ def test_next_document(spark, monkeypatch):
 
 def test_empty_tables(spark, empty):
     assert simhash_links.near_groups(empty).count() == 0
-    assert near_copies.survivors(empty).count() == 0
+    assert simhash_links.survivors(empty).count() == 0
     assert stream_dedup.survivors(spark, empty).count() == 0
     assert fingerprints.fingerprints(empty).count() == 0
