@@ -41,10 +41,11 @@ def text_chunks(texts: pa.Array, size: int | None = None) -> Iterator[tuple[int,
         row = end
 
 
-def word_limits(raw: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_limits(raw: np.ndarray, limits: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte limits of the words, and the number of words before each row
-    (one entry more than rows). A word ends with its row."""
-    inside = ~BLANK[raw]
+    (one entry more than rows). A word ends with its row. ``blank`` tells for every byte whether
+    it is outside of words."""
+    inside = ~blank[raw]
     fresh = inside.copy()
     fresh[1:] &= ~inside[:-1]
     cuts = limits[1:-1]
@@ -74,6 +75,29 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, bases: tu
     return out
 
 
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """A-Z in lower case."""
+    return raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
+
+
+def joined(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, count: np.ndarray) -> pa.Array:
+    """The texts of runs of ``count`` words (one or more) from word ``first``, with one space between words."""
+    if not len(first):
+        return pa.array([], pa.string())
+    stop = np.cumsum(count)
+    word = np.repeat(first - (stop - count), count) + np.arange(int(stop[-1]))
+    size = ends[word] - starts[word] + 1
+    size[stop - 1] -= 1  # no space after the last word
+    after = np.cumsum(size)
+    spot = np.repeat(starts[word] - (after - size), size) + np.arange(int(after[-1]))
+    out = raw[np.minimum(spot, len(raw) - 1)]
+    gap = np.ones(len(word), bool)
+    gap[stop - 1] = False
+    out[after[gap] - 1] = 32
+    limits = np.append(0, after[stop - 1]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(first), pa.py_buffer(limits), pa.py_buffer(out))
+
+
 def rolling(h: np.ndarray, width: int, base: int) -> np.ndarray:
     """Hash of every run of ``width`` entries; empty if there are fewer."""
     n = len(h) - width + 1
