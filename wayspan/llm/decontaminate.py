@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayspan.llm import wordhash
+from wayspan.llm.bitmaps import bitmap, held
 from wayspan.llm.textops import store
 
 WIDTH = 10
@@ -64,7 +65,6 @@ def _read(sizes, kept):
     only those of the largest size that it has."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if kept is None else np.frombuffer(kept.value, np.uint8)
         for batch in batches:
             for start, end, raw, limits in wordhash.text_chunks(batch.column(1)):
                 raw = wordhash.lowered(raw)
@@ -73,9 +73,8 @@ def _read(sizes, kept):
                 parts = []
                 for size in sizes:
                     for first, count, mark in _prints(words, before, size):
-                        if bits is not None:
-                            spot = mark >> np.uint64(64 - FILTER)
-                            there = (bits[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        if kept is not None:
+                            there = held(kept.value, mark)
                         else:
                             n = np.diff(before)[np.searchsorted(before, first, "right") - 1]
                             there = np.minimum(n, max(sizes)) == size
@@ -112,22 +111,12 @@ def item_windows(items: DataFrame, width: int = WIDTH, id_col: str = "item_id",
     """
     rows = store(_rows(items, id_col, text_col, "string").mapInArrow(_read(range(1, width + 1), None), f"id string, n_words long, runs {RUNS}"), "items")
     runs = rows.select("id", F.inline("runs"))
-    held = store(_windows(runs, ["id", "print"]).select("id", "print", "size", "words").distinct(), "item-windows")
-    kinds = store(held.groupBy("words").agg(F.first("print").alias("print"), F.first("size").alias("size")).withColumn("window", F.monotonically_increasing_id()), "windows")
-    members = held.filter(F.col("id").isNotNull()).join(kinds.select("words", "window"), "words").select("window", F.col("id").alias("item_id"))
+    each = store(_windows(runs, ["id", "print"]).select("id", "print", "size", "words").distinct(), "item-windows")
+    kinds = store(each.groupBy("words").agg(F.first("print").alias("print"), F.first("size").alias("size")).withColumn("window", F.monotonically_increasing_id()), "windows")
+    members = each.filter(F.col("id").isNotNull()).join(kinds.select("words", "window"), "words").select("window", F.col("id").alias("item_id"))
     return kinds, store(members, "members")
 
 
-def _bitmap(prints: DataFrame) -> bytes:
-    """Bitmap of the first FILTER bits of the fingerprints; at most 2 ** (FILTER - 6) longs are fetched."""
-    spot = F.shiftrightunsigned("print", 64 - FILTER)
-    longs = prints.select(spot.alias("spot")).selectExpr("shiftright(spot, 6) AS long", "shiftleft(1L, cast(spot & 63 AS int)) AS bit")
-    out = np.zeros(1 << (FILTER - 6), np.int64)
-    held = longs.groupBy("long").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out[held["long"].to_numpy(np.int64)] = held["bits"].to_numpy(np.int64)
-    return out.tobytes()
-
-
 def passages(docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for every row of ``docs``: id, n_words, spans (start, end: words in windows that an
     item has too, end exclusive, merged) and items, their ids as sorted strings.
@@ -139,7 +128,7 @@ def passages(docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str
     spark = docs.sparkSession
     kinds, members = item_windows(items, width, item_col, item_text_col)
     sizes = [r["size"] for r in kinds.select("size").distinct().orderBy(F.desc("size")).collect()]  # at most ``width`` rows
-    kept = spark.sparkContext.broadcast(_bitmap(kinds.select("print")))
+    kept = spark.sparkContext.broadcast(bitmap(kinds, "print", FILTER))
     kind = docs.schema[id_col].dataType.simpleString()
     read = _rows(docs, id_col, text_col, kind).mapInArrow(_read(sizes, kept), f"id {kind}, n_words long, runs {RUNS}")
     rows = store(read.withColumn("row", F.monotonically_increasing_id()), "prints")

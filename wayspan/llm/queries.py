@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import bloom_lm, debruijn, decontaminate, edit_counts, fingerprints, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
+from wayspan.llm import bloom_lm, collocations, debruijn, decontaminate, edit_counts, fingerprints, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -114,6 +114,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = decontaminate.n_hit(F.col("spans"))
@@ -134,10 +138,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_collocations": op11_collocations,
     "op13_decontamination": op13_decontamination,
 }
 SQL: dict[str, str] = {
     "op5_secret_scans": secrets.oracle(),
+    "op11_collocations": collocations.oracle(),
     "op13_decontamination": decontaminate.oracle(),
     "op8_exact_dedup": """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
