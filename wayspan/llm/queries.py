@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.llm import bloom_lm, collocations, debruijn, decontaminate, edit_counts, fingerprints, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
+from wayspan.llm import bloom_lm, collocations, debruijn, decontaminate, edit_counts, fingerprints, hard_negatives, language_id, mixing, secrets, sentencepieces, simhash_links, stream_dedup
 from wayspan.llm.textops import settle, table, words
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -71,23 +71,25 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.floor(n / 3).cast("int")
     edited = F.concat(F.left("text", n - moved), F.left("next_text", moved))
     both = near.select(
-        "r", "id", "key", "next_key", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
+        "r", "id", "key", "hash", "next_key", "next_hash", n.cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
         F.posexplode(F.array("text", edited)).alias("which", "body"),
     )
-    keys = ["r", "id", "key", "next_key", "n_chars", "edited_sha256", "which"]
+    keys = ["r", "id", "key", "hash", "next_key", "next_hash", "n_chars", "edited_sha256", "which"]
     prints = fingerprints.votes(both.select(*keys, words(F.col("body")).alias("w")), keys)
     own = F.col("which") == 0
     rows = settle(prints.groupBy(*keys[:-1]).agg(
         F.max(F.when(own, F.col("high"))).alias("a_high"), F.max(F.when(own, F.col("low"))).alias("a_low"),
         F.max(F.when(~own, F.col("high"))).alias("e_high"), F.max(F.when(~own, F.col("low"))).alias("e_low"),
     ))
-    follows = rows.groupBy(F.col("key").alias("next_key")).agg(F.max(F.struct("a_high", "a_low")).alias("x")).select("next_key", F.col("x.a_high").alias("n_high"), F.col("x.a_low").alias("n_low"))
+    # rows of one id and text have one print
+    follows = rows.groupBy(F.col("key").alias("next_key"), F.col("hash").alias("next_hash")).agg(F.max(F.struct("a_high", "a_low")).alias("x"))
+    follows = follows.select("next_key", "next_hash", F.col("x.a_high").alias("n_high"), F.col("x.a_low").alias("n_low"))
     distinct = rows.groupBy(F.col("a_high").alias("high"), F.col("a_low").alias("low")).agg(F.count("*").alias("n"))
     asked = rows.filter("id % 50 = 0").select(F.col("a_high").alias("high"), F.col("a_low").alias("low")).distinct()
     sizes = distinct.select(F.col("high").alias("p_high"), F.col("low").alias("p_low"), "n")
     found = fingerprints.within(asked, distinct).join(sizes, ["p_high", "p_low"]).groupBy(F.col("q_high").alias("a_high"), F.col("q_low").alias("a_low")).agg(F.sum("n").alias("n_within"))
     likeness = lambda a, b: 1.0 - fingerprints.differing(a, b) / fingerprints.BITS
-    return rows.join(follows, "next_key", "left").join(found, ["a_high", "a_low"], "left").select(
+    return rows.join(follows, ["next_key", "next_hash"], "left").join(found, ["a_high", "a_low"], "left").select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         fingerprints.as_hex("a_high", "a_low").alias("fingerprint"), fingerprints.as_hex("e_high", "e_low").alias("edited_fingerprint"),
         likeness("a", "e").alias("near_edited"), likeness("a", "n").alias("near_next"),
@@ -118,6 +120,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = decontaminate.n_hit(F.col("spans"))
@@ -139,11 +147,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_decontamination": op13_decontamination,
 }
 SQL: dict[str, str] = {
     "op5_secret_scans": secrets.oracle(),
     "op11_collocations": collocations.oracle(),
+    "op12_hard_negatives": hard_negatives.oracle(),
     "op13_decontamination": decontaminate.oracle(),
     "op8_exact_dedup": """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
