@@ -2,17 +2,21 @@
 
 Counts are quantised on a logarithmic scale; an n-gram of level q is held as the items (n-gram, 1)
 to (n-gram, q), so its count is read by probing levels until one is absent, and can only come out
-too high. The filter is built in shards by Spark, once for every lowest level worth keeping, and
-the fullest one within ``filter_mb`` is broadcast: its size is bounded at any input. Tokens whose
-n-grams it leaves out, or whose word count is not broadcast, are open: they are written out with
-their row, their pairs are read from the stored shards of the full filter, each in the task that
-holds the shard, their word counts are joined, and the results are added back. Weights of the bigram, one for each level of the context,
-are fitted on documents whose bigrams are not in the filter; the filter that scores is then built
-anew from the documents of all training folds.
-
-Unigram counts are exact and never broadcast whole: the most frequent words, at most ``head_words``
-of them, are broadcast; the rare rest is joined, so no frequent word goes through that join.
-Tokens are told apart by 64-bit hashes.
+too high. Each level is a part of its own, cut into shards by the hash of the n-gram. Every ZONE
+levels a part is an anchor with more bits: probing starts at the highest anchor that holds the
+n-gram. Which parts are at hand therefore never changes an answer: the zones whose parts fit
+``filter_mb`` together are broadcast, from the top; an n-gram that none of their anchors holds is
+open. Open tokens are written out with their row, their pairs are read from the stored shards, each
+in the task that holds the shard, and the results are added back. So the broadcast is bounded
+at any input and all n-grams count.
+
+Weights of the bigram, one for each level of the context, are fitted on one training fold by the
+counts of the others; scores then use the counts of all training folds. Both filters come from one
+exchange of the pairs.
+
+Unigram and context counts are exact and never broadcast whole: the most frequent words, at most
+``head_words`` of them, are broadcast; the rare rest is joined, so no frequent word goes through
+that join. Tokens are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +36,13 @@ from wayspan.llm.textops import scratch_path, store
 BASE = 0x9E3779B97F4A7C15
 STEP = np.uint64(0xA0761D6478BD642F)
 START, END = np.uint64(0x51A9E0D5C2B3F701), np.uint64(0xE4D909C290D0FB1C)
-ONE, GOLD = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E3779B97F4A7C15)
+GOLD = 0x9E3779B97F4A7C15
 RATIO = 1.5  # between two levels
-PROBES = 6
-BITS_PER_ITEM = 10
-SHARDS = 1024
-CUTS = 40
+ZONE = 4  # levels 1, 5, 9, ... are anchors
+ITEM_BITS = 8
+ANCHOR_BITS = 12  # more, above the first zone, where a false hit would be a large count
+KEYS_PER_SHARD = 500_000
+FIT, ALL = 0, 1  # filter of the folds that weights are fitted by, and of all training folds
 GRID = np.round(np.arange(0, 20) * 0.05, 2)
 FOLDS, TEST, FIT_WEIGHTS = 5, 1, 2  # of crc32(id): scored only; fit the weights before their bigrams are counted too
 
@@ -71,134 +77,182 @@ def pair_key(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return wordhash._mix(context * STEP + token)
 
 
-def word_key(token: np.ndarray) -> np.ndarray:
-    return wordhash._mix(token ^ ONE)
-
-
 def _count(pairs: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, raw, limits in wordhash.text_chunks(batch.column(0)):
+            fits = batch.column(1).to_numpy(zero_copy_only=False)
+            for start, end, raw, limits in wordhash.text_chunks(batch.column(0)):
                 tokens, first = _tokens(raw, limits)
-                keys = pair_key(_contexts(tokens, first), tokens) if pairs else np.append(tokens, np.full(len(first), START))
-                keys, n = np.unique(keys, return_counts=True)
-                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+                row_of = np.repeat(np.arange(start, end), np.diff(np.append(first, len(tokens))))
+                if pairs:
+                    keys = pair_key(_contexts(tokens, first), tokens)
+                else:
+                    keys, row_of = np.append(tokens, np.full(len(first), START)), np.append(row_of, np.arange(start, end))
+                keys, back, n = np.unique(keys, return_inverse=True, return_counts=True)
+                fit = np.bincount(back, fits[row_of], len(keys)).astype(np.int64)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n), pa.array(fit)], names=["key", "n", "fit"])
 
     return read
 
 
-def counts(docs: DataFrame, text_col: str, pairs: bool) -> DataFrame:
-    """(key, n), added up for each chunk of text; START is counted once a row."""
-    return docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(_count(pairs), "key long, n long")
+def counts(docs: DataFrame, text_col: str, pairs: bool, fit: Column | None = None) -> DataFrame:
+    """(key, n, fit), added up for each chunk of text: occurrences, and those in rows with ``fit``;
+    START is counted once a row."""
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), (F.lit(True) if fit is None else fit).alias("fit"))
+    return rows.mapInArrow(_count(pairs), "key long, n long, fit long")
 
 
 def levels(n: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(n) / np.log(RATIO) + 1e-9).astype(np.int64)
-
-
-def _places(keys: np.ndarray, level: np.ndarray, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """The bit of each probe of items (key, level) in filters of ``bits`` bits."""
-    a = wordhash._mix(keys + level.astype(np.uint64) * GOLD)
-    b = (a >> np.uint64(32)) | np.uint64(1)
-    for k in range(PROBES):
-        yield wordhash._mix(a + np.uint64(k) * b) % bits
-
-
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, key, n), whole shards, to (cut, shard, items, bits) for every cut."""
-    parts = [[batch.column(k).to_numpy() for k in range(3)] for batch in batches]
-    if not parts:
-        return
-    shard, keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(shard, kind="stable")
-    shard, keys, top = shard[order], keys[order].view(np.uint64), levels(n[order])
-    edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-    for lo, hi in zip(edges, np.append(edges[1:], len(shard)), strict=True):
-        own, own_top = keys[lo:hi], top[lo:hi]
-        for cut in range(1, CUTS + 1):
-            take = own_top >= cut
-            if not take.any():
-                break
-            size = int(own_top[take].sum()) * BITS_PER_ITEM // 8 + 8
-            flags = np.zeros(size * 8, bool)
-            item_keys = np.repeat(own[take], own_top[take])
-            begin = np.cumsum(own_top[take]) - own_top[take]
-            item_level = np.arange(len(item_keys)) - np.repeat(begin, own_top[take]) + 1
-            for place in _places(item_keys, item_level, np.uint64(size * 8)):
-                flags[place] = True
-            yield pa.record_batch([pa.array([cut]), pa.array([int(shard[lo])]), pa.array([len(item_keys)]), pa.array([np.packbits(flags, bitorder="little").tobytes()])], names=["cut", "shard", "items", "bits"])
+    """1 for one occurrence, and one more for each factor of RATIO; 0 for none."""
+    return np.where(n > 0, 1 + np.floor(np.log(np.maximum(n, 1)) / np.log(RATIO) + 1e-9).astype(np.int64), 0)
+
+
+def _anchor(level: int) -> bool:
+    return level % ZONE == 1
+
+
+def _shape(level: int, item_bits: int) -> tuple[int, int]:
+    """Probes and bits an item of a part."""
+    bits = item_bits + ANCHOR_BITS if level > 1 and _anchor(level) else item_bits
+    return max(1, round(0.65 * bits)), bits
+
+
+def _probes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """First place and stride of the probes of a level."""
+    a = wordhash._mix(keys + np.uint64(level * GOLD % (1 << 64)))
+    return a, (a >> np.uint64(32)) | np.uint64(1)
+
+
+def _shards(item_bits: int):
+    """Rows (shard, key, n, fit), whole shards, to the parts (which, level, shard, bits)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[batch.column(k).to_numpy() for k in range(4)] for batch in batches]
+        if not parts:
+            return
+        shard, keys, n, fit = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(shard, kind="stable")
+        shard, keys, tops = shard[order], keys[order].view(np.uint64), {ALL: levels(n[order]), FIT: levels(fit[order])}
+        edges = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+        for lo, hi in zip(edges, np.append(edges[1:], len(shard)), strict=True):
+            for which, top in tops.items():
+                for level in range(1, int(top[lo:hi].max()) + 1):
+                    own, (probes, bits) = keys[lo:hi][top[lo:hi] >= level], _shape(level, item_bits)
+                    size = len(own) * bits // 8 + 8
+                    flags = np.zeros(size * 8, bool)
+                    a, b = _probes(own, level)
+                    for k in range(probes):
+                        flags[wordhash._mix(a + np.uint64(k) * b) % np.uint64(size * 8)] = True
+                    yield pa.record_batch([pa.array([which]), pa.array([level]), pa.array([int(shard[lo])]), pa.array([np.packbits(flags, bitorder="little").tobytes()])], names=["which", "level", "shard", "bits"])
+
+    return read
 
 
 @dataclass
 class Filter:
-    data: np.ndarray
-    start: np.ndarray  # byte of each shard
-    bits: np.ndarray  # of each shard, 0 where it is empty
-    cut: int = 1  # lowest level held
-    path: str = ""  # of the stored shards of all cuts
+    """Parts from level ``lowest`` up: ``start`` and ``bits`` are [level, shard], byte and bits of
+    each part in ``data``, no bits where it is empty."""
 
-    def answers(self, keys: np.ndarray) -> np.ndarray:
-        """As ``level``, but -1 where only the full filter knows."""
-        out = self.level(keys)
-        return np.where(out < self.cut, -1, out) if self.cut > 1 else out
+    data: np.ndarray
+    start: np.ndarray
+    bits: np.ndarray
+    lowest: int = 1
+    item_bits: int = ITEM_BITS
+
+    def _holds(self, keys: np.ndarray, shard: np.ndarray, level: int) -> np.ndarray:
+        """Numbers of the keys that the part of ``level`` holds."""
+        at = np.flatnonzero(self.bits[level, shard])
+        sizes, starts = self.bits[level, shard[at]], self.start[level, shard[at]]
+        a, b = _probes(keys[at], level)
+        for k in range(_shape(level, self.item_bits)[0]):
+            place = wordhash._mix(a + np.uint64(k) * b) % sizes
+            held = (self.data[starts + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            at, sizes, starts, a, b = at[held], sizes[held], starts[held], a[held], b[held]
+        return at
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised count of every key, 0 where it is absent."""
-        shard = (keys % np.uint64(SHARDS)).astype(np.int64)
-        out = np.zeros(len(keys), np.int64)
-        alive = np.flatnonzero(self.bits[shard])
-        level = 0
-        while len(alive):
-            level += 1
-            held, sizes, starts = np.ones(len(alive), bool), self.bits[shard[alive]], self.start[shard[alive]]
-            for place in _places(keys[alive], np.full(len(alive), level), sizes):
-                held &= (self.data[starts + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive = alive[held]
-            out[alive] = level
+        """Quantised count of every key; 0 where it is absent, -1 where only lower parts know."""
+        shard = (keys % np.uint64(self.bits.shape[1])).astype(np.int64)
+        out = np.full(len(keys), 0 if self.lowest == 1 else -1)
+        rest = np.arange(len(keys))
+        anchors = [n for n in range(self.lowest, len(self.bits)) if _anchor(n)]
+        for anchor in reversed(anchors):
+            alive = rest[self._holds(keys[rest], shard[rest], anchor)]
+            out[alive] = anchor
+            rest = rest[out[rest] <= 0]
+            for level in range(anchor + 1, min(anchor + ZONE, len(self.bits))):
+                alive = alive[self._holds(keys[alive], shard[alive], level)]
+                out[alive] = level
         return out
 
 
-def _shard(key: str) -> Column:
-    """Unsigned key modulo SHARDS."""
-    return F.pmod(F.pmod(F.col(key), F.lit(SHARDS)) + F.lit((1 << 64) % SHARDS), F.lit(SHARDS))
-
-
-def _probe(asked: pa.Table, held: pa.Table) -> pa.Table:
-    """(key, level) of the asked keys of one shard, by the stored bits of that shard."""
-    keys = asked["key"].to_numpy().view(np.uint64)
-    found = np.zeros(len(keys), np.int64)
-    if len(keys) and held.num_rows:
-        data = np.frombuffer(held["bits"][0].as_py(), np.uint8)
-        sizes = np.zeros(SHARDS, np.uint64)
-        sizes[held["shard"][0].as_py()] = len(data) * 8
-        found = Filter(data, np.zeros(SHARDS, np.int64), sizes).level(keys)
-    return pa.table({"key": pa.array(keys.view(np.int64)), "level": pa.array(found)})
-
-
-def stored_levels(keys: DataFrame, path: str) -> DataFrame:
-    """(key, level) of the distinct keys, from the stored shards of the full filter. Distinct
-    hashed keys spread evenly over the shards."""
-    full = keys.sparkSession.read.parquet(path).filter(F.col("cut") == 1).select("shard", "bits")
-    asked = keys.distinct().select(_shard("key").alias("shard"), "key")
-    return asked.groupBy("shard").cogroup(full.groupBy("shard")).applyInArrow(_probe, "key long, level long")
-
-
-def build_filter(pairs: DataFrame, words: DataFrame, filter_mb: int) -> Filter:
-    """The filter of the (key, n) tables; both are added up by shard, in one exchange."""
-    spark = pairs.sparkSession
-    summed = pairs.union(words).select(_shard("key").alias("shard"), "key", "n").repartition("shard").groupBy("shard", "key").agg(F.sum("n").alias("n"))
-    path = scratch_path(spark, "filter")
-    summed.mapInArrow(_shards, "cut long, shard long, items long, bits binary").write.parquet(path)
-    stored = spark.read.parquet(path)
-    sizes = stored.groupBy("cut").agg(F.sum(F.octet_length("bits")).alias("size")).orderBy("cut").collect()  # at most CUTS rows
-    # an empty table has no rows and leaves nothing out
-    cut = next((r["cut"] for r in sizes if r["size"] <= filter_mb << 20), CUTS + 1 if sizes else 1)
-    rows = stored.filter(F.col("cut") == cut).select("shard", "bits").collect()  # at most filter_mb
-    start, bits, at = np.zeros(SHARDS, np.int64), np.zeros(SHARDS, np.uint64), 0
-    for r in rows:
-        start[r["shard"]], bits[r["shard"]] = at, len(r["bits"]) * 8
-        at += len(r["bits"])
-    return Filter(np.frombuffer(b"".join(bytes(r["bits"]) for r in rows) or b"\0", np.uint8), start, bits, cut, path)
+def _shard(key: str, shards: int) -> Column:
+    """Unsigned key modulo ``shards``, a power of two."""
+    return F.col(key).bitwiseAND(F.lit(shards - 1))
+
+
+def _assembled(parts: pa.Table, shards: int, lowest: int, item_bits: int) -> Filter:
+    """Rows (level, shard, bits) as a filter."""
+    level, shard = parts["level"].to_numpy(), parts["shard"].to_numpy()
+    size = pc.binary_length(parts["bits"]).to_numpy().astype(np.int64)
+    shape = (int(level.max(initial=0)) + 1, shards)
+    start, bits = np.zeros(shape, np.int64), np.zeros(shape, np.uint64)
+    start[level, shard], bits[level, shard] = np.cumsum(size) - size, size * 8
+    data = np.zeros(max(1, int(size.sum())), np.uint8)
+    for at, n, part in zip(start[level, shard], size, parts["bits"], strict=True):
+        data[at : at + n] = np.frombuffer(part.as_buffer(), np.uint8)
+    return Filter(data, start, bits, lowest, item_bits)
+
+
+def _probe(shards: int, item_bits: int):
+    """(key, level) of the asked keys of one shard, by the stored parts of that shard."""
+
+    def probe(asked: pa.Table, held: pa.Table) -> pa.Table:
+        keys = asked["key"].to_numpy().view(np.uint64)
+        found = _assembled(held, shards, 1, item_bits).level(keys) if len(keys) else np.zeros(0, np.int64)
+        return pa.table({"key": pa.array(keys.view(np.int64)), "level": pa.array(found)})
+
+    return probe
+
+
+@dataclass
+class Stored:
+    """Parts of both filters in the shared folder."""
+
+    path: str
+    shards: int
+    item_bits: int
+
+    def parts(self, spark, which: int) -> DataFrame:
+        return spark.read.parquet(self.path).filter(F.col("which") == which).select("level", "shard", "bits")
+
+    def levels(self, keys: DataFrame, which: int) -> DataFrame:
+        """(key, level) of the distinct keys. Hashed keys spread evenly over the shards."""
+        asked = keys.distinct().select(_shard("key", self.shards).alias("to"), "key")
+        held = self.parts(keys.sparkSession, which)
+        return asked.groupBy("to").cogroup(held.groupBy("shard")).applyInArrow(_probe(self.shards, self.item_bits), "key long, level long")
+
+    def fitting(self, spark, which: int, filter_mb: int) -> Filter:
+        """The zones that fit, from the top."""
+        stored = self.parts(spark, which)
+        sizes = {r["level"]: r["size"] for r in stored.groupBy("level").agg(F.sum(F.octet_length("bits")).alias("size")).collect()}  # one row a level
+        top = max(sizes, default=0)
+        lowest, used = top - (top - 1) % ZONE + ZONE if top else 1, 0  # none
+        for anchor in range(lowest - ZONE, 0, -ZONE):
+            used += sum(sizes.get(n, 0) for n in range(anchor, anchor + ZONE))
+            if used > filter_mb << 20:
+                break
+            lowest = anchor
+        return _assembled(stored.filter(F.col("level") >= lowest).toArrow(), self.shards, lowest, self.item_bits)  # at most filter_mb
+
+
+def build_filters(pairs: DataFrame, tokens: int, item_bits: int = ITEM_BITS) -> Stored:
+    """Both filters of the (key, n, fit) counts, which are added up by shard in one exchange."""
+    shards = 1 << max(4, (tokens // KEYS_PER_SHARD).bit_length())
+    summed = pairs.select(_shard("key", shards).alias("shard"), "key", "n", "fit").repartition("shard").groupBy("shard", "key").agg(F.sum("n").alias("n"), F.sum("fit").alias("fit"))
+    path = scratch_path(pairs.sparkSession, "filter")
+    summed.mapInArrow(_shards(item_bits), "which long, level long, shard long, bits binary").write.parquet(path)
+    return Stored(path, shards, item_bits)
 
 
 @dataclass
@@ -216,20 +270,19 @@ class Model:
 
     def parts(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of every token: exact count, level of its pair and of its context, each -1 where it is
-        not broadcast, and the keys of pair and context."""
+        not broadcast, and the keys of pair and context. Levels of contexts are those of exact counts."""
         kinds, which = np.unique(np.append(tokens, START), return_inverse=True)
-        level = self.filter.answers(word_key(kinds))
         spot = np.minimum(np.searchsorted(self.head, kinds), max(0, len(self.head) - 1))
         known = self.head[spot] == kinds if len(self.head) else np.zeros(len(kinds), bool)
         exact = np.where(known, self.head_n[spot], -1) if len(self.head) else np.full(len(kinds), -1)
-        level = np.where(known, levels(np.maximum(exact, 1)), level)
-        level[which[-1]] = levels(np.array(self.starts)) if self.starts else 0
+        level = np.where(known, levels(exact), -1)
+        level[which[-1]] = levels(np.array(self.starts))
         context = _contexts(tokens, first)
         before = np.empty(len(tokens), np.int64)
         before[1:], before[first] = which[:-2], which[-1]
         keys = pair_key(context, tokens)
         pairs, back = np.unique(keys, return_inverse=True)
-        return exact[which[:-1]], self.filter.answers(pairs)[back], level[before], keys, context
+        return exact[which[:-1]], self.filter.level(pairs)[back], level[before], keys, context
 
     def estimates(self, exact: np.ndarray, both: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Unigram and bigram estimate, and the level that picks the weight."""
@@ -310,72 +363,66 @@ def _looked_up(rows: DataFrame, at: str, table: DataFrame, value: str) -> DataFr
     return joined.select(*rows.columns).unionByName(rows.filter(F.col(at).isNull()))
 
 
-def _closed(rows: DataFrame, model: Model, real: DataFrame, least: int | None) -> DataFrame:
+def _closed(rows: DataFrame, model: Model, stored: Stored, which: int, rare: DataFrame) -> DataFrame:
     """``rows`` (open tokens, ``m`` times each) with every count filled in, and one, two, weighted (the level)."""
-    rare = real.filter(F.col("n") < least) if least else real
-    if model.filter.cut > 1:
+    if model.filter.lowest > 1:
         asked = rows.filter("pair IS NOT NULL").select(F.col("pair").alias("key"))
-        rows = store(_looked_up(rows, "pair", stored_levels(asked, model.filter.path).withColumnRenamed("level", "found"), "level"), "pairs")
-        level = (F.floor(F.log("n") / F.lit(float(np.log(RATIO))) + 1e-9) + 1).cast("long")
-        rows = store(_looked_up(rows, "context", rare.select("key", level.alias("found")), "around"), "contexts")
+        rows = store(_looked_up(rows, "pair", stored.levels(asked, which).withColumnRenamed("level", "found"), "level"), "pairs")
+    level = F.when(F.col("n") > 0, F.floor(F.log("n") / F.lit(float(np.log(RATIO))) + 1e-9) + 1).otherwise(0).cast("long")
+    rows = store(_looked_up(rows, "context", rare.select("key", level.alias("found")), "around"), "contexts")
     rows = _looked_up(rows.withColumn("joined", F.col("key").isNotNull()), "key", rare.select("key", F.col("n").alias("found")), "n")
     one = (F.col("n") + 0.5) / F.lit(float(model.total) + 0.5 * (model.distinct + 1))
     two = F.when(F.col("level") > 0, F.least(F.pow(F.lit(RATIO), F.col("level") - 1.0 - F.col("around")), F.lit(1.0))).otherwise(0.0)
     return rows.select("*", one.alias("one"), two.alias("two"), F.least("around", F.lit(len(model.weights) - 1)).alias("weighted"))
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 48, head_words: int = 500_000) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: int = 80, head_words: int = 500_000, item_bits: int = ITEM_BITS) -> DataFrame:
     """One row for every row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score
     and score, log10 of the probability of the whole text.
 
-    Null text is empty: one end token. Repeated rows are scored each. With no training rows all
-    counts are zero. Other columns are not touched.
+    ``filter_mb`` and ``head_words`` bound what is broadcast and change no result; more
+    ``item_bits`` mean fewer false hits of the filter. Null text is
+    empty: one end token. Null ids are of the fold of the empty text. Repeated rows are scored
+    each. With no training rows all counts are zero. Other columns are not touched.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), fold(id_col).alias("fold"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    path = scratch_path(spark, "words")
-    counts(rows.filter(F.col("fold") != TEST), "text", False).groupBy("key").agg(F.sum("n").alias("n")).write.parquet(path)
-    words = spark.read.parquet(path)
+    trained, fits = rows.filter(F.col("fold") != TEST), F.col("fold") != FIT_WEIGHTS
+    words = store(counts(trained, "text", False, fits).groupBy("key").agg(F.sum("n").alias("n"), F.sum("fit").alias("fit")), "words")
     start = int(START) - (1 << 64) if int(START) >= 1 << 63 else int(START)
+    some = lambda column: F.coalesce(F.sum(column), F.lit(0))
     real = words.filter(F.col("key") != start)
-    starts = words.filter(F.col("key") == start).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    total, distinct = real.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total, distinct, total_fit, distinct_fit = real.agg(some("n"), F.count("*"), some("fit"), F.count(F.when(F.col("fit") > 0, 1))).first()
+    starts, starts_fit = words.filter(F.col("key") == start).agg(some("n"), some("fit")).first()
+    stored = build_filters(counts(trained, "text", True, fits), int(total), item_bits)
     least = _head_limit(real, head_words)
-    head = real.filter(F.col("n") >= least).toPandas() if least else None  # at most head_words rows
-    keys = head["key"].to_numpy(np.int64).view(np.uint64) if head is not None else np.zeros(0, np.uint64)
+    head = real.filter(F.col("n") >= (least or 0)).toPandas().sort_values("key") if least else real.limit(0).toPandas()  # at most head_words rows
+    keys = head["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    word_keys = words.mapInArrow(_as_word_keys, "key long, n long")
-    model_of = lambda folds: build_filter(counts(rows.filter(folds), "text", True), word_keys, filter_mb)
-    trained = F.col("fold") != TEST
-    found = model_of(trained & (F.col("fold") != FIT_WEIGHTS))
-    model = Model(found, keys[order], head["n"].to_numpy(np.int64)[order] if head is not None else np.zeros(0, np.int64), int(total), int(distinct), int(starts), np.zeros(80))
-    model.weights = _fit_weights(rows.filter(F.col("fold") == FIT_WEIGHTS), model, real, least)
-    model.filter = model_of(trained)
+    number = lambda column: head[column].to_numpy(np.int64)[order]
+    rare = real.filter(F.col("n") < least) if least else real
+    model = Model(stored.fitting(spark, FIT, filter_mb), keys[order], number("fit"), int(total_fit), int(distinct_fit), int(starts_fit), np.zeros(80))
+    weights = _fit_weights(rows.filter(F.col("fold") == FIT_WEIGHTS), model, stored, rare.select("key", F.col("fit").alias("n")))
+    model = Model(stored.fitting(spark, ALL, filter_mb), keys[order], number("n"), int(total), int(distinct), int(starts), weights)
     shared = spark.sparkContext.broadcast(model)
-    out = scratch_path(spark, "scores")
-    rows.select("id", "text").mapInArrow(_scores(shared), "id long, n_tokens long, n_known long, base_score double, score double, open " + OPEN).withColumn("row", F.monotonically_increasing_id()).write.parquet(out)
-    stored = spark.read.parquet(out)
-    tail = stored.select("row", F.inline("open"))
+    scored = rows.select("id", "text").mapInArrow(_scores(shared), f"id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, n_known long, base_score double, score double, open " + OPEN)
+    kept = store(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
+    shared.unpersist()
+    tail = kept.select("row", F.inline("open"))
     tail = tail.groupBy(*tail.columns).agg(F.count("*").alias("m"))
     weight = F.get(F.array(*[F.lit(float(w)) for w in model.weights]), F.col("weighted").cast("int"))
-    added = _closed(tail, model, real, least).groupBy("row").agg(
+    added = _closed(tail, model, stored, ALL, rare.select("key", "n")).groupBy("row").agg(
         F.sum(F.when(F.col("joined"), F.col("m") * F.log10("one")).otherwise(0.0)).alias("more"),
         F.sum(F.when(F.col("joined") & (F.col("n") > 0), F.col("m")).otherwise(0)).alias("more_known"),
         F.sum(F.col("m") * F.log10(weight * F.col("two") + (1 - weight) * F.col("one"))).alias("more_score"),
     )
-    return stored.join(added, "row", "left").select(
+    return kept.join(added, "row", "left").select(
         F.col("id").alias(id_col), (fold("id") == TEST).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 
-def _as_word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = word_key(batch.column(0).to_numpy().view(np.uint64))
-        yield pa.record_batch([pa.array(keys.view(np.int64)), batch.column(1)], names=["key", "n"])
-
-
 def _head_limit(words: DataFrame, head_words: int) -> int | None:
     """Smallest count that no more than ``head_words`` words reach. The words are first counted by
     power of two, then by count inside the one class that the limit lies in."""
@@ -394,7 +441,7 @@ def _head_limit(words: DataFrame, head_words: int) -> int | None:
     return limit
 
 
-def _fit_weights(docs: DataFrame, model: Model, real: DataFrame, least: int | None) -> np.ndarray:
+def _fit_weights(docs: DataFrame, model: Model, stored: Stored, rare: DataFrame) -> np.ndarray:
     """For each level of the context the weight that gives these documents the highest score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"g{k}" for k in range(len(GRID))]
@@ -402,8 +449,9 @@ def _fit_weights(docs: DataFrame, model: Model, real: DataFrame, least: int | No
     rows = store(docs.select("text").mapInArrow(_opens(shared), "open " + OPEN).select(F.inline("open")), "open")
     rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("m"))
     grid = [F.sum(F.col("m") * F.log10(F.lit(float(w)) * F.col("two") + F.lit(float(1 - w)) * F.col("one"))).alias(n) for n, w in zip(names, GRID, strict=True)]
-    sums = sums.unionByName(_closed(rows, model, real, least).groupBy(F.col("weighted").alias("level")).agg(*grid))
+    sums = sums.unionByName(_closed(rows, model, stored, FIT, rare).groupBy(F.col("weighted").alias("level")).agg(*grid))
     out = np.zeros(len(model.weights))
     for r in sums.groupBy("level").agg(*[F.sum(n).alias(n) for n in names]).collect():  # one row a level
         out[r["level"]] = GRID[int(np.argmax([r[n] for n in names]))]
+    shared.unpersist()
     return out

@@ -76,10 +76,13 @@ def _cuts(text: Column, rule: Rule) -> Column:
 
 
 def scan(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(blob, kind, start, end) in code points, end exclusive, for (blob, text, due) rows."""
-    hits = texts.select("blob", F.explode(F.array(*[_cuts(F.col("text"), r) for r in rules])).alias("x")).filter("x is not null")
-    each = hits.select("blob", "x.kind", "x.least", F.posexplode(F.arrays_zip("x.gaps", "x.lengths", "x.tested")).alias("i", "m"))
-    before = F.sum(F.col("m.gaps") + F.coalesce("m.lengths", F.lit(0))).over(Window.partitionBy("blob", "kind").orderBy("i"))
+    """(blob, kind, start, end) in code points, end exclusive, for (blob, text, due) rows; a row that
+    is there twice gives its findings twice."""
+    rows = texts.withColumn("row", F.monotonically_increasing_id())  # a blob may be listed twice
+    hits = rows.select("row", "blob", F.explode(F.array(*[_cuts(F.col("text"), r) for r in rules])).alias("x")).filter("x is not null")
+    each = hits.select("row", "blob", "x.kind", "x.least", F.posexplode(F.arrays_zip("x.gaps", "x.lengths", "x.tested")).alias("i", "m"))
+    upto = Window.partitionBy("row", "blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum(F.col("m.gaps") + F.coalesce("m.lengths", F.lit(0))).over(upto)
     spans = each.select("blob", "kind", "least", "m.tested", before.alias("end"), "m.lengths")
     return spans.filter("tested >= least").select("blob", "kind", (F.col("end") - F.col("lengths")).alias("start"), "end")
 
