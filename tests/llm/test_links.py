@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import struct
 from collections import Counter
 
 import xxhash
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from llm_helpers import DOCS, LOWER, words
 from wayspan.llm import fingerprints, simhash_links, stream_dedup
 from wayspan.llm.components import components
+from wayspan.llm.queries import op6_document_fingerprints
 
 
 def simhash(text, k):
@@ -145,13 +147,52 @@ def test_search_within_radius(spark):
         assert fingerprints.within(queries, table, radius).count() == sum((a ^ b).bit_count() <= radius for a in asked for b in prints)
 
 
-def test_next_document(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints, "FAN", 4)
-    ids = [-9, -1, 0, 3, 4, 5, 40, 41, 700, None]
+def test_next_document(spark):
+    ids = [-9, -1, 0, 3, 4, 5, 40, 41, 700, 1 << 60, -(1 << 61), None]
     df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
-    found = {r["id"]: r["next_text"] for r in fingerprints.with_next(df).collect()}
     order = sorted((i for i in ids if i is not None), reverse=True) + [None]
-    assert found == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
+    for block in (100, 4, 1):
+        found = {r["id"]: r["next_text"] for r in fingerprints.with_next(df, rows_per_block=block).collect()}
+        assert found == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
+
+
+def document_print(text):
+    """The 128 bits by votes of word pairs."""
+    w, votes, total = words(text), [0] * 128, 0
+    for i in range(len(w)):
+        pair = w[i : i + 2]
+        weight = sum(len(x.decode()) for x in pair)
+        h0 = h1 = 42
+        for x in pair:
+            h0 = xxhash.xxh64_intdigest(x, seed=h0)
+        for x in pair[::-1]:
+            h1 = xxhash.xxh64_intdigest(x, seed=h1)
+        h1 = xxhash.xxh64_intdigest(struct.pack("<i", 7), seed=h1)
+        total += weight
+        for b in range(128):
+            votes[b] += weight * ((h0 << 64 | h1) >> b & 1)
+    return sum(1 << b for b in range(128) if 2 * votes[b] > total)
+
+
+def test_document_fingerprints_whole_result(spark, docs, rows, tmp_path):
+    extra = [(3, "another text under an id that is there", "en", "s0", 1), (3, rows[3][1], "en", "s0", 1), (None, "one more without id", None, None, 1), (50, "x", None, None, 1), (100, None, None, None, 1)]
+    short = [r for r in rows if r[0] != 500]
+    every = [*short, *extra]
+    spark.createDataFrame(every, DOCS).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op6_document_fingerprints(spark, str(tmp_path)).collect()
+    hashed = lambda t: xxhash.xxh64_intdigest((t or "").encode(), seed=42)
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    order = sorted(every, key=lambda r: (-(1 << 62) if r[0] is None else r[0], signed(hashed(r[1]))))
+    prints = [document_print(r[1]) for r in order]
+    want = Counter()
+    for k, r in enumerate(order):
+        text, after = r[1] or "", order[k - 1][1] or ""
+        moved = len(text) // 3
+        edited = text[: len(text) - moved] + after[:moved]
+        print_, near = document_print(edited), lambda a, b: 1 - (a ^ b).bit_count() / 128
+        within = sum((prints[k] ^ p).bit_count() <= 3 for p in prints) if r[0] is not None and r[0] % 50 == 0 else None
+        want[(r[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), f"{prints[k]:032x}", f"{print_:032x}", near(prints[k], print_), near(prints[k], prints[k - 1]), within)] += 1
+    assert Counter(map(tuple, got)) == want
 
 
 def test_empty_tables(spark, empty):

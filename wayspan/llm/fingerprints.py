@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayspan.llm.textops import hex16, lane_votes, majority_bits, words
+from wayspan.operators import ordering
 
 BITS = 128
 RADIUS = 3
-FAN = 1024  # ids in one window of the neighbour search; levels nest, so no window sees more rows
-LEVELS = 3
+ROWS_PER_BLOCK = 100_000  # of the neighbour search
 
 
 def votes(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,32 +79,26 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataF
     )
 
 
-def _earlier(keys: DataFrame, level: int) -> DataFrame:
-    """(key, before): the next smaller key of distinct keys, null for the smallest. Windows hold
-    ``FAN`` neighbouring keys; the largest key of each window is passed up a level."""
-    if level == 0:
-        return keys.select("key", F.lag("key").over(Window.orderBy("key")).alias("before"))
-    part = F.floor(F.col("key") / FAN).cast("long")
-    inner = keys.select("key", part.alias("part")).withColumn("before", F.lag("key").over(Window.partitionBy("part").orderBy("key")))
-    tops = keys.groupBy(part.alias("part")).agg(F.max("key").alias("top"))
-    order = _earlier(tops.select(F.col("part").alias("key")), level - 1)
-    above = order.join(tops.select(F.col("part").alias("before"), "top"), "before").select(F.col("key").alias("part"), "top")
-    return inner.join(above, "part", "left").select("key", F.coalesce("before", "top").alias("before"))
-
-
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Every row with the text of the next row in descending id order (the last is followed by
-    the first): (id, key, text, next_text, next_key). Null ids come last; equal ids go by text."""
+    the first): (id, key, hash, text, next_key, next_hash, next_text), where (key, hash) tells a text.
+
+    Null ids come last; equal ids go by the hash of the text. Rows are cut at split points from a
+    sample of (id, hash), however sparse the ids and however many are null, and each block takes
+    its first neighbour from the last row of the block before. Only rows equal in id and text
+    cannot be cut apart.
+    """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62)))
-    rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("part", F.floor(F.col("key") / FAN).cast("long"))
-    order = Window.partitionBy("part").orderBy("key", "text")
-    inner = rows.select("*", F.lag("text").over(order).alias("next_text"), F.lag("key").over(order).alias("next_key"))
-    tops = rows.groupBy("part").agg(F.max(F.struct("key", "text")).alias("top"))
-    before = _earlier(tops.select(F.col("part").alias("key")), LEVELS - 1)
-    last = tops.agg(F.max("part")).scalar()
-    source = before.select(F.col("key").alias("part"), F.coalesce(F.col("before"), last).alias("from_part"))
-    heads = source.join(tops.select(F.col("part").alias("from_part"), "top"), "from_part").select("part", "top")
-    return inner.join(heads, "part").select(
-        "id", "key", "text", F.coalesce("next_text", "top.text").alias("next_text"), F.coalesce("next_key", "top.key").alias("next_key")
-    )
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    placed = ordering._blocked(rows, [], ["key", "hash"], None, rows_per_block).drop("_total")
+    entry = F.struct("key", "hash", "text")
+    order = Window.partitionBy("_block").orderBy("key", "hash")
+    inner = placed.repartition("_block").select("id", "key", "hash", "text", "_block", F.lag(entry).over(order).alias("next"))
+    # one row a block
+    tops = placed.groupBy("_block").agg(F.max_by(entry, F.struct("key", "hash")).alias("top"))
+    above = Window.orderBy("_block")
+    largest = F.max_by("top", "_block").over(above.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = tops.select(F.col("_block").alias("b"), F.coalesce(F.lag("top").over(above), largest).alias("head"))
+    found = inner.join(heads, F.col("_block") == F.col("b")).withColumn("next", F.coalesce("next", "head"))
+    return found.select("id", "key", "hash", "text", *[F.col(f"next.{c}").alias(f"next_{c}") for c in ("key", "hash", "text")])
