@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayspan.functions.columns import as_column
+from wayspan.operators.markup import Step, elements, first_text, matching, node_text, within
 from wayspan.operators.ordering import first_rows
 
 PAGES = {"minute": "minute-weather-forecast", "current": "current-weather", "aqi": "air-quality-index"}
@@ -36,12 +37,6 @@ def malformed_stations(stations: DataFrame) -> DataFrame:
 
 # --- page fields -----------------------------------------------------------------------------
 
-def node_text(html: Column | str, css_class: str, tag: str = r"\w+") -> Column:
-    """Text of the first node with the class, up to the next closing tag of its kind."""
-    pattern = rf'(?is)<({tag})\b[^>]*\bclass="(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>(.*?)</\1\s*>'
-    return plain_text(F.regexp_extract(as_column(html), pattern, 2))
-
-
 def tag_text(html: Column | str, tag: str) -> Column:
     """Text of the first node of a tag."""
     return plain_text(F.regexp_extract(as_column(html), rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
@@ -54,33 +49,47 @@ def plain_text(fragment: Column) -> Column:
 
 
 def first_integer(text: Column) -> Column:
+    """The first digits; NULL where there are none."""
     found = F.regexp_extract(text, r"([0-9]+)", 1)
     return F.when(found != "", found)
 
 
-def _after(html: Column, css_class: str, rest: str) -> Column:
-    """Text right inside the nested nodes ``rest`` below the first node with the class."""
-    pattern = rf'(?is)class="(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*>\s*{rest}([^<]*)'
-    return plain_text(F.regexp_extract(html, pattern, 1))
+# Where the fields stand on the pages.
+FIELDS = {
+    "temp": ("current", (Step(classes=("current-weather-info",)), Step("div", child=True), Step("div", child=True))),
+    "temp_flag": ("current", (Step(classes=("current-weather",)), Step(classes=("phrase",)))),
+    "realfeel": ("current", (Step(classes=("current-weather-extra", "no-realfeel-phrase")), Step("div", child=True))),
+    "realfeel_flag": ("current", (Step(classes=("current-weather-extra", "no-realfeel-phrase")), *[Step("div", child=True)] * 3)),
+    "humidity": ("current", (Step(classes=("current-weather-details",)), Step(classes=("detail-item",)))),
+    "rsi_flag": ("minute", (Step(classes=("conditions-icon",)), Step("p", classes=("icon-phrase",)))),
+    "rsi_forecast": ("minute", (Step(classes=("summary",)),)),
+    "aqi": ("aqi", (Step(id="current"), Step(classes=("aq-number",)))),
+    "aqi_flag": ("aqi", (Step(id="current"), Step(classes=("category-text",)))),
+}
+NUMBERS = ("temp", "realfeel", "humidity", "aqi")
+
+
+def _labelled(nodes: Column, texts: Column, steps: tuple[Step, ...], label: str) -> Column:
+    """Text of the second ``div`` of the first element whose first ``div`` reads ``label``."""
+    pairs = F.transform(matching(nodes, *steps), lambda item: F.transform(F.slice(within(nodes, item, Step("div", child=True)), 1, 2), lambda div: node_text(texts, div)))
+    named = F.filter(pairs, lambda both: (F.size(both) == 2) & (F.get(both, 0) == label))
+    return F.get(F.get(named, 0), 1)
 
 
 def weather_fields(pages: DataFrame) -> DataFrame:
     """Snapshot fields from fetched pages: station, minute_html, current_html, aqi_html.
 
-    A missing page leaves only its own fields NULL.
+    One row for every row of ``pages``; a field whose element is missing or empty, or whose page is
+    NULL, is NULL, and so is a number where the element has no digits.
     """
-    cur, minute, aqi = F.col("current_html"), F.col("minute_html"), F.col("aqi_html")
-    div = r"<div[^>]*>\s*"
-    humidity = F.regexp_extract(cur, r'(?is)class="(?:[^"]*\s)?detail-item(?:\s[^"]*)?"[^>]*>\s*<div[^>]*>\s*Humidity\s*</div>\s*<div[^>]*>([^<]*)', 1)
-    return pages.select(
-        "station",
-        first_integer(_after(cur, "current-weather-info", div + div)).alias("temp"),
-        node_text(cur, "phrase").alias("temp_flag"),
-        first_integer(_after(cur, "no-realfeel-phrase", div)).alias("realfeel"),
-        _after(cur, "no-realfeel-phrase", r"<div[^>]*>[^<]*" + div + div).alias("realfeel_flag"),
-        first_integer(humidity).alias("humidity"),
-        node_text(minute, "icon-phrase", "p").alias("rsi_flag"),
-        node_text(minute, "summary").alias("rsi_forecast"),
-        first_integer(node_text(aqi, "aq-number")).alias("aqi"),
-        node_text(aqi, "category-text").alias("aqi_flag"),
-    )
+    rows = pages.withColumn("_row", F.monotonically_increasing_id())
+    kinds = ("current", "minute", "aqi")
+    each = rows.select("_row", "station", F.inline(F.array(*[F.struct(F.lit(k).alias("_page_kind"), F.col(f"{k}_html").alias("_html")) for k in kinds])))
+    parsed = elements(each, "_html", ["_row", "station", "_page_kind"])
+    nodes, texts, found = F.col("nodes"), F.col("texts"), {}
+    for name, (kind, steps) in FIELDS.items():
+        text = _labelled(nodes, texts, steps, "Humidity") if name == "humidity" else first_text(nodes, texts, *steps)
+        found[name] = F.when(F.col("_page_kind") == kind, text)
+    # one page each has a field, so the largest is that one
+    fields = parsed.select("_row", "station", *[c.alias(n) for n, c in found.items()]).groupBy("_row", "station").agg(*[F.max(n).alias(n) for n in found])
+    return fields.select("station", *[(first_integer(F.col(n)) if n in NUMBERS else F.nullif(F.col(n), F.lit(""))).alias(n) for n in found])

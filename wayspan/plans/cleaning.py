@@ -304,6 +304,44 @@ def _(spark, d):
     )
 
 
+def _snapshot_pages(spark, d):
+    """The three pages of a station for every row of ``pages``: its title, address and numbers stand where
+    the fields are read, next to decoys outside of these scopes, and its own markup follows."""
+    p, k = F.col("page_id"), F.col("page_id") % 45
+    title = F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    text = lambda *parts: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts])
+    number = lambda c: c.cast("string")
+    humidity = text('<div class="detail-item spaced"><div>Humidity</div><div> ', number(k + 30), " % </div></div>")
+    wind = F.lit('<div class="detail-item"><div>Wind</div><div>9 km/h</div></div><div class="detail-item"><div>Humidity</div></div>')
+    extra = text('<section><div class="no-realfeel-phrase  current-weather-extra"><div>RealFeel<b> ', number(k + 2), "</b>&deg;<div>7<div>Like ", F.col("url"), "</div></div></div></div></section>")
+    current = text(
+        '<p class="phrase">decoy</p><div class="current-weather-info"><p>Now<div><!-- 5 --><i>1</i><div class="temp">&#x2212;', number(k), "<span>&#176;C</span></div><div>99</div></div></div>",
+        '<div class="phrase">decoy</div><div class="card current-weather" id=main><div><br><span class=\'day phrase\'>', title, "</span></div></div>",
+        F.when(p % 7 == 0, F.lit('<div class="current-weather-extra"><div>88</div></div>')).otherwise(extra),
+        '<div class="current-weather-details">', F.when(p % 2 == 0, F.concat(humidity, wind)).when(p % 5 == 0, wind).otherwise(F.concat(wind, humidity)), "</div>", F.col("html"),
+    )
+    minute = text('<p class="icon-phrase">decoy</p><div class="conditions-icon"><svg/><div class="icon-phrase">decoy</div><p class="icon-phrase">', title, " <b>&amp; wind</b></p></div>", F.col("html"),
+                  '<div class="summary"> Dry for ', number(k), " min </div><div class='summary'>later</div>")
+    aqi = text('<div class="aq-number">1</div><div id="current"><div><div class="aq-number"> ', F.when(p % 3 == 0, F.lit("none")).otherwise(number(k * 3)), " </div>",
+               '<p class="category-text">', F.when(p % 4 == 0, F.lit(" &nbsp; ")).otherwise(title), "</p></div></div>", F.col("html"))
+    return table(spark, d, "pages").select(
+        number(p).alias("station"), F.when(p % 13 != 0, minute).alias("minute_html"), F.when(p % 11 != 0, current).alias("current_html"), aqi.alias("aqi_html")
+    )
+
+
+@query("b15_weather_fields", r"""
+WITH p AS (SELECT *, page_id % 45 AS k, regexp_replace(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '^\s+|\s+$', '', 'g') AS raw FROM pages),
+t AS (SELECT *, replace(replace(replace(replace(raw, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&') AS title FROM p)
+SELECT CAST(page_id AS VARCHAR) AS station,
+  CASE WHEN page_id % 11 <> 0 THEN CAST(k AS VARCHAR) END AS temp, CASE WHEN page_id % 11 <> 0 THEN nullif(title, '') END AS temp_flag,
+  CASE WHEN page_id % 11 <> 0 AND page_id % 7 <> 0 THEN CAST(k + 2 AS VARCHAR) END AS realfeel, CASE WHEN page_id % 11 <> 0 AND page_id % 7 <> 0 THEN 'Like ' || url END AS realfeel_flag,
+  CASE WHEN page_id % 11 <> 0 AND (page_id % 2 = 0 OR page_id % 5 <> 0) THEN CAST(k + 30 AS VARCHAR) END AS humidity,
+  CASE WHEN page_id % 13 <> 0 THEN title || '& wind' END AS rsi_flag, CASE WHEN page_id % 13 <> 0 THEN 'Dry for ' || k || ' min' END AS rsi_forecast,
+  CASE WHEN page_id % 3 <> 0 THEN CAST(k * 3 AS VARCHAR) END AS aqi, CASE WHEN page_id % 4 <> 0 THEN nullif(title, '') END AS aqi_flag FROM t""", needs="")
+def _(spark, d):
+    return stations.weather_fields(_snapshot_pages(spark, d))
+
+
 @query("b16_b18_b19_row_labels", """
 SELECT event_id, value / (CAST(10 + CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) / 60e0) AS speed,
        CASE WHEN hour(ts) % 12 = 0 THEN '12' ELSE CAST(hour(ts) % 12 AS VARCHAR) END || CASE WHEN hour(ts) < 12 THEN ' AM' ELSE ' PM' END AS hour_label,
