@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from wayspan.functions import columns as C
 from wayspan.operators.anomaly import context_stats
 from wayspan.operators.clean import ensure_calendar, hourly_means
-from wayspan.operators.ordering import attach
-from wayspan.operators.patterns import SALTS, only_routes, route_tiles, tile_sides
+from wayspan.operators.ordering import attach, core_rows, row_frames
+from wayspan.operators.patterns import SALTS, only_routes, route_tiles
 
 PERIOD = 168
 FILL_HOURS = 3
 MAX_LAG = 24
-LAG_TILE_ROUTES = 16
+LAG_TILE_ROUTES = 32
+LAG_TILE_HOURS = 4096
 
 # Windows per route below run over hourly means: at most one row per route and hour of
 # the time span, however many readings the route has.
@@ -120,44 +121,102 @@ def recent_readings(df: DataFrame, route: str | None = None, hours: int = 48) ->
     return joined.filter(F.col("timestamp") >= F.col("_last") - F.expr(f"interval {int(hours)} hours")).drop("_last")
 
 
-def lag_correlations(df: DataFrame, max_lag: int = MAX_LAG, routes: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of every two routes at row lags over their shared hours.
+def _pairs_of(pairs: DataFrame) -> DataFrame:
+    """Wanted pairs in name order, each once."""
+    a, b = F.least("route_a", "route_b"), F.greatest("route_a", "route_b")
+    return pairs.filter("route_a <> route_b").select(a.alias("route_a"), b.alias("route_b")).distinct()
 
-    Lag k > 0 compares the first route with the second k rows later. Pairs with fewer than
-    ``max_lag`` shared hours are left out. Each task holds the hourly series of one pair of
-    route blocks.
+
+def _lags_by_row(series: DataFrame, wanted: DataFrame | None, max_lag: int, block_rows: int) -> DataFrame:
+    """(route_a, route_b, lag, sxx, syy, sxy): lags count the hours that both routes have. The shared
+    rows of a pair are numbered and cut into blocks, each with the ``max_lag`` rows before it."""
+    side = lambda r, x: series.select(F.col("route_code").alias(r), F.col("hour_no").alias(f"hour_{x}"), F.col("x").alias(x))
+    a, b = side("route_a", "xa"), side("route_b", "xb")
+    same = F.col("hour_xa") == F.col("hour_xb")
+    if wanted is None:
+        rows = a.join(b, same & (F.col("route_a") < F.col("route_b")))
+    else:
+        rows = wanted.join(a, "route_a").join(b.withColumnRenamed("route_b", "other"), same & (F.col("route_b") == F.col("other")))
+    rows = rows.select("route_a", "route_b", F.col("hour_xa").alias("hour_no"), "xa", "xb")
+    framed, w = row_frames(rows, ["route_a", "route_b"], ["hour_no"], max_lag, 0, block_rows=block_rows)
+    back = F.reverse(F.collect_list(F.struct("xa", "xb")).over(w.rowsBetween(-max_lag, 0)))
+    core = core_rows(framed.withColumn("_back", back)).filter(F.col("n") >= max_lag)
+    each = core.select("route_a", "route_b", "xa", "xb", F.posexplode("_back").alias("k", "old"))
+    ahead = F.struct(F.col("k").alias("lag"), F.col("old.xa").alias("u"), F.col("xb").alias("v"))
+    behind = F.struct((-F.col("k")).alias("lag"), F.col("xa").alias("u"), F.col("old.xb").alias("v"))
+    both = each.select("route_a", "route_b", F.inline(F.when(F.col("k") > 0, F.array(ahead, behind)).otherwise(F.array(ahead))))
+    sums = both.groupBy("route_a", "route_b", "lag").agg(F.regr_sxx("v", "u").alias("sxx"), F.regr_syy("v", "u").alias("syy"), F.regr_sxy("v", "u").alias("sxy"))
+    # a lag that leaves no rows has its line too
+    grid = core.select("route_a", "route_b").distinct().withColumn("lag", F.explode(F.sequence(F.lit(-max_lag), F.lit(max_lag))))
+    return grid.join(sums, ["route_a", "route_b", "lag"], "left")
+
+
+def _lags_by_hour(series: DataFrame, wanted: DataFrame | None, max_lag: int, least: int) -> DataFrame:
+    """(route_a, route_b, lag, sxx, syy, sxy): lags are hours; hours that a route lacks are left out of
+    its products. A task holds the hours of one stretch, and the ``max_lag`` before it, of one
+    pair of route blocks, and returns sums for each pair and lag by matrix products."""
+    if wanted is not None:
+        named = wanted.select(F.col("route_a").alias("route_code")).union(wanted.select("route_b")).distinct()
+        series = series.join(named, "route_code", "left_semi")
+    span, hours = F.floor(F.col("hour_no") / LAG_TILE_HOURS), LAG_TILE_HOURS
+    late = F.col("hour_no") % hours >= hours - max_lag
+    tiles = route_tiles(series, LAG_TILE_ROUTES).withColumn("span", F.explode(F.when(late, F.array(span, span + 1)).otherwise(F.array(span))))
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, column = np.unique(pdf["route_code"].to_numpy(str), return_inverse=True)
+        x = np.full((hours + max_lag, len(names)), np.nan)
+        x[pdf["hour_no"].to_numpy() - int(pdf["span"].iloc[0]) * hours + max_lag, column] = pdf["x"]
+        seen = (~np.isnan(x)).astype(float)
+        x = np.where(seen > 0, x, 0.0)
+        in_a = np.zeros(len(names), bool)
+        in_a[column] = pdf["in_a"].to_numpy()
+        mixed = pdf["tile_a"].iloc[0] != pdf["tile_b"].iloc[0]
+        i, j = np.nonzero((in_a[:, None] != in_a) if mixed else ~np.eye(len(names), dtype=bool))
+        out, now, m = [], x[max_lag:], seen[max_lag:]
+        for k in range(max_lag + 1):
+            old, o = x[max_lag - k : max_lag - k + hours], seen[max_lag - k : max_lag - k + hours]
+            # entry [i, j]: route i at t - k with route j at t
+            parts = {"n": o.T @ m, "su": old.T @ m, "sv": o.T @ now, "suu": (old * old).T @ m, "svv": o.T @ (now * now), "suv": old.T @ now}
+            first = names[i] < names[j]
+            keep = (parts["n"][i, j] > 0) & (first | (k > 0))
+            a, b, first = i[keep], j[keep], first[keep]
+            cells = {c: v[a, b] for c, v in parts.items()}
+            # in name order: a lag of k if the earlier name is the older value, else of -k
+            swap = lambda c, d: np.where(first, cells[c], cells[d])  # noqa: B023, E731
+            out.append(pd.DataFrame({
+                "route_a": np.where(first, names[a], names[b]), "route_b": np.where(first, names[b], names[a]), "lag": np.where(first, k, -k),
+                "n": cells["n"], "su": swap("su", "sv"), "sv": swap("sv", "su"), "suu": swap("suu", "svv"), "svv": swap("svv", "suu"), "suv": cells["suv"],
+            }))
+        return pd.concat(out)
+
+    fields = ("n", "su", "sv", "suu", "svv", "suv")
+    schema = "route_a string, route_b string, lag int, " + ", ".join(f"{c} double" for c in fields)
+    total = tiles.groupBy("tile_a", "tile_b", "span").applyInPandas(sums, schema).groupBy("route_a", "route_b", "lag").agg(*[F.sum(c).alias(c) for c in fields])
+    if wanted is not None:
+        total = total.join(wanted, ["route_a", "route_b"], "left_semi")
+    enough = total.filter((F.col("lag") == 0) & (F.col("n") >= least)).select("route_a", "route_b", F.explode(F.sequence(F.lit(-max_lag), F.lit(max_lag))).alias("lag"))
+    centred = lambda s2, p, q: F.col(s2) - F.col(p) * F.col(q) / F.col("n")
+    # what rounding leaves of a constant stretch is no variance
+    sure = lambda s2, p: F.when(centred(s2, p, p) > 1e-12 * F.col(s2), centred(s2, p, p)).otherwise(0.0)
+    return enough.join(total, ["route_a", "route_b", "lag"], "left").select("route_a", "route_b", "lag", sure("suu", "su").alias("sxx"), sure("svv", "sv").alias("syy"), centred("suv", "su", "sv").alias("sxy"))
+
+
+def lag_correlations(
+    df: DataFrame, max_lag: int = MAX_LAG, routes: Sequence[str] | None = None, *, pairs: DataFrame | None = None, regularize: bool = False, block_rows: int = 100_000,
+) -> DataFrame:
+    """Correlation of every two routes at lags of -``max_lag`` to ``max_lag`` over their shared hours, in both orders.
+
+    Lag k > 0 compares the first route with the second k rows later; with ``regularize`` k hours
+    later, where gaps stay gaps. ``routes`` and ``pairs`` (route_a, route_b) select. Pairs with
+    fewer than ``max_lag`` shared hours are left out; a lag without variation is NULL.
     """
-    series = hourly_means(only_routes(df, routes)).dropna(subset=["avg_speed"]).select(
+    series = hourly_means(only_routes(df, routes)).dropna(subset=["avg_speed", "route_code"]).select(
         "route_code", "hour_no", (F.col("avg_speed") - F.avg("avg_speed").over(Window.partitionBy("route_code"))).alias("x")
     )
-
-    def shifted(a: np.ndarray, b: np.ndarray) -> float:
-        if len(a) < 2:
-            return np.nan
-        a, b = a - a.mean(), b - b.mean()
-        den = np.sqrt((a @ a) * (b @ b))
-        return float(a @ b / den) if den > 1e-12 else np.nan
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide, left, right = tile_sides(pdf)
-        names, x = wide.columns.to_numpy(), wide.to_numpy(dtype=float)
-        out = []
-        for i, j in zip(left, right):
-            if names[i] > names[j]:
-                i, j = j, i
-            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
-            a, b = x[both, i], x[both, j]
-            n = len(a)
-            if n < max_lag:
-                continue
-            for lag in range(-max_lag, max_lag + 1):
-                value = shifted(a[: n - lag], b[lag:]) if lag >= 0 else shifted(a[-lag:], b[: n + lag])
-                out.append((names[i], names[j], lag, None if np.isnan(value) else value))
-        return pd.DataFrame(out, columns=["route_a", "route_b", "lag", "correlation"])
-
-    found = route_tiles(series, LAG_TILE_ROUTES).groupBy("tile_a", "tile_b").applyInPandas(
-        pairs, "route_a string, route_b string, lag int, correlation double"
-    )
+    wanted = None if pairs is None else _pairs_of(pairs)
+    sums = _lags_by_hour(series, wanted, max_lag, max_lag) if regularize else _lags_by_row(series, wanted, max_lag, block_rows)
+    size = F.sqrt(F.col("sxx") * F.col("syy"))
+    found = sums.select("route_a", "route_b", "lag", F.when(size > 1e-12, F.col("sxy") / size).alias("correlation"))
     mirrored = F.array(F.struct("route_a", "route_b", "lag", "correlation"),
                        F.struct(F.col("route_b").alias("route_a"), F.col("route_a").alias("route_b"), (-F.col("lag")).alias("lag"), "correlation"))
     return found.select(F.inline(mirrored))

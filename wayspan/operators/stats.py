@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayspan.functions import normal, tails
 from wayspan.operators.anomaly import with_expected
+from wayspan.operators.clean import hourly_means
 from wayspan.operators.forecast import decomposition
 from wayspan.operators.ordering import SALTS, attach, core_rows, expand_counts, group_quantiles, row_frames, running_counts, with_positions
 from wayspan.operators.patterns import histogram, only_routes
@@ -85,10 +86,13 @@ def qq_lines(points: DataFrame) -> DataFrame:
 
 def autocorrelation(
     df: DataFrame, max_lags: int = 24, order: Sequence[str] = ("timestamp",), value: str = "avg_speed",
-    block_rows: int = 100_000,
+    block_rows: int = 100_000, *, regularize: bool = False,
 ) -> DataFrame:
     """Autocorrelation at row lags 0..max in time order, equal times by value; NULL for routes with
-    too few rows."""
+    too few rows. With ``regularize``, of the hourly means at lags of hours: hours that are missing
+    at either end of a lag are left out of its sum."""
+    if regularize:
+        return _hourly_autocorrelation(df, max_lags, value, block_rows)
     keys, names = ["route_code"], [f"_o{i}" for i in range(len(order))]
     rows = df.select(*keys, F.col(value).alias("x"), *[F.col(c).alias(n) for c, n in zip(order, names)]).dropna(subset=["x"])
     means = rows.groupBy(*keys).agg(F.avg("x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
@@ -101,6 +105,32 @@ def autocorrelation(
     return grid.select(*keys, F.inline(F.array(*cells)))
 
 
+def hour_frames(series: DataFrame, before: int, block_hours: int) -> tuple[DataFrame, WindowSpec]:
+    """Hourly rows (route_code, hour_no) in blocks of ``block_hours``, each with the ``before`` hours in front of
+    it, and a window in hour order; ``_core`` tells own rows from copies. Gaps need no rows."""
+    size = max(block_hours, before)
+    own, off = F.floor(F.col("hour_no") / size), F.pmod(F.col("hour_no"), F.lit(size))
+    copies = F.array_compact(F.array(own, F.when(off >= size - before, own + 1)))
+    framed = series.withColumn("_own", own).withColumn("_frame", F.explode(copies)).withColumn("_core", F.col("_frame") == F.col("_own")).drop("_own")
+    return framed.repartition("route_code", "_frame"), Window.partitionBy("route_code", "_frame").orderBy("hour_no")
+
+
+def _hourly_autocorrelation(df: DataFrame, max_lags: int, value: str, block_hours: int) -> DataFrame:
+    series = hourly_means(df, value).withColumnRenamed(value, "x").dropna(subset=["x"])
+    means = series.groupBy("route_code").agg(F.avg("x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
+    centred = attach(series, means.filter(F.col("_n") > max_lags), ["route_code"]).select("route_code", "hour_no", (F.col("x") - F.col("_mu")).alias("c"))
+    framed, w = hour_frames(centred, max_lags, block_hours)
+    back = F.collect_list(F.struct("hour_no", "c")).over(w.rangeBetween(-max_lags, 0))
+    each = framed.withColumn("_back", back).filter("_core").select("route_code", "hour_no", "c", F.explode("_back").alias("old"))
+    sums = each.groupBy("route_code", (F.col("hour_no") - F.col("old.hour_no")).cast("int").alias("lag")).agg(F.sum(F.col("c") * F.col("old.c")).alias("s"))
+    total = sums.filter("lag = 0").select("route_code", F.col("s").alias("s0"))
+    enough = attach(means.select("route_code", F.explode(F.sequence(F.lit(0), F.lit(max_lags))).alias("lag"), (F.col("_n") > max_lags).alias("_ok")), total, ["route_code"], "left")
+    # a lag without any two hours has a sum of nothing
+    return attach(enough, sums, ["route_code", "lag"], "left").select(
+        "route_code", "lag", F.when(F.col("_ok"), F.try_divide(F.coalesce("s", F.lit(0.0)), F.col("s0"))).alias("acf")
+    )
+
+
 # --- unit root ---------------------------------------------------------------------------------------
 
 ADF_RESULT = "route_code string, adf_statistic double, adf_pvalue double, critical_value_5pct double, used_lag int, n_obs long"
@@ -117,59 +147,74 @@ def _fit(gram: np.ndarray, k: int, nobs: float) -> tuple[float, float]:
     return -2.0 * loglike + 2.0 * k, float(beta[1] / np.sqrt(inv[1, 1] * ssr / (nobs - k)))
 
 
-def _design(x: np.ndarray, lags: int) -> np.ndarray:
-    """Columns: constant, level before, lagged steps 1..lags, step; one row per usable time."""
-    step = np.diff(x)
-    rows = np.arange(lags, len(step))
-    cols = [np.ones(len(rows)), x[rows]] + [step[rows - k] for k in range(1, lags + 1)] + [step[rows]]
-    return np.column_stack(cols)
+def _design(x: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the values after the first p + 1: constant, level before, lagged steps 1..p, step; and how many
+    of the lagged steps, from the first, are known without a gap (-1: not even level and step)."""
+    step, at = np.diff(x), np.arange(p + 1, len(x))
+    z = np.column_stack([np.ones(len(at)), x[at - 1], *[step[at - 1 - k] for k in range(1, p + 1)], step[at - 1]])
+    known = np.isfinite(z)
+    reach = np.logical_and.accumulate(known[:, 2:-1], axis=1).sum(1)
+    return z, np.where(known[:, 1] & known[:, -1], reach, -1)
 
 
-def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: str = "avg_speed", block_rows: int = 50_000) -> DataFrame:
-    """Augmented Dickey-Fuller test per route with a constant; lag by AIC; NULL below 12 rows.
-
-    Row blocks (with the rows before them) give their cross-product matrix; the matrices of
-    a route are summed by Spark and solved once. The first rows of a route come along, since
-    the final fit uses the rows that the longest lag had to leave out.
+def stationarity(
+    df: DataFrame, order: Sequence[str] = ("timestamp",), value: str = "avg_speed", block_rows: int = 50_000, *, regularize: bool = False, lags: int | None = None,
+) -> DataFrame:
+    """Augmented Dickey-Fuller test per route with a constant; lag by AIC up to ``lags`` (by default a
+    number that grows with the rows); NULL below 12 rows.
+
+    Blocks of rows (with the rows before them) give their cross-product matrices, one for the rows
+    that know all lagged steps and one for each smaller number of them; the matrices of a route
+    are summed by Spark and solved once. AIC compares the lags on the rows that know all; the final
+    fit uses every row that knows the chosen ones. With ``regularize`` steps are hours of the hourly
+    means: a step into, out of or over a gap is unknown, and gaps need no rows.
     """
-    rows = df.select("route_code", F.col(value).cast("double").alias("x"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).dropna(subset=["x"])
-    placed = with_positions(rows, ["route_code"], [*[f"_o{i}" for i in range(len(order))], "x"]).select("route_code", "pos", "n", "x")
-    means = rows.groupBy("route_code").agg(F.avg("x").alias("_mu"))
-    lags = F.least(F.ceil(F.lit(12.0) * F.pow(F.col("n") / 100.0, F.lit(0.25))), F.floor(F.col("n") / 2) - 2).cast("int")
-    centred = attach(placed.filter("n >= 12"), means, ["route_code"], salts=SALTS).withColumn("x", F.col("x") - F.col("_mu")).drop("_mu").withColumn("lags", lags)
-    # row frames whose reach depends on the route: lags + 1 rows before each block
+    if regularize:
+        series = hourly_means(df, value).select("route_code", "hour_no", F.col(value).cast("double").alias("x")).dropna(subset=["route_code", "x"])
+        ends = series.groupBy("route_code").agg(F.min("hour_no").alias("_first"), F.max("hour_no").alias("_last"), F.count(F.lit(1)).alias("n"), F.avg("x").alias("_mu"))
+        placed = attach(series, ends, ["route_code"]).select("route_code", (F.col("hour_no") - F.col("_first")).alias("pos"), "n", (F.col("_last") - F.col("_first") + 1).alias("_size"), (F.col("x") - F.col("_mu")).alias("x"))
+    else:
+        rows = df.select("route_code", F.col(value).cast("double").alias("x"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).dropna(subset=["x"])
+        means = rows.groupBy("route_code").agg(F.avg("x").alias("_mu"))
+        numbered = with_positions(rows, ["route_code"], [*[f"_o{i}" for i in range(len(order))], "x"]).select("route_code", "pos", "n", F.col("n").alias("_size"), "x")
+        placed = attach(numbered, means, ["route_code"], salts=SALTS).withColumn("x", F.col("x") - F.col("_mu")).drop("_mu")
+    longest = F.least(F.ceil(F.lit(12.0) * F.pow(F.col("n") / 100.0, F.lit(0.25))), F.floor(F.col("n") / 2) - 2)
+    centred = placed.filter("n >= 12").withColumn("lags", (longest if lags is None else F.least(F.lit(lags), longest)).cast("int"))
+    # frames whose reach depends on the route: lags + 1 rows before each block
     size = F.lit(block_rows)
     own, off = F.floor(F.col("pos") / size), F.col("pos") % size
     copies = F.array_compact(F.array(own, F.when(off >= size - F.col("lags") - 1, own + 1)))
-    framed = centred.withColumn("_own", own).withColumn("block", F.explode(copies))
-    framed = framed.filter(F.col("block") * size < F.col("n")).drop("_own").repartition("route_code", "block")
+    framed = centred.withColumn("block", F.explode(copies)).filter(F.col("block") * size < F.col("_size")).repartition("route_code", "block")
 
     def moments(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        p, block, start = int(pdf["lags"].iloc[0]), int(pdf["block"].iloc[0]), int(pdf["block"].iloc[0]) * block_rows
-        x, pos = pdf["x"].to_numpy(), pdf["pos"].to_numpy()
-        gram, nobs, head = np.zeros((p + 3, p + 3)), 0, np.zeros(p + 1)
-        if len(x) >= p + 2:
-            z = _design(x, p)[pos[p + 1:] >= start]
-            gram, nobs = z.T @ z, len(z)
-        if block == 0:
-            head = x[: p + 1]
-        sums = np.concatenate([gram.ravel(), [nobs], head])
-        return pd.DataFrame({"route_code": [pdf["route_code"].iloc[0]], "lags": [p], "sums": [sums.tolist()]})
-
-    # cross products, row count and head of a route as one vector, added up over its blocks
+        p, start = int(pdf["lags"].iloc[0]), int(pdf["block"].iloc[0]) * block_rows
+        at = pdf["pos"].to_numpy() - start + p + 1
+        x = np.full(max(int(at.max()), p + 1) + 1, np.nan)
+        x[at] = pdf["x"]
+        z, reach = _design(x, p)
+        cells = np.zeros((p + 1, (p + 3) ** 2 + 1))
+        for r in range(p + 1):
+            own = z[reach == r].copy()
+            own[:, 2 + r : -1] = 0.0
+            cells[r, :-1], cells[r, -1] = (own.T @ own).ravel(), len(own)
+        return pd.DataFrame({"route_code": [pdf["route_code"].iloc[0]], "lags": [p], "sums": [cells.ravel().tolist()]})
+
     parts = framed.groupBy("route_code", "block").applyInPandas(moments, "route_code string, lags int, sums array<double>")
-    cells = parts.select("route_code", "lags", F.posexplode("sums").alias("cell", "v")).groupBy("route_code", "lags", "cell").agg(F.sum("v").alias("v"))
-    ready = cells.groupBy("route_code", "lags").agg(F.sort_array(F.collect_list(F.struct("cell", "v"))).alias("g")).select(
-        "route_code", "lags", F.transform("g", lambda s: s["v"]).alias("sums")
+    cells = parts.select("route_code", "lags", F.posexplode("sums").alias("cell", "v")).filter("v <> 0").groupBy("route_code", "lags", "cell").agg(F.sum("v").alias("v"))
+    # a few thousand sums a route
+    ready = cells.groupBy("route_code", "lags").agg(F.collect_list(F.struct("cell", "v")).alias("g")).select(
+        "route_code", "lags", F.transform("g", lambda s: s["cell"]).alias("cells"), F.transform("g", lambda s: s["v"]).alias("sums")
     )
 
     def finish(batches):
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
+                p = int(r.lags)
+                sums = np.zeros((p + 1) * ((p + 3) ** 2 + 1))
+                sums[np.asarray(r.cells, int)] = r.sums
                 try:
-                    out.append((r.route_code, *_solve_adf(np.array(r.sums), int(r.lags))))
+                    out.append((r.route_code, *_solve_adf(sums.reshape(p + 1, -1), p)))
                 except (np.linalg.LinAlgError, ValueError, FloatingPointError):
                     out.append((r.route_code, None, None, None, None, None))
             yield pd.DataFrame(out, columns=["route_code", "adf_statistic", "adf_pvalue", "critical_value_5pct", "used_lag", "n_obs"])
@@ -180,18 +225,13 @@ def stationarity(df: DataFrame, order: Sequence[str] = ("timestamp",), value: st
 
 
 def _solve_adf(sums: np.ndarray, p: int):
-    cells = (p + 3) ** 2
-    gram, nobs, head = sums[:cells].reshape(p + 3, p + 3), int(sums[cells]), sums[cells + 1 :]
+    """Row r of ``sums``: cross products and number of the rows that know r lagged steps."""
+    grams, counts = sums[:, :-1].reshape(p + 1, p + 3, p + 3), sums[:, -1]
     with np.errstate(all="raise"):
-        tries = [_fit(gram, 2 + k, nobs)[0] for k in range(p + 1)]
+        tries = [_fit(grams[p], 2 + k, counts[p])[0] for k in range(p + 1)]
         best = int(np.argmin(tries))
         keep = [*range(2 + best), p + 2]
-        final = gram[np.ix_(keep, keep)]
-        total = nobs
-        if best < p:  # rows between the chosen and the longest lag
-            extra = _design(head, best)
-            final = final + extra.T @ extra
-            total += len(extra)
+        final, total = grams[best:].sum(0)[np.ix_(keep, keep)], int(counts[best:].sum())
         stat = _fit(final, 2 + best, total)[1]
     if not np.isfinite(stat):
         raise ValueError("no finite statistic")

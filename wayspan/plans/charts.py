@@ -8,7 +8,7 @@ from wayspan.functions import columns as C
 from wayspan.operators import anomaly, enrich, forecast, patterns, stats
 from wayspan.plans.cleaning import WEATHER_SQL, scratch
 from wayspan.plans.registry import normal_quantile_sql, query
-from wayspan.plans.tables import readings, route_table, shipments, weather_table
+from wayspan.plans.tables import readings, route_table, shipments, table, weather_table
 from wayspan.streaming import feed as streams
 
 HOURS_SQL = "hh AS (SELECT CAST(unnest(generate_series(0, 23)) AS INTEGER) AS hour)"
@@ -331,6 +331,25 @@ def _(spark, d):
     return forecast.best_lags(forecast.lag_correlations(readings(spark, d)))
 
 
+@query("h22_lag_correlations_hours", """
+WITH m AS (SELECT route_code, timestamp AS t, avg(avg_speed) AS v FROM r GROUP BY ALL),
+p AS (SELECT a.route_code AS route_a, b.route_code AS route_b FROM m a JOIN m b ON a.t = b.t AND a.route_code <> b.route_code GROUP BY ALL HAVING count(*) >= 24),
+c AS (SELECT a.route_code AS route_a, b.route_code AS route_b, date_diff('hour', a.t, b.t) AS lag, CASE WHEN count(*) > 1 AND var_pop(a.v) > 1e-9 AND var_pop(b.v) > 1e-9 THEN corr(a.v, b.v) END AS correlation
+  FROM m a JOIN m b ON a.route_code <> b.route_code AND b.t BETWEEN a.t - INTERVAL 24 HOUR AND a.t + INTERVAL 24 HOUR GROUP BY ALL)
+SELECT route_a, route_b, CAST(k AS INTEGER) AS lag, correlation FROM (SELECT *, unnest(range(-24, 25)) AS k FROM p) p LEFT JOIN c ON c.route_a = p.route_a AND c.route_b = p.route_b AND c.lag = p.k""".replace("SELECT route_a, route_b, CAST(k", "SELECT p.route_a, p.route_b, CAST(k"), doubles="correlation")
+def _(spark, d):
+    return forecast.lag_correlations(readings(spark, d), regularize=True)
+
+
+@query("h22_lag_correlations_pairs", f"WITH {LAG_SQL} SELECT * FROM lg WHERE (least(route_a, route_b), greatest(route_a, route_b)) IN (SELECT DISTINCT least(u.event_type, v.event_type), greatest(u.event_type, v.event_type) FROM events u JOIN events v ON v.user_id = u.user_id + 1 AND u.event_type <> v.event_type AND u.event_type[1] = 'p')", doubles="correlation")
+def _(spark, d):
+    """Pairs of event types, one with a p, that two neighbouring users have."""
+    events = table(spark, d, "events").select("user_id", "event_type").distinct()
+    other = events.select((F.col("user_id") - 1).alias("user_id"), F.col("event_type").alias("route_b"))
+    pairs = events.filter("startswith(event_type, 'p')").withColumnRenamed("event_type", "route_a").join(other, "user_id").select("route_a", "route_b").distinct()
+    return forecast.lag_correlations(readings(spark, d), pairs=pairs)
+
+
 @query("h23_best_hours", """WITH m AS (SELECT route_code, hour, avg(avg_speed) AS v FROM r GROUP BY ALL),
 b AS (SELECT *, row_number() OVER (PARTITION BY route_code ORDER BY v DESC, hour) AS x, row_number() OVER (PARTITION BY route_code ORDER BY v, hour) AS y FROM m)
 SELECT a.route_code, coalesce(label_short, a.route_code) AS route_label, a.hour AS best_hour, a.v AS best_speed, c.hour AS worst_hour, c.v AS worst_speed, a.v - c.v AS speed_range

@@ -124,6 +124,28 @@ def _(spark, d):
     return stats.autocorrelation(readings(spark, d), order=["ts", "event_id"])
 
 
+@query("g4_autocorrelation_hours", """
+WITH h AS (SELECT route_code, timestamp AS t, avg(avg_speed) AS x FROM r GROUP BY ALL),
+c AS (SELECT route_code, t, x - avg(x) OVER (PARTITION BY route_code) AS c, count(*) OVER (PARTITION BY route_code) AS n FROM h),
+s AS (SELECT a.route_code, k, sum(a.c * b.c) AS s FROM (SELECT *, unnest(range(0, 25)) AS k FROM c) a JOIN c b ON b.route_code = a.route_code AND b.t = a.t + to_hours(CAST(k AS INTEGER)) GROUP BY ALL),
+g AS (SELECT route_code, max(n) AS n, sum(c * c) AS s0, unnest(range(0, 25)) AS k FROM c GROUP BY route_code)
+SELECT g.route_code, CAST(g.k AS INTEGER) AS lag, CASE WHEN n >= 25 AND s0 <> 0 THEN coalesce(s, 0) / s0 END AS acf FROM g LEFT JOIN s ON s.route_code = g.route_code AND s.k = g.k""", needs="u", doubles="acf")
+def _(spark, d):
+    return stats.autocorrelation(readings(spark, d, "user_id"), regularize=True)
+
+
+@query("g3_stationarity_hours", """
+WITH h AS (SELECT route_code, timestamp AS t, avg(avg_speed) AS x FROM r GROUP BY ALL),
+s AS (SELECT a.route_code, a.x - avg(a.x) OVER (PARTITION BY a.route_code) AS x, b.x - a.x AS d FROM h a JOIN h b ON b.route_code = a.route_code AND b.t = a.t + INTERVAL 1 HOUR),
+m AS (SELECT route_code, count(*) AS n, regr_slope(d, x) AS b, regr_sxx(d, x) AS sxx, regr_syy(d, x) - regr_sxy(d, x) * regr_sxy(d, x) / regr_sxx(d, x) AS ssr FROM s GROUP BY route_code),
+k AS (SELECT route_code FROM h GROUP BY route_code HAVING count(*) >= 12)
+SELECT route_code, b / sqrt(ssr / (n - 2) / sxx) AS adf_statistic, n AS n_obs, CAST(0 AS INTEGER) AS used_lag FROM m JOIN k USING (route_code)""", doubles="adf_statistic")
+def _(spark, d):
+    # without lagged steps, which is the regression that SQL can tell; the tests compare the choice of lags and the p-value
+    found = stats.stationarity(readings(spark, d), regularize=True, lags=0)
+    return found.select("route_code", "adf_statistic", "n_obs", "used_lag")
+
+
 @query("g5_variance_homogeneity", """
 WITH z AS (SELECT route_code, abs(avg_speed - median(avg_speed) OVER (PARTITION BY route_code)) AS z FROM r),
 g AS (SELECT route_code, count(*) AS n, avg(z) AS m, sum(z) AS sz FROM z GROUP BY route_code HAVING count(*) >= 2),
