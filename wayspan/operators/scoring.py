@@ -16,7 +16,7 @@ from wayspan.functions.columns import half_even, hour_number
 from wayspan.functions.tails import correlation_p
 from wayspan.operators.clean import ensure_calendar
 from wayspan.operators.ordering import group_quantiles, with_positions
-from wayspan.operators.outliers import poisson_weight, uniform
+from wayspan.operators.outliers import poisson_sums
 
 WINDOW_SIZES = (5, 10, 15, 20, 30)
 THRESHOLDS = (2.0, 2.5, 3.0)
@@ -339,22 +339,20 @@ def score_intervals(
 ) -> DataFrame:
     """Bootstrap mean and percentile interval of the rolling score per route.
 
-    Only rows of the score window are resampled. Every (row, round) gets a Poisson(1)
-    weight from a hash of ``row_key``, and the weighted sums are combined map-side, so no
-    sample is ever written out. The reference date is that of the data.
+    Only rows of the score window are resampled. Every (row, round) gets a Poisson(1) weight made
+    from ``row_key``; the weighted sums of all rounds are one vector a date and route, added up
+    where the rows are. The reference date is that of the data.
     """
     df = ensure_calendar(df)
     ref = F.lit(ref_date).cast("date") if ref_date else _last_day(df)
     day = _day(df)
-    rows = df.filter((day >= F.date_sub(ref, days)) & (day < ref)).select(
-        day.alias("date"), "route_code", "avg_speed", F.try_divide(F.lit(60.0) * F.col("distance"), F.col("duration")).alias("_again"),
-        F.xxhash64(*[F.col(c) for c in row_key]).alias("_row"),
-    )
-    rounds = rows.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
-    weighted = rounds.withColumn("w", poisson_weight(uniform(F.lit(seed), F.col("iter"), F.col("_row")))).filter("w > 0")
-    mean = lambda c: F.try_divide(F.sum(F.col("w") * F.col(c)), F.sum(F.when(F.col(c).isNotNull(), F.col("w"))))
-    per = weighted.groupBy("iter", "date", "route_code").agg(
-        mean("avg_speed").alias("avg_speed_mean"), mean("_again").alias("_again"), F.max(F.col("avg_speed").isNull()).alias("_gap")
+    again = F.try_divide(F.lit(60.0) * F.col("distance"), F.col("duration"))
+    keys = [c for c in row_key if c not in ("date", "route_code", "avg_speed")]
+    rows = df.filter((day >= F.date_sub(ref, days)) & (day < ref)).select(day.alias("date"), "route_code", "avg_speed", again.alias("_again"), *keys)
+    sums = poisson_sums(rows, ["date", "route_code"], ["avg_speed", "_again"], row_key, n_bootstrap, seed)
+    per = sums.select(
+        "iter", "date", "route_code", F.try_divide("avg_speed_sum", "avg_speed_n").alias("avg_speed_mean"),
+        F.try_divide("_again_sum", "_again_n").alias("_again"), (F.col("avg_speed_n") < F.col("n")).alias("_gap"),
     )
     # as in daily_points: a day with a missing speed takes its means from distance and duration
     gap = F.max("_gap").over(Window.partitionBy("iter", "date"))

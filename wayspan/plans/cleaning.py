@@ -8,6 +8,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from wayspan.functions import columns as C
+from wayspan.functions import draws
 from wayspan.functions.pluscode import route_points
 from wayspan.operators import clean, enrich, outliers, patterns, stations
 from wayspan.plans.registry import query
@@ -504,19 +505,34 @@ def _(spark, d):
     return out.select("event_id", "avg_speed", "isolation_score", "is_outlier")
 
 
-@query("d5_bootstrap", "SELECT CAST(iter AS INTEGER) AS iter, count(*) AS n FROM r, (SELECT unnest(generate_series(0, 19)) AS iter) GROUP BY iter")
+D5_ROWS = "(SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos, count(*) OVER () AS n, unnest(range(0, 20)) AS iter FROM r)"
+
+
+@query("d5_bootstrap", f"""WITH x AS (SELECT iter, (high * n + ((low * n) >> 31)) >> 31 AS pos FROM {draws.numbers_sql(draws.numbers_sql(D5_ROWS, 'high', 'pos', 7, 'iter'), 'low', 'pos', 8, 'iter')})
+SELECT CAST(x.iter AS INTEGER) AS iter, event_id, count(*) AS weight FROM x JOIN (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM r) USING (pos) GROUP BY ALL""")
 def _(spark, d):
     drawn = outliers.bootstrap(readings(spark, d).select("event_id", "ts", "route_code", "avg_speed"), ["ts", "event_id"], n_iterations=20, seed=7)
-    return drawn.groupBy("iter").agg(F.sum("weight").alias("n"))
+    return drawn.select("iter", "event_id", "weight")
+
+
+POISSON_SQL = f"b AS (SELECT *, {draws.poisson_sql('u')} AS weight FROM {draws.numbers_sql('(SELECT *, unnest(range(0, 20)) AS iter FROM r)', 'u', 'event_id', 7, 'iter')})"
 
 
-@query("d5_poisson_bootstrap")
+@query("d5_poisson_bootstrap", f"WITH {POISSON_SQL} SELECT CAST(iter AS INTEGER) AS iter, route_code, CAST(sum(weight) AS BIGINT) AS n, sum(weight * avg_speed) / sum(weight) AS mean_speed FROM b WHERE weight > 0 GROUP BY iter, route_code", doubles="mean_speed")
 def _(spark, d):
     rows = readings(spark, d).select("event_id", "route_code", "avg_speed")
     drawn = outliers.poisson_bootstrap(rows, ["event_id"], n_iterations=20, seed=7)
     return drawn.groupBy("iter", "route_code").agg(F.sum("weight").alias("n"), (F.sum(F.col("weight") * F.col("avg_speed")) / F.sum("weight")).alias("mean_speed"))
 
 
-@query("d6_sample_fraction")
+@query("d5_poisson_sums", f"""WITH raw AS (SELECT * REPLACE (CASE WHEN event_id % 37 <> 0 THEN avg_speed END AS avg_speed) FROM r), {POISSON_SQL.replace('FROM r)', 'FROM raw)')}
+SELECT CAST(iter AS INTEGER) AS iter, route_code, hour, CAST(sum(weight) AS DOUBLE) AS n, coalesce(sum(weight * avg_speed), 0) AS avg_speed_sum, CAST(coalesce(sum(weight) FILTER (avg_speed IS NOT NULL), 0) AS DOUBLE) AS avg_speed_n
+FROM b WHERE weight > 0 GROUP BY iter, route_code, hour""", doubles="avg_speed_sum", digits=4)
+def _(spark, d):
+    rows = readings(spark, d).withColumn("avg_speed", F.when(F.col("event_id") % 37 != 0, F.col("avg_speed")))
+    return outliers.poisson_sums(rows, ["route_code", "hour"], ["avg_speed"], ["event_id"], 20, 7)
+
+
+@query("d6_sample_fraction", f"SELECT event_id, route_code, avg_speed FROM {draws.numbers_sql('r', 'u', 'event_id', 42)} WHERE u < {int(0.1 * draws.TOP)}", doubles="avg_speed")
 def _(spark, d):
-    return outliers.sample_fraction(readings(spark, d), 0.1, 42).select("event_id", "route_code", "avg_speed")
+    return outliers.sample_fraction(readings(spark, d), 0.1, 42, ["event_id"]).select("event_id", "route_code", "avg_speed")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wayspan.functions import draws
 from wayspan.operators import clean, scoring
 from wayspan.plans.registry import query
 from wayspan.plans.tables import raw_readings, readings, shipments
@@ -177,7 +178,16 @@ def _(spark, d):
     return scoring.method_agreement(readings(spark, d, "user_id"))
 
 
-@query("e13_score_intervals")
+E13_SQL = f"""WITH w AS (SELECT r.* FROM r, (SELECT max(date) AS ref FROM r) WHERE date >= ref - 10 AND date < ref),
+b AS (SELECT iter, date, route_code, avg_speed, {draws.poisson_sql('u')} AS wt FROM {draws.numbers_sql('(SELECT event_id, date, route_code, avg_speed, unnest(range(0, 1000)) AS iter FROM w)', 'u', 'event_id', 0, 'iter')}),
+m AS (SELECT iter, date, route_code, sum(wt * avg_speed) / sum(wt) AS v FROM b WHERE wt > 0 GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY iter, date ORDER BY v DESC NULLS LAST, route_code) AS rank, count(*) OVER (PARTITION BY iter, date) AS n FROM m),
+p AS (SELECT iter, route_code, round_even(sum(CASE WHEN n = 1 THEN 0.5e0 ELSE n / 2e0 - (rank - 1) * n / CAST(n - 1 AS DOUBLE) END), 1) AS p FROM k GROUP BY ALL),
+g AS (SELECT route_code, coalesce(p, 0) AS p FROM (SELECT DISTINCT route_code, unnest(range(0, 1000)) AS iter FROM r) LEFT JOIN p USING (route_code, iter))
+SELECT route_code, avg(p) AS points, quantile_cont(p, 0.025) AS ci_lower, quantile_cont(p, 0.975) AS ci_upper FROM g GROUP BY route_code"""
+
+
+@query("e13_score_intervals", E13_SQL, doubles="points ci_lower ci_upper")
 def _(spark, d):
     return scoring.score_intervals(readings(spark, d), ["event_id"])
 
