@@ -30,8 +30,9 @@ def _uniform(*cols: Column) -> Column:
     return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 52) - 1)).cast("double") / F.lit(float(1 << 52))
 
 
-def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None, rows_per_block: int) -> DataFrame:
-    """Add ``_block`` (ordered block inside the group), ``_total`` and the order key ``_ord``."""
+def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None, rows_per_block: int, few: bool = False) -> DataFrame:
+    """Add ``_block`` (ordered block inside the group), ``_total`` and the order key ``_ord``. ``few``: the
+    caller bounds the number of blocks, so split points are broadcast and wide rows stay where they are."""
     keys = list(keys)
     df = df.withColumn("_ord", F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]))
     total = F.count(F.lit(1)) if weight is None else F.sum(weight)
@@ -61,7 +62,10 @@ def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: s
         out = df.withColumn("_total", sizes.select("_total").scalar()).withColumn("_coarse", coarse.select("_coarse").scalar())
     passed = lambda name: F.coalesce(F.size(F.filter(name, lambda s: s <= F.col("_ord"))), F.lit(0))
     counted = lambda name: F.when(F.col(name).isNull(), F.lit(0)).otherwise(passed(name))
-    out = attach(out.withColumn("_c", counted("_coarse")), fine, [*keys, "_c"], "left", salts=SALTS)
+    if few:
+        out = attach(out.withColumn("_c", counted("_coarse")), F.broadcast(fine), [*keys, "_c"], "left")
+    else:
+        out = attach(out.withColumn("_c", counted("_coarse")), fine, [*keys, "_c"], "left", salts=SALTS)
     return out.withColumn("_block", F.col("_c") * FANOUT + counted("_fine")).drop("_coarse", "_fine", "_c")
 
 
