@@ -17,7 +17,8 @@ from wayspan.operators import ordering
 
 BITS = 128
 RADIUS = 3
-ROWS_PER_BLOCK = 100_000  # of the neighbour search
+ROWS_PER_BLOCK = 20_000  # of the neighbour search, or more:
+BLOCKS = 100_000  # at most about so many, whose split points are broadcast
 
 
 def votes(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,7 +80,7 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataF
     )
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_block: int | None = None) -> DataFrame:
     """Every row with the text of the next row in descending id order (the last is followed by
     the first): (id, key, hash, text, next_key, next_hash, next_text), where (key, hash) tells a text.
 
@@ -91,7 +92,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62)))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    placed = ordering._blocked(rows, [], ["key", "hash"], None, rows_per_block).drop("_total")
+    size = rows_per_block or max(ROWS_PER_BLOCK, docs.count() // BLOCKS)
+    placed = ordering._blocked(rows, [], ["key", "hash"], None, size, few=True).drop("_total")
     entry = F.struct("key", "hash", "text")
     order = Window.partitionBy("_block").orderBy("key", "hash")
     inner = placed.repartition("_block").select("id", "key", "hash", "text", "_block", F.lag(entry).over(order).alias("next"))
