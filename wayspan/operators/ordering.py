@@ -166,6 +166,35 @@ def group_quantiles(
     return quantiles_of(running_counts(df, keys, value, rows_per_block=rows_per_block), keys, value, qs)
 
 
+def weighted_quantiles(
+    counts: DataFrame, keys: Sequence[str], value: str, weights: Sequence[str], q: float = 0.5, *, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """Linear-interpolated quantile per group for several counts of the same values: one row for each
+    (group, value) with a column of counts for every population, one order for all of them.
+    Columns are named after the weights; NULL where a population is empty."""
+    keys, weights = list(keys), list(weights)
+    rows = _blocked(counts.filter(F.col(value).isNotNull()).select(*keys, value, *weights), keys, [value], None, rows_per_block).drop("_total")
+    blocks = rows.groupBy(*keys, "_block").agg(*[F.sum(w).alias(f"_in_{w}") for w in weights])
+    whole, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(
+        *keys, "_block", *[F.coalesce(F.sum(f"_in_{w}").over(before), F.lit(0)).alias(f"_off_{w}") for w in weights],
+        *[F.sum(f"_in_{w}").over(whole).alias(f"_n_{w}") for w in weights],
+    )
+    inner = Window.partitionBy(*keys, "_block").orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.repartition(*keys, "_block").withColumns({f"_below_{w}": F.coalesce(F.sum(w).over(inner), F.lit(0)) for w in weights})
+    placed = attach(local, offsets, [*keys, "_block"])
+    aggs = []
+    for w in weights:
+        rank = (F.col(f"_n_{w}") - 1) * F.lit(float(q))
+        below, lo = F.col(f"_below_{w}") + F.col(f"_off_{w}"), F.floor(rank)
+        for tag, at in (("lo", lo), ("hi", F.least(lo + 1, F.col(f"_n_{w}") - 1))):
+            aggs.append(F.max(F.when((below <= at) & (at < below + F.col(w)), F.col(value))).alias(f"_{w}_{tag}"))
+        aggs.append(F.max(rank - lo).alias(f"_{w}_part"))
+    out = placed.groupBy(*keys).agg(*aggs)
+    cells = [(F.col(f"_{w}_lo") + (F.col(f"_{w}_hi") - F.col(f"_{w}_lo")) * F.col(f"_{w}_part")).alias(w) for w in weights]
+    return out.select(*keys, *cells)
+
+
 def row_frames(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int, after: int, *,
     block_rows: int = 100_000, rows_per_block: int = ROWS_PER_BLOCK,

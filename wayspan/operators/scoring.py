@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wayspan.functions.columns import half_even, hour_number
 from wayspan.functions.tails import correlation_p
 from wayspan.operators.clean import ensure_calendar
-from wayspan.operators.ordering import group_quantiles, with_positions
+from wayspan.operators.ordering import group_quantiles, value_counts, weighted_quantiles, with_positions
 from wayspan.operators.outliers import poisson_sums
 
 WINDOW_SIZES = (5, 10, 15, 20, 30)
@@ -231,43 +231,74 @@ def score_vs_speed(df: DataFrame, days: int = 10) -> DataFrame:
     )
 
 
-def _kept_labels(df: DataFrame, thresholds: Sequence[float]) -> DataFrame:
-    """Each row once per label it belongs to: all rows, and rows within each z threshold."""
+def _deviation(df: DataFrame) -> Column:
+    """|z| of the speed against all rows; NULL where it has none."""
     s = df.agg(F.avg("avg_speed").alias("mu"), F.stddev("avg_speed").alias("sd")).select(F.struct("mu", "sd").alias("s")).scalar()
-    z = F.abs(F.try_divide(F.col("avg_speed") - s.getField("mu"), s.getField("sd")))
-    kept = [F.lit("all"), *[F.when(~F.coalesce(z > t, F.lit(False)), F.lit(f"z{t:g}")) for t in thresholds]]
-    return df.withColumn("variant", F.explode(F.array_compact(F.array(*kept))))
-
-
-def _labelled_rolling(df: DataFrame, days: int) -> DataFrame:
-    """Rolling score per variant, each with its own last day: (variant, route_code, points)."""
-    daily = daily_points(df, ["variant"])
-    ref = F.max("date").over(Window.partitionBy("variant"))
-    marked = daily.withColumn("_age", F.datediff(ref, F.col("date")))
-    inside = (F.col("_age") >= 1) & (F.col("_age") <= days)
-    return marked.groupBy("variant", "route_code").agg(
-        half_even(F.coalesce(F.sum(F.when(inside, F.col("points"))), F.lit(0.0)), 1).alias("points")
+    return F.abs(F.try_divide(F.col("avg_speed") - s.getField("mu"), s.getField("sd")))
+
+
+def _band(z: Column, limits: Sequence[float]) -> Column:
+    """Number of the (ascending) limits that |z| is beyond; a row without z is beyond none."""
+    out = F.lit(0)
+    for t in limits:
+        out = out + F.coalesce((z > t).cast("int"), F.lit(0))
+    return out
+
+
+def _labels(limits: Sequence[float]) -> list[str]:
+    """Names of the variants: rows within each limit, and all rows. Variant i keeps the bands 0 to i."""
+    return [f"z{t:g}" for t in limits] + ["all"]
+
+
+def _banded_days(df: DataFrame, limits: Sequence[float]) -> DataFrame:
+    """One row a date and route with the figures of every variant: ``m`` mean speed of the day (by
+    distance and duration where a speed of the day is missing), ``s`` sum and ``c`` count of the
+    speeds, ``n`` rows. A fact is read once and belongs to one band; variants are sums of bands."""
+    again = F.try_divide(F.lit(60.0) * F.col("distance"), F.col("duration"))
+    per = _dated(df).withColumn("_band", _band(_deviation(df), limits)).groupBy("date", "route_code", "_band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("avg_speed").alias("s"), F.count("avg_speed").alias("c"), F.sum(again).alias("a"), F.count(again).alias("k"),
+        F.max(F.col("avg_speed").isNull()).alias("_gap"),
     )
+    upto = lambda column, i: F.sum(F.when(F.col("_band") <= i, F.col(column))).alias(f"{column}{i}")
+    wide = per.groupBy("date", "route_code").agg(*[upto(c, i) for c in ("n", "s", "c", "a", "k") for i in range(len(limits) + 1)], F.max("_gap").alias("_gap"))
+    # rows without a speed are in every variant
+    gap = F.max("_gap").over(Window.partitionBy("date"))
+    mean = lambda i: F.when(gap, F.try_divide(f"a{i}", f"k{i}")).otherwise(F.try_divide(f"s{i}", f"c{i}"))
+    some = lambda c: F.coalesce(F.col(c), F.lit(0))
+    kept = [c for i in range(len(limits) + 1) for c in (mean(i).alias(f"m{i}"), some(f"s{i}").alias(f"s{i}"), some(f"c{i}").alias(f"c{i}"), some(f"n{i}").alias(f"n{i}"))]
+    return wide.select("date", "route_code", *kept)
+
+
+def _rolling_variants(days_table: DataFrame, variants: int, days: int) -> DataFrame:
+    """(route_code, points0, points1, ...): the rolling score of each variant, with its own last day;
+    NULL for a route that a variant has no row of."""
+    last = days_table.agg(*[F.max(F.when(F.col(f"n{i}") > 0, F.col("date"))).alias(f"r{i}") for i in range(variants)]).select(F.struct("*").alias("r")).scalar()
+    day = Window.partitionBy("date")
+    sums = []
+    out = days_table
+    for i in range(variants):
+        present = F.col(f"n{i}") > 0
+        rank = F.row_number().over(day.orderBy(F.desc(present), F.desc_nulls_last(f"m{i}"), "route_code"))
+        out = out.withColumn(f"p{i}", F.when(present, centred_points(rank, F.count_if(present).over(day))))
+        age = F.datediff(last.getField(f"r{i}"), F.col("date"))
+        score = half_even(F.coalesce(F.sum(F.when((age >= 1) & (age <= days), F.col(f"p{i}"))), F.lit(0.0)), 1)
+        sums.append(F.when(F.sum(f"n{i}") > 0, score).alias(f"points{i}"))
+    return out.groupBy("route_code").agg(*sums)
 
 
 def outlier_scores(df: DataFrame, threshold: float = 3.0, days: int = 10) -> DataFrame:
     """Route scores with all rows and with the rows beyond the z threshold removed."""
-    label = f"z{threshold:g}"
-    rolled = _labelled_rolling(_kept_labels(ensure_calendar(df), [threshold]), days)
-    return rolled.groupBy("route_code").agg(
-        F.max(F.when(F.col("variant") == "all", F.col("points"))).alias("baseline_points"),
-        F.max(F.when(F.col("variant") == label, F.col("points"))).alias("filtered_points"),
-    )
+    rolled = _rolling_variants(_banded_days(ensure_calendar(df), [threshold]), 2, days)
+    return rolled.select("route_code", F.col("points1").alias("baseline_points"), F.col("points0").alias("filtered_points"))
 
 
 def outlier_sensitivity(df: DataFrame, threshold: float = 3.0, days: int = 10) -> DataFrame:
     """Spearman correlation between both scorings and the number of removed rows."""
-    both = outlier_scores(df, threshold, days).dropna()
+    table = _banded_days(ensure_calendar(df), [threshold])
+    both = _rolling_variants(table, 2, days).select("route_code", F.col("points1").alias("baseline_points"), F.col("points0").alias("filtered_points")).dropna()
     ranked = average_ranks(both, [], "baseline_points").withColumnRenamed("avg_rank", "r1").drop("n_ranked")
     ranked = average_ranks(ranked, [], "filtered_points").withColumnRenamed("avg_rank", "r2")
-    s = df.agg(F.avg("avg_speed").alias("mu"), F.stddev("avg_speed").alias("sd")).select(F.struct("mu", "sd").alias("s")).scalar()
-    z = F.abs(F.try_divide(F.col("avg_speed") - s.getField("mu"), s.getField("sd")))
-    removed = df.agg(F.count_if(F.coalesce(z > threshold, F.lit(False)))).scalar()
+    removed = table.agg(F.coalesce(F.sum(F.col("n1") - F.col("n0")), F.lit(0))).scalar()
     out = ranked.agg(_clean_nan(F.corr("r1", "r2")).alias("rank_correlation"), F.count(F.lit(1)).alias("n_routes"))
     return out.select("rank_correlation", correlation_p("rank_correlation", F.col("n_routes").cast("double")).alias("rank_correlation_pvalue"),
                       removed.alias("n_outliers_removed"))
@@ -396,20 +427,30 @@ def _correlation_summary(values: DataFrame, *extra: str) -> DataFrame:
 
 
 def _variant_scores(df: DataFrame, thresholds: Sequence[float], days: int) -> DataFrame:
-    rows = _kept_labels(ensure_calendar(df), thresholds)
-
-    def tagged(part: DataFrame, method: str, value: str) -> DataFrame:
-        return part.select("variant", F.lit(method).alias("method"), "route_code", F.round(value, TIE_DIGITS).alias("score"))
-
-    out = tagged(_labelled_rolling(rows, days), "rolling", "points")
-    out = out.unionByName(tagged(percentile_score(rows, ["variant"]), "percentile", "percentile_score"))
-    # the standard score keeps the order of the means, so the means give its ranks
-    out = out.unionByName(tagged(route_means(rows, ["variant"]), "zscore", "mean_speed"))
-    out = out.unionByName(tagged(median_score(rows, ["variant"]), "median", "median_speed"))
+    """(variant, method, route_code, score) without the rows beyond each threshold, and with all."""
+    df = ensure_calendar(df)
+    limits = sorted(set(thresholds))
+    labels, every = _labels(limits), range(len(limits) + 1)
+    table = _banded_days(df, limits)
+
+    def listed(wide: DataFrame, method: str, columns: Sequence[str]) -> DataFrame:
+        cells = [F.struct(F.lit(labels[i]).alias("variant"), F.lit(method).alias("method"), F.round(columns[i], TIE_DIGITS).alias("score")) for i in every]
+        return wide.select("route_code", F.inline(F.array(*cells))).filter("score IS NOT NULL").select("variant", "method", "route_code", "score")
+
+    out = listed(_rolling_variants(table, len(labels), days), "rolling", [f"points{i}" for i in every])
+    means = table.groupBy("route_code").agg(*[F.try_divide(F.sum(f"s{i}"), F.sum(f"c{i}")).alias(f"mean{i}") for i in every])
+    # percentile and standard score keep the order of the means, so the means give their ranks
+    for method in ("percentile", "zscore"):
+        out = out.unionByName(listed(means, method, [f"mean{i}" for i in every]))
+    counts = value_counts(df, ["route_code"], "avg_speed").withColumn("_band", _band(_deviation(df), limits))
+    medians = weighted_quantiles(counts.select("route_code", "avg_speed", *[F.when(F.col("_band") <= i, F.col("cnt")).otherwise(0).alias(f"w{i}") for i in every]), ["route_code"], "avg_speed", [f"w{i}" for i in every])
+    out = out.unionByName(listed(medians, "median", [f"w{i}" for i in every]))
+    z = _deviation(df)
     for name, fn in _CUSTOM.items():
-        for label in ["all", *[f"z{t:g}" for t in thresholds]]:
-            part = fn(rows.filter(F.col("variant") == label).drop("variant")).withColumn("variant", F.lit(label))
-            out = out.unionByName(tagged(part, name, "score"))
+        for i, label in enumerate(labels):
+            part = df if label == "all" else df.filter(~F.coalesce(z > limits[i], F.lit(False)))
+            own = fn(part).select(F.lit(label).alias("variant"), F.lit(name).alias("method"), "route_code", F.round("score", TIE_DIGITS).alias("score"))
+            out = out.unionByName(own)
     return out
 
 
