@@ -1,4 +1,7 @@
+import time
+
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wayspan.operators.ordering import first_rows
@@ -48,3 +51,26 @@ def test_open_hours_complete_the_emitted(spark, tmp_path):
     for r in got.itertuples():
         mean, n = want.loc[(r.route_code, pd.Timestamp(r.hour_start))]
         assert abs(mean - r.avg_speed) < 1e-9 and n == r.readings
+
+
+def test_cleaned_feed_in_any_order_of_arrival(spark, tmp_path):
+    """Files arrive shuffled; the earliest row of an hour stays, and the newest day is left as it is."""
+    from wayspan.operators.clean import drop_old_repeats
+
+    rows = readings(spark, SF).select("event_id", "ts", "route_code", "date", "time", "avg_speed")
+    again = rows.unionByName(rows.filter("event_id % 3 = 0").withColumn("event_id", F.col("event_id") + 1000000).withColumn("ts", F.expr("ts - interval 1 second")))
+    last = again.agg(F.max("ts")).first()[0]
+    want = {r.event_id for r in drop_old_repeats(again.withColumn("time", F.date_format("ts", "HH:mm")).withColumn("date", F.col("ts").cast("date")), str(last), ["ts", "event_id"]).select("event_id").collect()}
+    for name, order, delay in (("shuffled", F.xxhash64("event_id"), "3650 days"), ("backwards", F.desc("ts"), "3650 days"), ("in_time", F.col("ts"), "24 hours")):
+        src, out = str(tmp_path / name), str(tmp_path / f"{name}-out")
+        listed = again.withColumn("k", F.row_number().over(Window.orderBy(order)) % 10**9)
+        n = listed.count()
+        for i in range(4):  # four files, in this order
+            listed.filter((F.col("k") > i * n / 4) & (F.col("k") <= (i + 1) * n / 4)).drop("k").coalesce(1).write.mode("append").parquet(src)
+            time.sleep(1.1)
+        stream = feed.file_stream(spark, src, spark.read.parquet(src).schema, files_per_trigger=1)
+        feed.run_available(feed.first_of_hour(stream, ["ts", "event_id"], delay=delay), out, f"{out}-state")
+        got = feed.cleaned_feed(spark, spark.read.parquet(src), out, f"{out}-state", ["ts", "event_id"])
+        assert sorted(r.event_id for r in got.select("event_id").collect()) == sorted(want), name
+        if name == "in_time":
+            assert spark.read.parquet(out).count() > 0

@@ -456,6 +456,18 @@ def _(spark, d):
     return spark.read.parquet(path).select("route_code", F.col("hour_bucket").cast("string").alias("hour_bucket"))
 
 
+@query("k1_stream_cleaned_feed", """
+WITH a AS (SELECT event_id, ts, route_code, timestamp AS h, ts >= (SELECT max(ts) FROM r) - INTERVAL 24 HOUR AS recent FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY h, route_code, recent ORDER BY ts, event_id) AS rn FROM a)
+SELECT event_id, route_code, CAST(h AS VARCHAR) AS hour_bucket FROM k WHERE recent OR rn = 1""")
+def _(spark, d):
+    stream, path = _stream(spark, d), scratch(spark, "cleaned")
+    streams.run_available(streams.first_of_hour(stream, ["ts", "event_id"]), path, path + "-state")
+    rows = readings(spark, d).select("event_id", "ts", "route_code", "avg_speed")
+    found = streams.cleaned_feed(spark, rows, path, path + "-state", ["ts", "event_id"])
+    return found.select("event_id", "route_code", F.date_trunc("hour", "ts").cast("string").alias("hour_bucket"))
+
+
 @query("k2_stream_hourly_speed", """SELECT route_code, CAST(timestamp AS VARCHAR) AS hour_start, avg(avg_speed) AS avg_speed, count(*) AS readings FROM r
 WHERE timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 24 HOUR FROM r) GROUP BY ALL""", doubles="avg_speed")
 def _(spark, d):

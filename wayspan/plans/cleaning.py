@@ -126,6 +126,22 @@ def _(spark, d):
     return clean.dedup_counters(rows, as_of)
 
 
+@query("a6_rewrite_applied", """
+WITH f AS (SELECT date, time, hour, route_code, duration, distance, CAST(date AS TIMESTAMP) + CAST(time || ':00' AS INTERVAL) AS moment FROM r),
+lim AS (SELECT max(moment) - INTERVAL 5 DAY AS cut FROM f),
+k AS (SELECT *, moment >= cut AS recent, row_number() OVER (PARTITION BY date, hour, route_code, moment >= cut ORDER BY time, duration, distance) AS rn FROM f, lim)
+SELECT CAST(date AS VARCHAR) AS date, time, route_code, duration, distance, CAST(2 AS INTEGER) AS version FROM k WHERE recent OR rn = 1""", doubles="distance")
+def _(spark, d):
+    """The feed is put down, read back, cleaned and swapped for the clean one."""
+    path = scratch(spark, "table")
+    sinks.rewrite_feed(readings(spark, d), path, apply=True)
+    rows, version = sinks.live_feed(spark, path)
+    as_of = rows.agg(F.max(C.feed_timestamp(F.col("date").cast("string"), "time")) - F.expr("interval 4 days")).scalar()
+    sinks.rewrite_feed(clean.drop_old_repeats(rows, as_of, ["time", "duration", "distance"]), path, apply=True, since=version)
+    rows, version = sinks.live_feed(spark, path)
+    return rows.select(F.col("date").cast("string").alias("date"), "time", "route_code", "duration", "distance", F.lit(version).alias("version"))
+
+
 @query("a7_weather_snapshot", f"""WITH {STATIONS_SQL},
 u AS (SELECT * FROM (SELECT *, trim(accuweather_station) AS station, row_number() OVER (PARTITION BY trim(accuweather_station) ORDER BY line_no) AS rn FROM st) WHERE station <> '' AND rn = 1),
 x AS (SELECT station, line_no % 4 AS g, route_code, label_short, line_no FROM u)
@@ -499,6 +515,23 @@ def _(spark, d):
     return outliers.flag_outliers(readings(spark, d), method="zscore").select("event_id", "is_outlier")
 
 
+@query("d3_isolation_properties", """
+WITH v AS (SELECT DISTINCT avg_speed AS v FROM r)
+SELECT (SELECT count(*) FROM r) AS n, true AS about_a_tenth, true AS largest_flagged, true AS middle_kept, true AS scores_between, (SELECT min(v) FROM v) AS lowest, (SELECT max(v) FROM v) AS highest""", doubles="lowest highest")
+def _(spark, d):
+    """What holds whatever trees are drawn: the share, the ends and the middle of the values."""
+    rows = readings(spark, d)
+    ends = rows.agg(F.max("avg_speed").alias("b"), F.percentile_approx("avg_speed", 0.5).alias("m")).select(F.struct("*").alias("e")).scalar()
+    out = outliers.flag_outliers(rows, method="isolation_forest", order=["ts", "event_id"]).withColumn("ends", ends)
+    flagged, x, ends = F.col("is_outlier"), F.col("avg_speed"), F.col("ends")
+    return out.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(flagged.cast("double")).between(0.05, 0.1001).alias("about_a_tenth"),
+        F.bool_and(F.when(x == ends.getField("b"), flagged)).alias("largest_flagged"),
+        F.bool_and(F.when(x == ends.getField("m"), ~flagged)).alias("middle_kept"), F.bool_and(F.col("isolation_score").between(0.0, 1.0)).alias("scores_between"),
+        F.min("avg_speed").alias("lowest"), F.max("avg_speed").alias("highest"),
+    )
+
+
 @query("d3_isolation_forest")
 def _(spark, d):
     out = outliers.flag_outliers(readings(spark, d), method="isolation_forest", order=["ts", "event_id"])

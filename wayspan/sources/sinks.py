@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayspan.sources.feed import FEED_COLUMNS, SNAPSHOT_COLUMNS
+from wayspan.sources.feed import FEED_COLUMNS, SNAPSHOT_COLUMNS, read_feed
+from wayspan.sources.versions import Version, VersionedTable
 
 # Output name and input field of the alternate weather export.
 WEATHER_EXPORT = {
@@ -37,17 +36,25 @@ def append_feed(df: DataFrame, path: str) -> None:
     feed_rows(df).hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
 
 
-def rewrite_feed(cleaned: DataFrame, path: str, apply: bool = False) -> str | None:
-    """Write the cleaned table sorted by (date, time, route) to a fresh folder under ``path``.
+def rewrite_feed(cleaned: DataFrame, path: str, apply: bool = False, since: int | None = None) -> Version | None:
+    """Replace the feed table at ``path`` by the cleaned rows, sorted by (date, time, route).
 
-    The table being read is never overwritten: the caller switches to the returned
-    folder.  Without ``apply`` nothing is written.
+    The rows go to a new version, so ``cleaned`` may read the live one; it is swapped in when it
+    is complete. ``since`` is the version that ``cleaned`` was made from; a newer one in place is a
+    :class:`VersionConflict`. Without ``apply`` nothing is written.
     """
     if not apply:
         return None
-    target = f"{path.rstrip('/')}/version={int(time.time() * 1000)}"
-    feed_rows(cleaned).orderBy("date", "time", "route_code").write.mode("errorifexists").csv(target, header=True)
-    return target
+    rows = feed_rows(cleaned).orderBy("date", "time", "route_code")
+    return VersionedTable(cleaned.sparkSession, path).replace(lambda folder: rows.write.mode("errorifexists").csv(folder, header=True), since)
+
+
+def live_feed(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The live version of a rewritten feed and its number."""
+    at = VersionedTable(spark, path).live()
+    if at.path is None:
+        raise FileNotFoundError(f"{path} has no version yet")
+    return read_feed(spark, at.path), at.number
 
 
 def blank_nulls(df: DataFrame, columns) -> DataFrame:
