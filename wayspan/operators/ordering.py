@@ -30,19 +30,20 @@ def _uniform(*cols: Column) -> Column:
     return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 52) - 1)).cast("double") / F.lit(float(1 << 52))
 
 
-def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None, rows_per_block: int, few: bool = False) -> DataFrame:
-    """Add ``_block`` (ordered block inside the group), ``_total`` and the order key ``_ord``. ``few``: the
-    caller bounds the number of blocks, so split points are broadcast and wide rows stay where they are."""
+def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_block: int) -> DataFrame:
+    """Add ``_block`` (ordered block inside the group) and the order key ``_ord``.
+
+    Only groups of more than ``rows_per_block`` rows are sampled and have split points, of which there is
+    about one for so many rows; these small tables are broadcast, so the rows stay where they
+    are. Where no group is that large the sample's scan falls away at run time.
+    """
     keys = list(keys)
     df = df.withColumn("_ord", F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]))
-    total = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), total.alias("_total")).withColumn(
-        "_blocks", F.ceil(F.col("_rows") / F.lit(rows_per_block))
-    )
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_blocks", F.ceil(F.col("_rows") / F.lit(rows_per_block)))
     hot = sizes.filter("_blocks > 1").select(*keys, "_rows", "_blocks")
     picked = _uniform(*[F.col(k) for k in keys], F.col("_ord")) < F.col("_blocks") * F.lit(OVERSAMPLE) / F.col("_rows")
     if keys:
-        sample = attach(df.select(*keys, "_ord"), hot, keys, salts=SALTS).filter(picked)
+        sample = attach(df.select(*keys, "_ord"), F.broadcast(hot), keys).filter(picked)
     else:
         pair = hot.select(F.struct("_rows", "_blocks").alias("p")).scalar()
         sample = (
@@ -57,16 +58,12 @@ def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: s
     coarse = splits.filter(last).groupBy(*keys).agg(F.sort_array(F.collect_list("_ord")).alias("_coarse"))
     fine = splits.filter(~last).groupBy(*keys, F.floor(F.col("_at") / FANOUT).cast("int").alias("_c")).agg(F.sort_array(F.collect_list("_ord")).alias("_fine"))
     if keys:
-        out = attach(df, attach(sizes.select(*keys, "_total"), coarse, keys, "left"), keys, salts=SALTS)
+        out = attach(df, F.broadcast(coarse), keys, "left")
     else:
-        out = df.withColumn("_total", sizes.select("_total").scalar()).withColumn("_coarse", coarse.select("_coarse").scalar())
-    passed = lambda name: F.coalesce(F.size(F.filter(name, lambda s: s <= F.col("_ord"))), F.lit(0))
-    counted = lambda name: F.when(F.col(name).isNull(), F.lit(0)).otherwise(passed(name))
-    if few:
-        out = attach(out.withColumn("_c", counted("_coarse")), F.broadcast(fine), [*keys, "_c"], "left")
-    else:
-        out = attach(out.withColumn("_c", counted("_coarse")), fine, [*keys, "_c"], "left", salts=SALTS)
-    return out.withColumn("_block", F.col("_c") * FANOUT + counted("_fine")).drop("_coarse", "_fine", "_c")
+        out = df.withColumn("_coarse", coarse.select("_coarse").scalar())
+    passed = lambda name: F.when(F.col(name).isNull(), F.lit(0)).otherwise(F.size(F.filter(name, lambda s: s <= F.col("_ord"))))
+    out = attach(out.withColumn("_c", passed("_coarse")), F.broadcast(fine), [*keys, "_c"], "left")
+    return out.withColumn("_block", F.col("_c") * FANOUT + passed("_fine")).drop("_coarse", "_fine", "_c")
 
 
 def with_positions(
@@ -85,11 +82,13 @@ def with_positions(
     weight of the group.  ``order`` must be unique inside a group for a fixed result.
     """
     keys = list(keys)
-    rows = _blocked(df, keys, order, weight, rows_per_block)
+    rows = _blocked(df, keys, order, rows_per_block)
     amount = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
     blocks = rows.groupBy(*keys, "_block").agg(F.sum(amount).alias("_in"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(*keys, "_block", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_off"))
+    offsets = blocks.select(
+        *keys, "_block", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_off"), F.sum("_in").over(Window.partitionBy(*keys)).alias("_total")
+    )
     # The explicit exchange keeps a hot group spread: a join on the bare keys would
     # otherwise already satisfy the window below.
     spread = rows.repartition(*keys, "_block")
@@ -173,7 +172,7 @@ def weighted_quantiles(
     (group, value) with a column of counts for every population, one order for all of them.
     Columns are named after the weights; NULL where a population is empty."""
     keys, weights = list(keys), list(weights)
-    rows = _blocked(counts.filter(F.col(value).isNotNull()).select(*keys, value, *weights), keys, [value], None, rows_per_block).drop("_total")
+    rows = _blocked(counts.filter(F.col(value).isNotNull()).select(*keys, value, *weights), keys, [value], rows_per_block)
     blocks = rows.groupBy(*keys, "_block").agg(*[F.sum(w).alias(f"_in_{w}") for w in weights])
     whole, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
