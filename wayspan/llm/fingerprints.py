@@ -93,7 +93,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.xxhash64(text).alias("hash"), text.alias("text"))
     size = rows_per_block or max(ROWS_PER_BLOCK, docs.count() // BLOCKS)
-    placed = ordering._blocked(rows, [], ["key", "hash"], None, size, few=True).drop("_total")
+    placed = ordering._blocked(rows, [], ["key", "hash"], size)
     entry = F.struct("key", "hash", "text")
     order = Window.partitionBy("_block").orderBy("key", "hash")
     inner = placed.repartition("_block").select("id", "key", "hash", "text", "_block", F.lag(entry).over(order).alias("next"))
