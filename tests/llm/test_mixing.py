@@ -39,6 +39,15 @@ def test_evidence_decides_short_texts(spark, real):
     assert len(got) == len(host) + len(unsure)
 
 
+def test_columns_with_clashing_names(real):
+    model = language_id.train(real, "doc_id", "text", "lang")
+    plain = evidence(real.limit(40))
+    clash = plain.selectExpr("*", "1 AS evidence", "2 AS letters", "'x' AS share", "'y' AS language", "3 AS posterior", "'z' AS accepted")
+    key = lambda df: {r.doc_id: (r.language, round(r.posterior, 9), r.accepted) for r in df.collect()}
+    got = language_id.identify(clash, model)
+    assert {"evidence", "letters", "share"} <= set(got.columns) and key(got) == key(language_id.identify(plain, model))
+
+
 def test_empty_and_unlabelled(spark, docs, empty):
     blank = language_id.train(empty, "doc_id", "text", "lang")
     assert blank.languages == []
@@ -99,4 +108,4 @@ def test_pipeline(spark, real):
 
 
 def test_registered_names():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))

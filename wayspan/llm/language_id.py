@@ -86,8 +86,8 @@ def train(labelled: DataFrame, id_col: str, text_col: str, label_col: str, rows:
 
 
 def text_evidence(rows: DataFrame, model: TextModel, text_col: str = "text") -> DataFrame:
-    """All columns with ``evidence`` (log likelihood of every language, the best one at 0) and
-    ``letters`` (their share of the characters that are not blank; 0 without text)."""
+    """All columns with ``_evidence`` (log likelihood of every language, the best one at 0) and
+    ``_letters`` (their share of the characters that are not blank; 0 without text)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     spot = rows.columns.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
@@ -105,9 +105,9 @@ def text_evidence(rows: DataFrame, model: TextModel, text_col: str = "text") ->
                     each -= each.max(axis=1, keepdims=True)
                 share = _row_sums(letter, limits) / np.maximum(_row_sums(~wordhash.BLANK[raw], limits), 1)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, each.size + 1, max(1, each.shape[1]))[: end - start + 1] if each.shape[1] else np.zeros(end - start + 1, int), pa.int32()), pa.array(each.ravel()))
-                yield pa.record_batch([c.slice(start, end - start) for c in batch.columns] + [lists, pa.array(share)], names=[*batch.schema.names, "evidence", "letters"])
+                yield pa.record_batch([c.slice(start, end - start) for c in batch.columns] + [lists, pa.array(share)], names=[*batch.schema.names, "_evidence", "_letters"])
 
-    return rows.mapInArrow(read, f"{schema}, evidence array<double>, letters double")
+    return rows.mapInArrow(read, f"{schema}, _evidence array<double>, _letters double")
 
 
 def _posterior(logs: Column) -> Column:
@@ -161,7 +161,7 @@ def identify(rows: DataFrame, model: TextModel, text_col: str = "text", min_post
     scored = text_evidence(rows.select(*own), model, text_col)
     if not n:
         return scored.select(*own, F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
-    shares = scored.filter(F.col("letters") >= min_share).select("declared", "suffix", "host", _posterior(F.col("evidence")).alias("share"))
+    shares = scored.filter(F.col("_letters") >= min_share).select("declared", "suffix", "host", _posterior(F.col("_evidence")).alias("share"))
     shares = store(shares.groupBy("declared", "suffix", "host").agg(*_added(n)).select("declared", "suffix", "host", F.array(*[f"n{k}" for k in range(n)]).alias("share")), "evidence")
     hosts, top = host_priors(shares, n)
     joined = scored
@@ -169,10 +169,10 @@ def identify(rows: DataFrame, model: TextModel, text_col: str = "text", min_post
         joined = joined.join(table, key, "left")
     nothing = F.array(*[F.lit(0.0)] * n)
     usual = F.array(*[F.log(F.lit(p)) for p in top])
-    parts = [F.col("evidence"), F.coalesce("declared_log", nothing), F.coalesce("suffix_log", nothing), F.coalesce("host_log", usual)]
+    parts = [F.col("_evidence"), F.coalesce("declared_log", nothing), F.coalesce("suffix_log", nothing), F.coalesce("host_log", usual)]
     logs = F.array(*[sum((F.get(p, F.lit(k)) for p in parts[1:]), F.get(parts[0], F.lit(k))) for k in range(n)])
     judged = joined.withColumn("_p", _posterior(logs)).withColumn("_best", F.array_max("_p"))
-    sure = (F.col("letters") >= min_share) & (F.col("_best") >= min_posterior)
+    sure = (F.col("_letters") >= min_share) & (F.col("_best") >= min_posterior)
     name = F.get(F.array(*[F.lit(x) for x in model.languages]), (F.array_position("_p", F.col("_best")) - 1).cast("int"))
     return judged.select(*own, F.when(sure, name).otherwise(F.lit(UNKNOWN)).alias("language"), F.col("_best").alias("posterior"), sure.alias("accepted"))
 
