@@ -1,5 +1,7 @@
 """Language ID, mixing and the pipeline."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -39,6 +41,54 @@ def test_evidence_decides_short_texts(spark, real):
     assert len(got) == len(host) + len(unsure)
 
 
+def brute_posterior(rows, languages):
+    """Fusion of the text likelihoods with declared language, suffix and smoothed host priors, by loops."""
+    n = len(languages)
+    soft = lambda logs: [math.exp(x - max(logs)) / sum(math.exp(y - max(logs)) for y in logs) for x in logs]
+    shares = [(r, soft(r._evidence)) for r in rows if r._letters >= language_id.MIN_SHARE]
+    sums = lambda key: {v: [sum(s[k] for r, s in shares if key(r) == v) for k in range(n)] for v in {key(r) for r, _ in shares} - {None}}
+
+    def likelihood(key):
+        counted = sums(key)
+        total = [sum(v[k] for v in counted.values()) for k in range(n)]
+        return {v: [math.log((c[k] + 0.5) / (total[k] + 0.5 * (len(counted) + 1))) for k in range(n)] for v, c in counted.items()}
+
+    declared, suffix, hosts = likelihood(lambda r: r.declared), likelihood(lambda r: r.suffix), sums(lambda r: r.host)
+    domain = lambda h: ".".join(h.split(".")[-2:])
+    whole = [sum(s[k] for _, s in shares) for k in range(n)]
+    top = [(x + 1) / ((sum(whole) or 1) + n) for x in whole]
+    S, prior = language_id.STRENGTH, {}
+    for h, c in hosts.items():
+        d = [sum(v[k] for g, v in hosts.items() if domain(g) == domain(h)) for k in range(n)]
+        prior[h] = [math.log((c[k] + S * (d[k] + S * top[k]) / (sum(d) + S)) / (sum(c) + S)) for k in range(n)]
+    out = {}
+    for r in rows:
+        parts = [r._evidence, declared.get(r.declared, [0.0] * n), suffix.get(r.suffix, [0.0] * n), prior.get(r.host, [math.log(p) for p in top])]
+        p = soft([sum(x[k] for x in parts) for k in range(n)])
+        sure = r._letters >= language_id.MIN_SHARE and max(p) >= language_id.MIN_POSTERIOR
+        out[r.key] = (languages[p.index(max(p))] if sure else "und", max(p), sure)
+    return out
+
+
+def test_fused_posterior(spark, real):
+    model = language_id.train(real, "doc_id", "text", "lang")
+    texts = [r.text for r in real.limit(60).collect()]
+    rows = [(i, texts[i % 60][: 5 + i % 40], ["en", "fr", None, "xx"][i % 4], ["com", "de/fr", None][i % 3], [f"h{i % 5}.a.example", f"h{i % 7}.b.org", "plain", None][i % 4]) for i in range(200)]
+    rows += [(300, None, "en", "com", "h1.a.example"), (301, "12 34 !", "fr", None, None), (302, "", None, None, None), (303, "zq", "fr", "de/fr", "new.a.example")]
+    df = spark.createDataFrame(rows, "key long, text string, declared string, suffix string, host string")
+    got = {r.key: (r.language, r.posterior, r.accepted) for r in language_id.identify(df, model).collect()}
+    want = brute_posterior(language_id.text_evidence(df, model).collect(), model.languages)
+    assert got.keys() == want.keys()
+    for key, (language, posterior, accepted) in want.items():
+        assert got[key][1] == pytest.approx(posterior, rel=1e-6) and (got[key][0], got[key][2]) == (language, accepted), key
+
+
+def test_page_evidence(spark):
+    pages = [(1, "https://News.Site.example.fr/de/x?y=1", '<HTML class="a" lang=FR-ca><script>var a="<p>no</p>"</script><p>un&amp;deux<!-- no --></p>'), (2, "ftp:bad", "<p>x"), (3, None, None), (4, "http://a.org/about/de/", "plain")]
+    got = {r.page_id: (r.text.split(), r.declared, r.host, r.suffix) for r in language_id.page_evidence(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: (["un", "deux"], "fr", "news.site.example.fr", "fr/de"), 2: (["x"], None, None, ""), 3: ([], None, None, ""), 4: (["plain"], None, "a.org", "org")}
+
+
 def test_columns_with_clashing_names(real):
     model = language_id.train(real, "doc_id", "text", "lang")
     plain = evidence(real.limit(40))
