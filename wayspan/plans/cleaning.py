@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -47,11 +47,7 @@ st AS (SELECT s_suppkey AS line_no, s_name AS label_short, CAST(s_suppkey AS VAR
 
 def scratch(spark, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("/"):
-        os.makedirs(base, exist_ok=True)
-        return os.path.join(tempfile.mkdtemp(prefix="io-", dir=base), name)
-    return f"{base.rstrip('/')}/io-{spark.sparkContext.applicationId}-{os.urandom(6).hex()}/{name}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/io-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}/{name}"
 
 
 # --- A: sources and sinks -------------------------------------------------------------------
