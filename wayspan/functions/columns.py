@@ -185,14 +185,16 @@ def palette_color(index: Column | str, palette: Sequence[str] = PALETTE) -> Colu
     return F.element_at(colors, (as_column(index) % len(palette)).cast("int") + 1)
 
 
-def reading_detail(label="route_label", ts="timestamp", speed="avg_speed", duration="duration", distance="distance") -> Column:
-    """Detail text of one reading."""
-    return F.concat(
-        F.lit("<b>"), as_column(label), F.lit("</b><br>Time: "), timestamp_label(ts),
-        F.lit("<br>Speed: "), F.format_string("%.1f", as_column(speed)), F.lit(" km/h<br>Duration: "),
-        F.format_string("%.1f", as_column(duration)), F.lit(" min<br>Distance: "),
-        F.format_string("%.1f", as_column(distance)), F.lit(" km"),
-    )
+def reading_detail(label="route_label", ts="timestamp", speed="avg_speed", duration="duration", distance="distance", percentile=None) -> Column:
+    """Detail text of one reading, numbers to one digit with halves to even; with ``percentile`` a line more."""
+    one = lambda c: F.format_string("%.1f", half_even(c, 1))
+    parts = [
+        F.lit("<b>"), as_column(label), F.lit("</b><br>Time: "), timestamp_label(ts), F.lit("<br>Speed: "), one(speed),
+        F.lit(" km/h<br>Duration: "), one(duration), F.lit(" min<br>Distance: "), one(distance), F.lit(" km"),
+    ]
+    if percentile is not None:
+        parts += [F.lit("<br>Percentile: "), one(percentile), F.lit("%")]
+    return F.concat(*parts)
 
 
 def half_even(c: Column | str, digits: int) -> Column:

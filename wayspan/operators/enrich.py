@@ -104,7 +104,9 @@ def route_options(df: DataFrame, routes: DataFrame) -> DataFrame:
 
 def reading_details(df: DataFrame, routes: DataFrame) -> DataFrame:
     """Readings with their detail text."""
-    return with_labels(ensure_calendar(df), routes).withColumn("detail", C.reading_detail())
+    return with_labels(ensure_calendar(df), routes).withColumn(
+        "detail", C.reading_detail(percentile="percentile_rank" if "percentile_rank" in df.columns else None)
+    )
 
 
 def weather_relation(df: DataFrame) -> DataFrame:

@@ -390,12 +390,19 @@ def _(spark, d):
     return rows.select("s_suppkey", C.maps_url("s_name", F.concat("n_name", F.lit(", A/B"))).alias("url"))
 
 
-@query("b23_reading_details", """SELECT event_id, '<b>' || coalesce(label_short, r.route_code) || '</b><br>Time: ' || strftime(timestamp, '%Y-%m-%d %H:%M') || '<br>Duration: ' || CAST(CAST(duration AS INTEGER) AS VARCHAR) || '.0 min' AS detail
-FROM r LEFT JOIN routes USING (route_code)""", needs="r routes")
+DETAIL_SQL = """'<b>' || coalesce(label_short, r.route_code) || '</b><br>Time: ' || strftime(timestamp, '%Y-%m-%d %H:%M') || '<br>Speed: ' || format('{:.1f}', round_even(avg_speed, 1))
+  || ' km/h<br>Duration: ' || format('{:.1f}', round_even(duration, 1)) || ' min<br>Distance: ' || format('{:.1f}', round_even(distance, 1)) || ' km'"""
+
+
+@query("b23_reading_details", f"SELECT event_id, {DETAIL_SQL} AS detail FROM r LEFT JOIN routes USING (route_code)", needs="r routes")
+def _(spark, d):
+    return enrich.reading_details(readings(spark, d), route_table(spark, d)).select("event_id", "detail")
+
+
+@query("b23_reading_details_ranked", f"SELECT event_id, {DETAIL_SQL} || '<br>Percentile: ' || format('{{:.1f}}', round_even(event_id % 1000 / 10e0, 1)) || '%' AS detail FROM r LEFT JOIN routes USING (route_code)", needs="r routes")
 def _(spark, d):
-    # the speed and distance lines are cut out: the engines format exact halves differently
-    rows = enrich.reading_details(readings(spark, d), route_table(spark, d))
-    return rows.select("event_id", F.regexp_replace(F.regexp_replace("detail", "<br>Speed: [^<]*", ""), "<br>Distance: .*$", "").alias("detail"))
+    rows = readings(spark, d).withColumn("percentile_rank", F.col("event_id") % 1000 / 10.0)
+    return enrich.reading_details(rows, route_table(spark, d)).select("event_id", "detail")
 
 
 @query("b24_feed_timestamps", f"""WITH {FEED_SQL} SELECT event_id, CAST(try_strptime(date || ' ' || time, '%Y-%m-%d %H:%M') AS VARCHAR) AS ts FROM f""", needs="")
