@@ -295,12 +295,16 @@ def _(spark, d):
     return stations.unique_stations(_stations(spark, d))
 
 
-@query("b14_page_urls", f"""WITH {STATIONS_SQL}, u AS (SELECT line_no, accuweather_station AS station FROM st)
-SELECT line_no, CASE WHEN station LIKE '%/%' THEN 'https://weather.example/en/in/' || station || '/air-quality-index/' || split_part(station, '/', 2) || '?unit=c' END AS aqi_url
-FROM u""", needs="")
+PAGE_SQL = ", ".join(
+    f"CASE WHEN station LIKE '%/%' THEN 'https://weather.example/en/in/' || station || '/{page}/' || split_part(station, '/', 2) || '?unit=c' END AS {name}_url"
+    for name, page in (("minute", "minute-weather-forecast"), ("current", "current-weather"), ("aqi", "air-quality-index"))
+)
+
+
+@query("b14_page_urls", f"WITH {STATIONS_SQL}, u AS (SELECT line_no, accuweather_station AS station FROM st) SELECT line_no, {PAGE_SQL} FROM u", needs="")
 def _(spark, d):
     rows = _stations(spark, d).withColumnRenamed("accuweather_station", "station")
-    return stations.station_pages(rows, "https://weather.example", "in").select("line_no", "aqi_url")
+    return stations.station_pages(rows, "https://weather.example", "in").select("line_no", "minute_url", "current_url", "aqi_url")
 
 
 @query("b15_page_fields", r"""SELECT page_id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from wayspan.functions import draws
 from wayspan.operators import clean, scoring
 from wayspan.plans.registry import query
@@ -242,3 +244,14 @@ SELECT CAST(row_number() OVER (ORDER BY round(ov, 9) DESC, method) AS INTEGER) A
        needs="u", doubles="overall_score stability robustness efficiency", digits=4)
 def _(spark, d):
     return scoring.method_report(readings(spark, d, "user_id"))
+
+
+@query("j1_custom_score", """SELECT route_code, 'slowest' AS label, round(min(avg_speed), 9) AS score FROM r WHERE route_code IS NOT NULL GROUP BY route_code
+UNION ALL SELECT route_code, 'median', round(median(avg_speed), 9) FROM r WHERE route_code IS NOT NULL GROUP BY route_code""", needs="u", doubles="score")
+def _(spark, d):
+    """A score of one's own beside the built-in ones."""
+    scoring.register_score("slowest", lambda rows: rows.filter("route_code IS NOT NULL").groupBy("route_code").agg(F.min("avg_speed").alias("score")))
+    try:
+        return scoring.method_scores(readings(spark, d, "user_id")).filter(F.col("label").isin("slowest", "median"))
+    finally:
+        scoring.unregister_score("slowest")
