@@ -138,14 +138,18 @@ def _(spark, d):
     return rows.select(F.col("date").cast("string").alias("date"), "time", "route_code", "duration", "distance", F.lit(version).alias("version"))
 
 
+SNAPSHOT_EMPTY_SQL = ", ".join(f"'' AS {c}" for c in feed.SNAPSHOT_COLUMNS[3:] if c not in ("temp", "rsi_flag"))
+
+
 @query("a7_weather_snapshot", f"""WITH {STATIONS_SQL},
 u AS (SELECT * FROM (SELECT *, trim(accuweather_station) AS station, row_number() OVER (PARTITION BY trim(accuweather_station) ORDER BY line_no) AS rn FROM st) WHERE station <> '' AND rn = 1),
 x AS (SELECT station, line_no % 4 AS g, route_code, label_short, line_no FROM u)
 SELECT CASE WHEN g = 3 THEN '' ELSE route_code END AS route_code, CASE WHEN g = 3 THEN '' ELSE label_short END AS route_name_short,
        CASE WHEN g = 3 THEN '' ELSE station END AS accuweather_station,
-       CASE WHEN g = 1 THEN CAST(line_no AS VARCHAR) ELSE '' END AS temp, CASE WHEN g IN (1, 2) THEN 'dry' ELSE '' END AS rsi_flag, line_no
+       CASE WHEN g = 1 THEN CAST(line_no AS VARCHAR) ELSE '' END AS temp, CASE WHEN g IN (1, 2) THEN 'dry' ELSE '' END AS rsi_flag, {SNAPSHOT_EMPTY_SQL}
 FROM x""", needs="")
 def _(spark, d):
+    """The snapshot as it stands in the written file."""
     stn = stations.unique_stations(_stations(spark, d))
     g = F.col("line_no") % 4
     text = F.lit(None).cast("string")
@@ -154,7 +158,10 @@ def _(spark, d):
         F.when(g != 3, F.lit("dry")).alias("rsi_flag"),
         *[text.alias(c) for c in feed.SNAPSHOT_COLUMNS[3:] if c not in ("temp", "rsi_flag")],
     )
-    return sinks.weather_snapshot(stn, got).select("route_code", "route_name_short", "accuweather_station", "temp", "rsi_flag", "line_no")
+    path = scratch(spark, "snapshot")
+    sinks.write_weather_snapshot(sinks.weather_snapshot(stn, got), path)
+    back = spark.read.schema(", ".join(f"{c} string" for c in feed.SNAPSHOT_COLUMNS)).csv(path, header=True)
+    return sinks.blank_nulls(back, feed.SNAPSHOT_COLUMNS)
 
 
 @query("a8_weather_export", f"""WITH {WEATHER_SQL}
