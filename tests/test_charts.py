@@ -224,3 +224,17 @@ def test_quality(spark, grid):
     noon = grid.filter("hour = 12")
     assert quality.quality_metrics(noon).first().completeness < 10
     assert quality.distance_consistency(grid).filter("is_inconsistent").count() == 0
+
+
+def same_readings(spark, n_routes=6):
+    """Routes with the same speeds at noon, each in another order (their plain sums differ)."""
+    speeds = [1e9 / 7, -1e9 / 7, 0.1, 0.2, 0.3, 100 / 3, 1e-9, 55.55]
+    rng = np.random.default_rng(3)
+    rows = [(f"R{r}", 12, float(v)) for r in range(n_routes) for v in rng.permutation(speeds)]
+    days = spark.createDataFrame(rows, "route_code string, hour int, avg_speed double").coalesce(1)
+    return days.selectExpr("*", "DATE'2025-10-05' AS date", "TIMESTAMP_NTZ'2025-10-05 12:00:00' AS timestamp", "'Sunday' AS day_of_week")
+
+
+def test_hourly_ranking_of_equal_routes_goes_by_code(spark):
+    got = patterns.hourly_ranking(same_readings(spark)).orderBy("rank").collect()
+    assert [r.route_code for r in got] == [f"R{i}" for i in range(6)] and len({r.avg_speed for r in got}) == 1

@@ -84,3 +84,17 @@ def test_plus_codes(spark):
     assert abs(near.p_lat - 46.95) <= 0.5 and abs(near.p_lon - 8.1) <= 0.5
     ends = route_points(spark.createDataFrame([("XJG4+7J|5PX4+HQ",)], "route_code string"), 12.9514242, 77.6590212).first()
     assert abs(ends.origin_lat - 12.95) < 0.5 and abs(ends.destination_lon - 77.66) < 0.5 and "," in ends.origin_point
+
+
+def test_exact_mean(spark):
+    rng = np.random.default_rng(5)
+    groups = {
+        0: list(rng.normal(50, 20, 500)), 1: [1e15 + 0.5, -1e15, 0.25], 2: [0.1] * 7, 3: [-0.1, -0.2, 1e-12], 4: [None, 2.5], 5: [None],
+        6: [float("nan"), 1.0], 7: [float("inf"), 1.0], 8: [1e300, 1e300], 9: [2.0**52 + 1, 2.0**-40], 10: [-(2.0**52), 3.75],
+    }
+    rows = [(g, None if v is None else float(v)) for g, vs in groups.items() for v in vs]
+    got = {r.g: r.m for r in spark.createDataFrame(rows, "g int, v double").groupBy("g").agg(C.exact_mean("v").alias("m")).collect()}
+    for g, vs in groups.items():
+        known = [v for v in vs if v is not None]
+        want = math.fsum(known) / len(known) if known else None
+        assert got[g] == want or (want != want and got[g] != got[g]), g
