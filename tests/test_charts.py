@@ -238,3 +238,10 @@ def same_readings(spark, n_routes=6):
 def test_hourly_ranking_of_equal_routes_goes_by_code(spark):
     got = patterns.hourly_ranking(same_readings(spark)).orderBy("rank").collect()
     assert [r.route_code for r in got] == [f"R{i}" for i in range(6)] and len({r.avg_speed for r in got}) == 1
+
+
+def test_rank_volatility_of_equal_routes(spark):
+    days = same_readings(spark)
+    again = days.withColumn("hour", F.lit(13)).orderBy("avg_speed")
+    got = {r.route_code: (r.avg_rank, r.std_rank, r.rank_range) for r in patterns.hourly_rank_volatility(days.unionByName(again)).collect()}
+    assert got == {f"R{i}": (i + 1.0, 0.0, 0) for i in range(6)}
