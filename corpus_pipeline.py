@@ -14,6 +14,8 @@ from wayspan.llm import language_id, mixing, sentencepieces, simhash_links, stre
 from wayspan.llm.queries import PIECE_MODEL
 from wayspan.llm.textops import store
 
+PIECES_AT_ONCE = 1 << 20  # bytes of text
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; declared: lang, host: source. Text that is not in a
@@ -41,8 +43,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece ids, and whether these decode to the text."""
-    return sentencepieces.encode_column(docs, PIECE_MODEL)
+    """The documents with their piece ids, and whether these decode to the text. Workers that keep their
+    memory stay beside the other stages here, so less text is encoded at once than usual."""
+    return sentencepieces.encode_column(docs, PIECE_MODEL, at_once=PIECES_AT_ONCE)
 
 
 STAGES = [

@@ -21,6 +21,7 @@ from wayspan.llm import wordhash
 from wayspan.llm.textops import store
 
 TABLE = 1 << 16
+CHUNK = 1 << 18  # bytes of text handled at once; a worker's arrays take some 30 times as much
 TRAIN_ROWS = 8000  # labelled rows that the text model is fitted on, those with the smallest hash
 DEPTH = 64  # a text counts as this many trigrams at most: neighbouring trigrams are not independent
 STRENGTH = 20.0  # rows that a parent's prior weighs
@@ -68,7 +69,7 @@ def train(labelled: DataFrame, id_col: str, text_col: str, label_col: str, rows:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = np.array(batch.column(0).to_pylist(), object)
-            for start, end, raw, limits in wordhash.text_chunks(batch.column(1)):
+            for start, end, raw, limits in wordhash.text_chunks(batch.column(1), CHUNK):
                 gram, counts, _ = _grams(raw, limits)
                 row = np.repeat(np.arange(start, end), np.diff(limits))
                 for label in set(labels[start:end]):
@@ -95,7 +96,7 @@ def text_evidence(rows: DataFrame, model: TextModel, text_col: str = "text") ->
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for start, end, raw, limits in wordhash.text_chunks(batch.column(spot)):
+            for start, end, raw, limits in wordhash.text_chunks(batch.column(spot), CHUNK):
                 gram, counts, letter = _grams(raw, limits)
                 n = _row_sums(counts, limits)
                 scale = np.minimum(n, DEPTH) / np.maximum(n, 1)

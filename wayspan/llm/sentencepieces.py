@@ -312,13 +312,13 @@ def decode(v: Pieces, ids: np.ndarray, limits: np.ndarray) -> list[str]:
     return [t[1:] if v.prefix and t[:1] == " " else t for t in texts]
 
 
-def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Rows that together have about TEXT_AT_ONCE bytes."""
+def _runs(texts: pa.Array, at_once: int = TEXT_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Rows that together have about ``at_once`` bytes."""
     row = 0
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     limits = np.concatenate([[0], np.cumsum(sizes)])
     while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(limits, limits[row] + TEXT_AT_ONCE, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(limits, limits[row] + at_once, "right")) - 1)
         yield row, end
         row = end
 
@@ -329,9 +329,11 @@ def model_tables(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(load(f.read()))
 
 
-def encode_column(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "piece_ids", exact_col: str = "round_trip") -> DataFrame:
+def encode_column(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "piece_ids", exact_col: str = "round_trip", at_once: int = TEXT_AT_ONCE) -> DataFrame:
     """All rows and columns with the ids of the text, and whether these decode to the text again.
 
+    ``at_once`` bytes of text are encoded together: fewer take less memory of a worker and somewhat more time.
+
     Null and empty texts have no ids and decode to the empty text. A text that holds the model's
     sign for blanks decodes with blanks there, so it is not exact. A column that has one of the
     new names is replaced. An empty table gives an empty result.
@@ -345,7 +347,7 @@ def encode_column(docs: DataFrame, model: str, text_col: str = "text", ids_col:
         coder = Encoder(shared.value)
         for batch in batches:
             texts = batch.column(spot)
-            for start, end in _runs(texts):
+            for start, end in _runs(texts, at_once):
                 plain = [t or "" for t in texts.slice(start, end - start).to_pylist()]
                 ids, limits = coder.encode(plain)
                 exact = [a == b for a, b in zip(plain, decode(coder.v, ids, limits), strict=True)]
