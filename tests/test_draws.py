@@ -102,3 +102,22 @@ def test_intervals_equal_rows_times_rounds(spark):
             points[r].append(np.rint(total[r] * 10) / 10)
     for r, v in points.items():
         assert got[r] == pytest.approx((np.mean(v), np.quantile(v, 0.025), np.quantile(v, 0.975)))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bootstrap_makes_no_row_for_a_draw(spark):
+    n, rounds = 70_000, 9  # more than one block of positions and of rounds
+    df = spark.range(n).selectExpr("id", "id % 7 AS v", "CASE WHEN id > 5 THEN 'x' END AS t")
+    drawn = outliers.bootstrap(df, ["id"], n_iterations=rounds, seed=3)
+    assert "MapInArrow" in plan_of(drawn) and drawn.columns == ["id", "v", "t", "iter", "weight"]
+    high, low = (draws.numbers(np.arange(n), np.arange(rounds), s) for s in (3, 4))
+    target = (high * n + ((low * n) >> draws.BITS)) >> draws.BITS
+    got = drawn.toPandas()
+    times = np.zeros((rounds, n), int)
+    times[got["iter"], got["id"]] = got["weight"]
+    assert len(got) == (times > 0).sum() and (got["v"] == got["id"] % 7).all() and (got["t"].isna() == (got["id"] <= 5)).all()
+    assert all((times[r] == np.bincount(target[:, r], minlength=n)).all() for r in range(rounds))
+    assert outliers.bootstrap(df.limit(0), ["id"], 3).count() == 0
