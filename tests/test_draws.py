@@ -108,6 +108,12 @@ def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_forest_model_is_not_copied_into_rows(spark):
+    df = spark.range(1000).selectExpr("id", "CAST(id * id AS DOUBLE) AS avg_speed")
+    scored = outliers.isolation_scores(df, "avg_speed", ["id"])
+    assert "_model" not in plan_of(scored) and scored.columns == ["id", "avg_speed", "isolation_score"]
+
+
 def test_bootstrap_makes_no_row_for_a_draw(spark):
     n, rounds = 70_000, 9  # more than one block of positions and of rounds
     df = spark.range(n).selectExpr("id", "id % 7 AS v", "CASE WHEN id > 5 THEN 'x' END AS t")
