@@ -111,3 +111,30 @@ def test_many_random_windows(spark):
     rng = random.Random(2)
     rows = [(i * 4, [rng.choice([-0.5, 0.25, 1.0]) for _ in range(4)], rng.randint(0, 2)) for i in range(400)]
     assert run(spark, rows) == brute(rows)
+
+
+def test_no_vectors_are_broadcast(spark, monkeypatch):
+    """Files of repeated vectors are small beside their rows, so joins must not pick them by file size."""
+    plans, rows = [], clusters(600)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    stored = hn.store
+
+    def store(df, name):
+        df.collect()
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(hn, "store", store)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert [name for name, _ in plans].count("matches") == 2
+    depth = lambda line: len(line) - len(line.lstrip(" :|+-"))
+    for name, plan in plans:
+        lines = plan.splitlines()
+        for k, line in enumerate(lines):
+            if "BroadcastExchange" in line:
+                below = next((n for n in range(k + 1, len(lines)) if depth(lines[n]) <= depth(line)), len(lines))
+                assert not any("vector#" in x for x in lines[k:below]), f"{name}: {line.strip()}"

@@ -288,8 +288,9 @@ def _place(tree, dims: int, ranges: bool):
     return read
 
 
-def index(rows: DataFrame) -> tuple[DataFrame, Tree, int]:
-    """Prepared rows with leaf and chunk, the tree with the ranges of all rows, and the longest vector."""
+def index(rows: DataFrame) -> tuple[DataFrame, Column, Tree, int]:
+    """Prepared rows with leaf and chunk, the number of chunks of a leaf, the tree with the ranges of all rows, and
+    the longest vector."""
     tree, dims = fit(rows)
     shared = rows.sparkSession.sparkContext.broadcast(tree)
     found = rows.select("vector").mapInArrow(_place(shared, dims, True), "node long, point long, child long, low double, high double")
@@ -298,7 +299,7 @@ def index(rows: DataFrame) -> tuple[DataFrame, Tree, int]:
     placed = store(rows.mapInArrow(_place(shared, dims, False), _ddl(rows) + ", leaf int"), "leaves")
     sizes = placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()  # one row a leaf
     chunks = F.get(F.array(*[F.lit(n) for n in _chunk_counts(sizes, tree.leaves)]), F.col("leaf"))
-    return placed.withColumn("chunk", F.pmod(F.xxhash64("row"), chunks)), tree, dims
+    return placed.withColumn("chunk", F.pmod(F.xxhash64("row"), chunks)), chunks, tree, dims
 
 
 def _ddl(df: DataFrame) -> str:
@@ -312,15 +313,19 @@ def _chunk_counts(sizes: list, leaves: int) -> list[int]:
     return out
 
 
-def _matches(placed: DataFrame, anchors: DataFrame, tree, dims: int, top: int, share: tuple[int, int] | None, blocks: int) -> DataFrame:
-    """The first ``top`` matches of each anchor (and window): anchor, slot, id, score, place."""
+def _matches(placed: DataFrame, chunks: Column, anchors: DataFrame, tree, dims: int, top: int, share: tuple[int, int] | None, blocks: int) -> DataFrame:
+    """The first ``top`` matches of each anchor (and window): anchor, slot, id, score, place.
+
+    A file of repeated vectors can be a hundredth of its rows' size, and Spark broadcasts by the file's: so no
+    join may choose a side with vectors. What is broadcast is one row a leaf with the blocks that reach it.
+    """
     asked = anchors.mapInArrow(_reach(tree, dims, top, share), "leaf int, " + _ddl(anchors)).withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     asked = store(asked, "asked")
-    due = asked.select("leaf", "block").distinct()
-    chunks = placed.select("leaf", "chunk").distinct()
-    held = placed.select("leaf", "chunk", "row", "id", "label", "vector").join(due, "leaf")
+    due = asked.select("leaf", "block").distinct().groupBy("leaf").agg(F.collect_list("block").alias("blocks"))
+    held = placed.select("leaf", "chunk", "row", "id", "label", "vector").join(F.broadcast(due), "leaf")
+    held = held.select("*", F.explode("blocks").alias("block")).drop("blocks")
     to = {k: f"to_{k}" for k in ("leaf", "chunk", "block")}
-    sent = asked.join(chunks, "leaf").withColumnsRenamed(to)
+    sent = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks.cast("long") - 1))).withColumnsRenamed(to)
     found = held.groupBy(*to).cogroup(sent.groupBy(*to.values())).applyInArrow(_search(dims, top, share), FOUND)
     order = Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), F.asc_nulls_last("id"), "row")
     return store(found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top), "matches")
@@ -340,17 +345,17 @@ def mine(
     positive whose window is empty gives no rows, nor does an empty table. Other columns are not
     touched.
     """
-    placed, tree, dims = index(prepare(rows, id_col, vector_col, label_col, anchor, scale))
+    placed, chunks, tree, dims = index(prepare(rows, id_col, vector_col, label_col, anchor, scale))
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(tree)
     anchors = store(placed.filter("anchor").select("row", "id", "label", "vector"), "anchors")
     blocks = anchors.count() // BLOCK + 1
-    close = _matches(placed, anchors, shared, dims, positives, None, blocks)
+    close = _matches(placed, chunks, anchors, shared, dims, positives, None, blocks)
     lists = close.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("place", "id", "score"))).alias("positives"))  # at most ``positives`` entries
-    wanted = store(anchors.join(lists, F.col("row") == F.col("anchor")).drop("anchor"), "positives")
-    far = _matches(placed, wanted, shared, dims, negatives, share, blocks)
+    wanted = store(anchors.hint("merge").join(lists, F.col("row") == F.col("anchor")).drop("anchor"), "positives")
+    far = _matches(placed, chunks, wanted, shared, dims, negatives, share, blocks)
     named = wanted.select(F.col("row").alias("anchor"), F.col("id").alias("anchor_id"), F.posexplode("positives").alias("slot", "p"))
-    return far.join(named, ["anchor", "slot"]).select(
+    return far.hint("merge").join(named, ["anchor", "slot"]).select(
         "anchor_id", F.col("p.id").alias("positive_id"), F.col("place").cast("int").alias("rank"), F.col("id").alias("negative_id"),
         F.col("p.score").alias("positive_score"), F.col("score").alias("negative_score"),
     )
