@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_helpers import DOCS  # noqa: F401
@@ -138,3 +139,28 @@ def test_no_vectors_are_broadcast(spark, monkeypatch):
             if "BroadcastExchange" in line:
                 below = next((n for n in range(k + 1, len(lines)) if depth(lines[n]) <= depth(line)), len(lines))
                 assert not any("vector#" in x for x in lines[k:below]), f"{name}: {line.strip()}"
+
+
+@pytest.mark.parametrize("share", [None, (80, 100)])
+def test_few_vectors_are_sent_to_leaves_at_once(monkeypatch, share):
+    """A batch of anchors goes out in pieces, and scores are held for few of their windows at once."""
+    rng, held = np.random.default_rng(8), []
+    x = np.floor(rng.normal(size=(400, 6)) * 200)
+    tree = hn.Tree(np.arange(400), np.arange(400), np.arange(400) % 3, x, float((x * x).sum(1).max()), 400_000)
+    for node in tree.nodes:
+        node.low[:], node.high[:] = 0, np.inf
+    bounds = hn._bounds
+    monkeypatch.setattr(hn, "_bounds", lambda known, *a: held.append(known.size) or bounds(known, *a))
+    batch = pa.record_batch([pa.array(range(400, 450)), pa.array([k % 3 for k in range(50)]), pa.array(x[:50].tolist()), pa.array([[{"score": k + n} for n in range(5)] for k in range(50)])], names=["row", "label", "vector", "positives"])
+    shared = type("Shared", (), {"value": tree})
+
+    def sent():
+        out = list(hn._reach(shared, 6, 5, share)([batch]))
+        return sorted(zip(*[sum((b[c].to_pylist() for b in out), []) for c in ("leaf", "row")])), max(b.num_rows for b in out)
+
+    whole, _ = sent()
+    held.clear()
+    monkeypatch.setattr(hn, "CELLS", 5 * 400)
+    pieces, most = sent()
+    assert pieces == whole and tree.leaves > 20
+    assert most <= 5 * 400 // 6 and max(held) <= 5 * 400

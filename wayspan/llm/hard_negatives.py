@@ -187,8 +187,10 @@ def _reach(tree, dims: int, top: int, share: tuple[int, int] | None):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tree.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, max(1, CELLS // max(1, len(t.rows)))):
-                part = batch.slice(lo, max(1, CELLS // max(1, len(t.rows))))
+            windows = 1 if share is None else max(map(len, batch["positives"]), default=1)
+            step = max(1, CELLS // max(1, len(t.rows) * windows))
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
                 x, row, label = matrix(part["vector"], dims), part["row"].to_numpy(), part["label"].to_numpy()
                 known, same = scores(x, t.vectors), label[:, None] == t.labels
                 if share is None:
@@ -200,8 +202,10 @@ def _reach(tree, dims: int, top: int, share: tuple[int, int] | None):
                     least = np.maximum(low, _bounds(known[owner], ~same[owner] & (known[owner] >= low[:, None]) & (known[owner] <= high[:, None]), top))
                     np.logical_or.at(reached, owner, t.reached(x[owner], least.astype(float), high.astype(float)))
                 at, leaf = np.nonzero(reached)
-                take = pa.array(at)
-                yield pa.record_batch([pa.array(leaf, pa.int32()), *[part[c].take(take) for c in part.schema.names]], names=["leaf", *part.schema.names])
+                few = max(1, CELLS // max(1, dims))  # rows whose vectors are written at once
+                for first in range(0, len(at), few):
+                    take = pa.array(at[first : first + few])
+                    yield pa.record_batch([pa.array(leaf[first : first + few], pa.int32()), *[part[c].take(take) for c in part.schema.names]], names=["leaf", *part.schema.names])
 
     return read
 
