@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -114,6 +116,23 @@ def test_deviation_timeline(spark, grid_pd, keep):
         assert np.allclose(got[got.route_code == route]["deviation_ma"], want, atol=1e-9)
 
 
+def test_deviation_timeline_plan_and_odd_rows(spark):
+    """Positions are found without the expectation, whose cells are made once; unknown routes, speeds and hours stay."""
+    rows = [(r, f"2025-10-{d:02d} {h:02d}:00:00", None if (d + h) % 5 == 0 else float(d * h % 7)) for r in ("a", None) for d in range(1, 15) for h in (7, 8, 8)]
+    df = spark.createDataFrame([*rows, ("a", None, 3.0), ("b", "2025-10-01 07:00:00", None)], "route_code string, t string, avg_speed double")
+    df = df.select("route_code", F.col("t").cast("timestamp_ntz").alias("timestamp"), "avg_speed", F.hour("t").alias("hour"), F.date_format("t", "EEEE").alias("day_of_week"), F.lit(False).alias("is_weekend"), F.lit("x").alias("time_category"))
+    out = anomaly.deviation_timeline(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Aggregate \[route_code#\d+, hour#\d+, day_of_week#\d+\]", plan)) == 1
+    got = out.toPandas()
+    assert len(got) == 2 * 14 * 3 + 2 and set(got["n"]) == {43, 42, 1}
+    ok = got["expected_speed"].notna() & got["avg_speed"].notna()
+    assert np.allclose(got["deviation"][ok], (got["avg_speed"] - got["expected_speed"])[ok]) and not got["is_anomaly"].any()
+    for _, part in got.sort_values("pos").groupby("route_code", dropna=False):
+        want = part["deviation"].reset_index(drop=True).rolling(len(part), center=True, min_periods=1).mean()
+        assert np.allclose(part["deviation_ma"], want, equal_nan=True)
+
+
 def test_anomalies(spark):
     rng = np.random.default_rng(42)
     rows = []

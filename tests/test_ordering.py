@@ -81,3 +81,15 @@ def test_first_rows_and_salted_join(hot):
     stats = df.groupBy("route_code").agg(F.count(F.lit(1)).alias("n"))
     joined = o.attach(df, stats, ["route_code"], salts=8)
     assert joined.count() == len(pdf) and "_salt" not in joined.columns
+
+
+def test_short_groups_are_one_frame(spark):
+    """Rows are copied to neighbouring blocks that exist only; NULL routes, repeated rows and none at all included."""
+    rows = [(k, t // 2) for k in ("a", "b", None) for t in range(30)]
+    df = spark.createDataFrame(rows, "k string, t int")
+    frames, _ = o.row_frames(df, ["k"], ["t"], 20, 10, block_rows=100)
+    assert frames.count() == 90 and frames.select("_frame").distinct().collect() == [(0,)]
+    cut, _ = o.row_frames(df, ["k"], ["t"], 2, 1, block_rows=10)
+    assert cut.count() == 90 + 3 * 2 * (2 + 1) and cut.agg(F.min("_frame"), F.max("_frame")).first() == (0, 2)
+    empty, _ = o.row_frames(df.filter("t < 0"), ["k"], ["t"], 2, 1)
+    assert empty.count() == 0

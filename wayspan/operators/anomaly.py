@@ -27,22 +27,23 @@ def context_stats(df: DataFrame) -> DataFrame:
 
 
 def route_residual_spread(cells: DataFrame) -> DataFrame:
-    """Deviation of all residuals of a route, from the context cells alone (their mean is 0)."""
-    ss = F.sum(F.col("context_var") * F.col("context_n"))
-    n = F.sum("context_n")
-    return cells.groupBy("route_code").agg(F.sqrt(F.try_divide(ss, n - 1)).alias("residual_std"), n.alias("route_rows"))
+    """Add the deviation of all residuals of a route to its context cells, from the cells alone (the residuals' mean is 0)."""
+    route = Window.partitionBy("route_code")  # at most 168 cells
+    ss = F.sum(F.col("context_var") * F.col("context_n")).over(route)
+    n = F.sum("context_n").over(route)
+    return cells.withColumns({"residual_std": F.sqrt(F.try_divide(ss, n - 1)), "route_rows": n})
 
 
-def with_expected(df: DataFrame, spread: bool = False) -> DataFrame:
+def with_expected(df: DataFrame, spread: bool = False, onto: DataFrame | None = None) -> DataFrame:
     """Add the context mean and the deviation from it; optionally the route's residual spread.
 
     The facts meet one small table of context cells. A reading without a context is kept, its
-    expectation is NULL.
+    expectation is NULL. ``onto`` are rows made from ``df`` that get the figures in its place.
     """
     df = ensure_calendar(df)
     cells = context_stats(df)
-    small = attach(cells, route_residual_spread(cells), ["route_code"]) if spread else cells
-    out = attach(df, small.drop("context_var"), CONTEXT, "left")
+    small = route_residual_spread(cells) if spread else cells
+    out = attach(df if onto is None else onto, small.drop("context_var"), CONTEXT, "left")
     return out.withColumn("deviation", F.col("avg_speed") - F.col("expected_speed"))
 
 
@@ -80,8 +81,9 @@ def deviation_timeline(
     df = only_routes(ensure_calendar(df), route)
     ahead = (window - 1) // 2
     behind = window - 1 - ahead
-    tied = with_expected(df, spread=True).withColumn("_tie", F.xxhash64(*df.columns))
-    rows, order_window = row_frames(tied, ["route_code"], [*order, "_tie"], behind, ahead, block_rows=block_rows)
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    expected = lambda placed: with_expected(df, spread=True, onto=placed)
+    rows, order_window = row_frames(tied, ["route_code"], [*order, "_tie"], behind, ahead, block_rows=block_rows, figures=expected)
     # a route below ``window`` rows lies in one frame; its few deviations travel as an array
     few = F.col("n") < window
     whole = order_window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

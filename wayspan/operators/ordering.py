@@ -14,7 +14,7 @@ of them. NULL is a group key like any other. Nothing runs while a plan is built.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -196,18 +196,22 @@ def weighted_quantiles(
 
 def row_frames(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int, after: int, *,
-    block_rows: int = 100_000, rows_per_block: int = ROWS_PER_BLOCK,
+    block_rows: int = 100_000, rows_per_block: int = ROWS_PER_BLOCK, figures: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, WindowSpec]:
     """Rows with ``pos`` and ``n``, and a window in row order that sees ``before`` rows back and ``after`` ahead.
 
     The numbered rows are cut into blocks of ``block_rows``, and each block also receives copies
-    of its neighbours' edge rows. Call :func:`core_rows` afterwards to drop the copies.
+    of its neighbours' edge rows. ``figures`` adds columns to the numbered rows that their order does not
+    need. Call :func:`core_rows` afterwards to drop the copies.
     """
     keys = list(keys)
     placed = with_positions(df, keys, order, rows_per_block=rows_per_block)
+    placed = figures(placed) if figures else placed
     size = max(block_rows, before, after, 1)
     blk, off = F.floor(F.col("pos") / F.lit(size)), F.col("pos") % F.lit(size)
-    copies = F.array_compact(F.array(blk, F.when(off >= size - before, blk + 1), F.when(off < after, blk - 1)))
+    # only to blocks that have rows: a short group is one block and not copied
+    ahead, back = (off >= size - before) & ((blk + 1) * size < F.col("n")), (off < after) & (blk > 0)
+    copies = F.array_compact(F.array(blk, F.when(ahead, blk + 1), F.when(back, blk - 1)))
     framed = (
         placed.withColumn("_own", blk).withColumn("_frame", F.explode(copies))
         .withColumn("_core", F.col("_frame") == F.col("_own")).drop("_own").repartition(*keys, "_frame")
