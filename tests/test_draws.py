@@ -127,3 +127,22 @@ def test_bootstrap_makes_no_row_for_a_draw(spark):
     assert len(got) == (times > 0).sum() and (got["v"] == got["id"] % 7).all() and (got["t"].isna() == (got["id"] <= 5)).all()
     assert all((times[r] == np.bincount(target[:, r], minlength=n)).all() for r in range(rounds))
     assert outliers.bootstrap(df.limit(0), ["id"], 3).count() == 0
+
+
+def test_poisson_numbers_are_mixed_once(spark):
+    """No number is worked out element by element or in a filter of its own; odd keys draw what they drew."""
+    rows = [(None, "a", 1.0), (7, None, None), (7, None, None), (1 << 40, "b", 2.0), (-3, "a", 3.0)]
+    df = spark.createDataFrame(rows, "id long, k string, x double")
+    drawn = outliers.poisson_bootstrap(df, ["id"], 40, 5)
+    plan = plan_of(drawn)
+    assert "lambdafunction" not in plan and "Filter" not in plan
+    assert dict(drawn.dtypes) == {"id": "bigint", "k": "string", "x": "double", "iter": "int", "weight": "int"}
+    keys = np.array([0, 7, 7, 1 << 40, -3 & ((1 << 63) - 1)])
+    w = draws.poisson_counts(draws.numbers(keys, np.arange(40), 5))
+    want = sorted((str(r), i, int(w[a, i])) for a, r in enumerate(rows) for i in range(40) if w[a, i])
+    assert sorted((str(tuple(r)[:3]), r.iter, r.weight) for r in drawn.collect()) == want
+    for key in (["k"], ["k", "id"]):
+        u = df.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(39)))).withColumn("u", draws.number(draws.row_number(df, key), 5, F.col("iter")))
+        other = u.withColumn("weight", draws.once(F.col("u"), draws.poisson_weight)).filter("weight > 0").drop("u")
+        assert sorted(map(str, outliers.poisson_bootstrap(df, key, 40, 5).collect())) == sorted(map(str, other.collect()))
+    assert outliers.poisson_bootstrap(df.filter("x > 9"), ["id"], 40, 5).count() == 0
