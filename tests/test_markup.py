@@ -121,3 +121,15 @@ def test_repeated_and_missing_pages(spark):
     assert got.columns == ["station", "temp", "temp_flag", "realfeel", "realfeel_flag", "humidity", "rsi_flag", "rsi_forecast", "aqi", "aqi_flag"]
     assert sorted(map(str, (r.station for r in got.collect()))) == ["None", "a/1", "a/1", "b/2"]
     assert all(v is None for r in got.collect() for v in r[1:])
+
+
+def test_pages_travel_whole(spark):
+    """One row a page is exchanged, not one a token; places count the tokens that are left out, and pages of nothing
+    else, of no text and repeated pages are what they were."""
+    pages = [(1, "<!-- a --><p>x<script>var a = '<p>';</script> <b>y</b></p>"), (1, "<!-- a --><p>x</p>"), (1, "<!-- a --><p>x</p>"), (None, "<br>"), (2, "<!-- only --> \n"), (3, ""), (4, None), (5, " ")]
+    parsed = markup.elements(spark.createDataFrame(pages, "k int, html string"), "html", ["k"])
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("posexplode") < plan.index("RepartitionByExpression") and plan.count("RepartitionByExpression") == 1
+    got = sorted(((r.k or 0, [(n.node, n.end, n.depth, n.tag) for n in r.nodes], [tuple(t) for t in r.texts]) for r in parsed.collect()), key=str)
+    once = (1, [(1, 3, 1, "p")], [(2, "x")])
+    assert got == [(0, [(0, 0, 1, "br")], []), once, once, (1, [(1, 8, 1, "p"), (5, 7, 2, "b")], [(2, "x"), (6, "y")]), (3, [], []), (4, [], [])]

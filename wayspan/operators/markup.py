b15_weather_fields: a page travels as one row instead of a row for each token

Symptom: b15_weather_fields wrote and read 204 MB of shuffle for 0.03 GB of pages on the small input and was stopped on the large input (0.14 GB) by its disk, with 699 MB written for 44,071 of 64,102 rows.
Evidence: elements() cut pages into tokens first and then exchanged every token by page, each with the page's columns, kind, name, classes, id and text: 14.9 million rows for those 44,071, a shuffle seven times the input.
Fix: The exchange by page comes before the tokens are spread and carries one row a page, an array of its tokens in which comments, scripts, styles and blanks are NULL; the windows keep that partitioning and need no other exchange. It has spark.sql.shuffle.partitions parts, so no task gets more tokens than before.
Effect: at 1 GB of input CPU 691 -> 705 s, shuffle 2.28 -> 1.30 GB, spill 0.00 -> 0.00 GB, read 0.28 -> 0.28 GB, longest task 35 -> 13 s, most memory of a task 839 -> 260 MB; at 6 GB of input CPU 3217 -> 3032 s, shuffle 13.99 -> 7.90 GB, spill 0.00 -> 0.00 GB, read 1.71 -> 1.71 GB, longest task 107 -> 43 s, most memory of a task 1141 -> 1141 MB; with hot keys, at 1 GB of input CPU 382 -> 423 s, shuffle 0.81 -> 0.38 GB, spill 0.00 -> 0.00 GB, read 0.06 -> 0.06 GB, longest task 15 -> 7 s, most memory of a task 1141 -> 147 MB.

@@ -6,7 +6,7 @@ one after an opening is its end. The depth of an element is a running sum of the
 have an end and of these ends. An element without an end holds nothing, and an end without an
 opening is passed over, so stray tags do not move the scopes around them.
 
-All windows run over one page, in one exchange of the tokens; what comes back is one row a page with
+All windows run over one page, in one exchange of the pages; what comes back is one row a page with
 its elements and texts as arrays, on which :func:`matching` selects. Comments, scripts and styles
 are left out.
 """
@@ -60,16 +60,19 @@ def elements(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     """
     keep = list(keep)
     rows = pages.select(F.monotonically_increasing_id().alias("_page"), *keep, F.col(html).alias("_html"))
-    cut = rows.select("_page", *keep, F.posexplode_outer(F.regexp_extract_all("_html", F.lit(TOKEN), F.lit(0))).alias("_at", "_token"))
+    # a page travels as one row with the tokens that are used, the others NULL in their place
+    used = lambda t: ~F.rlike(t, F.lit(r"(?i)^<(!|script\b|style\b)")) & F.rlike(t, F.lit(r"\S"))
+    tokens = F.transform(F.regexp_extract_all("_html", F.lit(TOKEN), F.lit(0)), lambda t: F.when(used(t), t))
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select("_page", *keep, tokens.alias("_tokens")).repartition(tasks, "_page")
+    cut = dealt.select("_page", *keep, F.posexplode_outer("_tokens").alias("_at", "_token")).filter(F.col("_at").isNull() | F.col("_token").isNotNull())
     tag = F.lower(F.regexp_extract("_token", r"^</?([A-Za-z][A-Za-z0-9:-]*)", 1))
-    raw = F.rlike("_token", F.lit(r"(?i)^<(!|script\b|style\b)"))
     bare = F.rlike("_token", F.lit(r"^<[A-Za-z]"))
     kind = (
         F.when(F.startswith("_token", F.lit("</")), "close").when(bare & (tag.isin(*VOID) | F.endswith("_token", F.lit("/>"))), "empty")
         .when(bare, "open").otherwise("text")
     )
-    used = cut.filter(F.col("_token").isNull() | (~raw & F.rlike("_token", F.lit(r"\S"))))
-    thin = used.select(
+    thin = cut.select(
         "_page", *keep, "_at", kind.alias("_kind"), tag.alias("_tag"),
         F.when(bare, F.split(F.regexp_replace(_attribute(F.col("_token"), "class"), BLANK, ""), r"\s+")).alias("_classes"),
         F.when(bare, _attribute(F.col("_token"), "id")).alias("_id"),
@@ -77,7 +80,7 @@ def elements(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     )
     step = F.when(F.col("_kind") == "open", 1).when(F.col("_kind") == "close", -1).otherwise(0)
     upto = lambda *by: Window.partitionBy("_page", *by).orderBy("_at")
-    opened = thin.repartition("_page").withColumn("_level", F.sum(step).over(upto("_tag").rowsBetween(Window.unboundedPreceding, 0)) + F.when(F.col("_kind") == "close", 1).otherwise(0))
+    opened = thin.withColumn("_level", F.sum(step).over(upto("_tag").rowsBetween(Window.unboundedPreceding, 0)) + F.when(F.col("_kind") == "close", 1).otherwise(0))
     same = upto("_tag", "_level", F.col("_kind").isin("open", "close"))
     paired = opened.withColumns({
         "_end": F.when((F.col("_kind") == "open") & (F.lead("_kind").over(same) == "close"), F.lead("_at").over(same)),
